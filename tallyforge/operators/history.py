@@ -83,10 +83,11 @@ def take_snapshot(
     require_unique(source, [key])
     if not source.filter(F.col(key).isNull()).isEmpty():
         raise ValueError(f"{key} is NULL in the snapshot source")
-    if not table.exists():
+    base = table.manifest()
+    if base is None:
         return table.replace(first_versions(source, key, at))
-    versions = next_versions(table.read([OPEN]), source, key, check_columns, at, invalidate_deletes)
-    table.replace_partition(versions, rebuilt=[OPEN])
+    versions = next_versions(table.read([OPEN], base), source, key, check_columns, at, invalidate_deletes)
+    table.replace_partitions(versions, [OPEN], base)
 
 
 def _instant(at: datetime) -> Column:

@@ -77,17 +77,15 @@ def spread_left_join(
 ) -> DataFrame:
     """``one.join(many, key, "left")`` with hot keys of ``many``, on the right, spread out.
 
-    A hot key is known to occur in ``many``, so a repeated left row that met no partner in
-    its task has met one in another and is dropped.
+    Matched rows come from the spread inner join. Left rows without a partner are found against
+    the distinct keys, where a hot key is one row.
     """
     if not hot:
         return one.join(many, key, "left")
-    met = "_met"
-    salted = _with_copies(many, key, hot).withColumn(SALT, F.pmod(spread, F.col(COPIES))).drop(COPIES)
-    joined = _repeated(one, key, hot, keep_copies=True).join(
-        salted.withColumn(met, F.lit(True)), [key, SALT], "left"
-    )
-    return joined.filter((F.col(COPIES) == 1) | F.col(met)).drop(SALT, COPIES, met)
+    matched = spread_join(many, one, key, "inner", hot, spread)
+    alone = one.join(many.select(key).distinct(), key, "left_anti")
+    columns = [key, *(c for c in one.columns + many.columns if c != key)]
+    return matched.unionByName(alone, allowMissingColumns=True).select(*columns)
 
 
 def _hot_frame(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
@@ -102,9 +100,9 @@ def _with_copies(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     return marked.withColumn(COPIES, F.coalesce(F.col(COPIES), F.lit(1)))
 
 
-def _repeated(df: DataFrame, key: str, hot: HotKeys, keep_copies: bool = False) -> DataFrame:
+def _repeated(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     # NULL keys meet no partner, so they need no repeating.
     joinable = HotKeys(hot.column, {k: n for k, n in hot.copies.items() if k is not None})
     marked = _with_copies(df, key, joinable)
-    repeated = marked.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(COPIES) - 1)))
-    return repeated if keep_copies else repeated.drop(COPIES)
+    tasks = F.sequence(F.lit(0).cast("bigint"), F.col(COPIES) - 1)
+    return marked.withColumn(SALT, F.explode(tasks)).drop(COPIES)

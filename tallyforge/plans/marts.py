@@ -64,6 +64,10 @@ class RetailMarts:
             self._profiles[table] = {hot.column: hot for hot in found}
         return self._profiles[table][column]
 
+    def _lookup(self, table: str, df: DataFrame) -> DataFrame:
+        """The staged table as a join side: broadcast when its files are small, else as it is."""
+        return F.broadcast(df) if self._bytes(table) <= self.settings.broadcast_bytes else df
+
     def _bytes(self, table: str) -> int:
         return sum(tree_bytes(self.spark, path) for path in self.raw.source_paths(table))
 
@@ -115,13 +119,13 @@ class RetailMarts:
 
     def orders_with_shops(self) -> DataFrame:
         hot = self._hot("raw_orders", "shop_id", "raw_shops")
-        return facts.with_shops(self.stg_orders(), self.stg_shops(), hot)
+        return facts.with_shops(self.stg_orders(), self._lookup("raw_shops", self.stg_shops()), hot)
 
     def orders_enriched(self) -> DataFrame:
         return facts.orders_enriched(
             self.stg_orders(),
-            self.stg_shops(),
-            self.stg_customers(),
+            self._lookup("raw_shops", self.stg_shops()),
+            self._lookup("raw_customers", self.stg_customers()),
             self._hot("raw_orders", "shop_id", "raw_shops"),
             self._hot("raw_orders", "customer_id", "raw_customers"),
         )
@@ -148,8 +152,9 @@ class RetailMarts:
             # A position within the scanned file split also tells exact copies of a line apart.
             lines = lines.withColumn("line_position", F.monotonically_increasing_id())
             spread = F.col("line_position")
+        potions = self._lookup("raw_potions", self.stg_potions())
         return facts.fct_order_items(
-            lines, self.orders_with_shops(), self.stg_potions(), hot_orders, hot_potions, spread
+            lines, self.orders_with_shops(), potions, hot_orders, hot_potions, spread
         )
 
     def orders_backfill(self) -> DataFrame:
@@ -183,13 +188,15 @@ class RetailMarts:
 
     def brew_yield(self) -> DataFrame:
         hot = self._hot("raw_brew_events", "potion_sku", "raw_potions")
-        return facts.brew_yield(self.stg_brew_events(), self.stg_potions(), hot)
+        potions = self._lookup("raw_potions", self.stg_potions())
+        return facts.brew_yield(self.stg_brew_events(), potions, hot)
 
     # Dimensions
 
     def current_membership(self) -> DataFrame:
         hot = self._hot("raw_guild_memberships", "guild_id", "raw_guilds")
-        return dimensions.current_membership(self.stg_guild_memberships(), self.stg_guilds(), hot)
+        guilds = self._lookup("raw_guilds", self.stg_guilds())
+        return dimensions.current_membership(self.stg_guild_memberships(), guilds, hot)
 
     def customer_activity(self) -> DataFrame:
         return dimensions.customer_activity(facts.with_payments(self.stg_orders(), self.order_payments()))
@@ -202,7 +209,8 @@ class RetailMarts:
 
     def recipe_cost(self) -> DataFrame:
         hot = self._hot("raw_potion_ingredients", "ingredient_id", "raw_ingredients")
-        return dimensions.recipe_cost(self.stg_potion_ingredients(), self.stg_ingredients(), hot)
+        ingredients = self._lookup("raw_ingredients", self.stg_ingredients())
+        return dimensions.recipe_cost(self.stg_potion_ingredients(), ingredients, hot)
 
     def brew_stats(self) -> DataFrame:
         return dimensions.brew_stats(self.stg_brew_events())

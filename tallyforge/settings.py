@@ -15,8 +15,8 @@ class Settings:
     the identifier stamped into audit columns and the build ledger.
 
     ``skew_check_bytes`` is the raw-table size from which join keys are profiled for hot
-    values. Joins with a lookup of at most ``broadcast_bytes``, Spark's own default limit for
-    a broadcast, are not profiled, as they do not shuffle.
+    values. A lookup whose files are at most ``broadcast_bytes`` (Spark's default limit) is
+    broadcast; its joins do not shuffle and are not profiled.
     """
 
     copper_per_gold: int = 100

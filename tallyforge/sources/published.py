@@ -2,7 +2,7 @@
 
 Every write lands in a new directory. A small numbered manifest then lists the directories
 that make up the table, so a reader sees the state before a publish or after it, and a
-failed job leaves nothing visible. One writer per table at a time.
+failed job leaves nothing visible. Of two runs that start from one version, the later fails.
 
 A table may be split by a partition expression (payments by month, snapshots by open and
 closed). An upsert rewrites only the partitions it touches; the manifest carries the rest
@@ -15,6 +15,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ PART = "part_value"
 
 
 def month_partition(at: str) -> Column:
-    """``yyyy-MM`` of a timestamp column; rows without one share the partition ``none``."""
-    return F.coalesce(F.substring(F.col(at).cast("string"), 1, 7), F.lit("none"))
+    """``yyyy-MM`` of a timestamp column."""
+    return F.substring(F.col(at).cast("string"), 1, 7)
 
 
 @dataclass(frozen=True)
@@ -43,10 +44,16 @@ class Manifest:
 
 
 class PublishedTable:
-    """A table under ``path``; ``partition`` is a string expression over its rows, if any."""
+    """A table under ``path``; ``partition`` is a string expression over its rows, if any.
+
+    Rows for which the expression is NULL share the partition ``none``.
+    """
 
     def __init__(self, spark: SparkSession, path: str, partition: Column | None = None) -> None:
-        self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
+        self.spark, self.path = spark, path.rstrip("/")
+        if partition is not None:
+            partition = F.coalesce(F.nullif(partition.cast("string"), F.lit("")), F.lit("none"))
+        self.partition = partition
 
     def manifest(self) -> Manifest | None:
         names = [n for n in storage.list_names(self.spark, f"{self.path}/manifests") if n.endswith(".json")]
@@ -58,9 +65,9 @@ class PublishedTable:
     def exists(self) -> bool:
         return self.manifest() is not None
 
-    def read(self, partitions: Sequence[str] | None = None) -> DataFrame:
-        """The current rows, or those of the named partitions only."""
-        current = self.manifest()
+    def read(self, partitions: Sequence[str] | None = None, at: Manifest | None = None) -> DataFrame:
+        """The rows of the current or a given version, or of the named partitions only."""
+        current = at or self.manifest()
         if current is None:
             raise FileNotFoundError(f"{self.path} has not been published")
         if partitions is None:
@@ -77,18 +84,15 @@ class PublishedTable:
 
     def replace(self, df: DataFrame) -> None:
         """Full rebuild."""
-        self._commit(df.schema, self._write(df))
+        current = self.manifest()
+        self._commit(current, df.schema, self._write(df))
 
     def append(self, df: DataFrame) -> None:
         """Add rows as they are; re-read rows become duplicates."""
         current = self.manifest()
         if current is None:
             return self.replace(df)
-        self._check_schema(df, current)
-        dirs = {part: list(names) for part, names in current.dirs.items()}
-        for part, names in self._write(df).items():
-            dirs[part] = dirs.get(part, []) + names
-        self._commit(current.schema, dirs)
+        self.replace_partitions(df, [], current)
 
     def upsert(self, delta: DataFrame, keys: Sequence[str]) -> None:
         """Replace rows whose key is in ``delta`` and insert the others.
@@ -104,30 +108,27 @@ class PublishedTable:
         if current is None:
             return self.replace(delta)
         self._check_schema(delta, current)
-        touched = self._touched(delta, keys)
-        kept = self.read(touched).join(delta.select(*keys), list(keys), "left_anti")
+        touched = self._touched(delta, keys, current)
+        kept = self.read(touched, current).join(delta.select(*keys), list(keys), "left_anti")
         written = self._write(kept.select(*delta.columns).unionByName(delta))
         untouched = {part: names for part, names in current.dirs.items() if part not in touched}
-        self._commit(current.schema, {**untouched, **written})
+        self._commit(current, current.schema, {**untouched, **written})
 
-    def replace_partition(self, df: DataFrame, rebuilt: Sequence[str]) -> None:
-        """Rebuild the named partitions from ``df``; append its other rows to theirs."""
-        current = self.manifest()
-        if current is None:
-            return self.replace(df)
-        self._check_schema(df, current)
-        dirs = {part: list(names) for part, names in current.dirs.items() if part not in rebuilt}
+    def replace_partitions(self, df: DataFrame, rebuilt: Sequence[str], base: Manifest) -> None:
+        """Rebuild the named partitions of version ``base`` from ``df``; append its other rows."""
+        self._check_schema(df, base)
+        dirs = {part: list(names) for part, names in base.dirs.items() if part not in rebuilt}
         for part, names in self._write(df).items():
             dirs[part] = dirs.get(part, []) + names
-        self._commit(current.schema, dirs)
+        self._commit(base, base.schema, dirs)
 
-    def _touched(self, delta: DataFrame, keys: Sequence[str]) -> list[str]:
+    def _touched(self, delta: DataFrame, keys: Sequence[str], current: Manifest) -> list[str]:
         """Partitions holding a key of ``delta`` or receiving a row of it."""
         if self.partition is None:
-            return self.partitions()
+            return list(current.dirs)
         receiving = delta.select(self.partition.alias(PART))
         holding = (
-            self.read()
+            self.read(at=current)
             .select(*keys, self.partition.alias(PART))
             .join(delta.select(*keys), list(keys), "left_semi")
             .select(PART)
@@ -148,7 +149,8 @@ class PublishedTable:
             .parquet(f"{self.path}/{name}")
         )
         children = [n for n in storage.list_names(self.spark, f"{self.path}/{name}") if n.startswith(f"{PART}=")]
-        return {child.removeprefix(f"{PART}="): [f"{name}/{child}"] for child in children}
+        # Spark percent-escapes special characters of a value in the directory name.
+        return {unquote(child.removeprefix(f"{PART}=")): [f"{name}/{child}"] for child in children}
 
     def _check_schema(self, df: DataFrame, current: Manifest) -> None:
         new = {field.name: field.dataType for field in df.schema}
@@ -156,9 +158,9 @@ class PublishedTable:
         if new != old:
             raise ValueError(f"schema of {self.path} is {old}, new rows have {new}")
 
-    def _commit(self, schema: StructType, dirs: dict[str, list[str]]) -> None:
-        current = self.manifest()
-        version = current.version + 1 if current else 1
+    def _commit(self, base: Manifest | None, schema: StructType, dirs: dict[str, list[str]]) -> None:
+        """Publish ``dirs`` as the version after ``base``; an error if another run already did."""
+        version = base.version + 1 if base else 1
         body = {"version": version, "schema": schema.jsonValue(), "dirs": dirs}
         storage.write_new_text(self.spark, f"{self.path}/manifests/{version:010d}.json", json.dumps(body))
 
