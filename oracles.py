@@ -232,7 +232,7 @@ MODELS: dict[str, str] = {
         FROM (SELECT order_id,
             CAST(sum(CASE WHEN payment_status = 'success' THEN amount_copper ELSE 0 END) AS BIGINT) AS collected_copper,
             CAST(sum(CASE WHEN payment_status = 'refunded' THEN amount_copper ELSE 0 END) AS BIGINT) AS refunded_copper,
-            count(*) AS payment_attempt_count, count_if(payment_status = 'failed') AS failed_payment_count,
+            count(*) AS payment_attempt_count, count(*) FILTER (WHERE payment_status = 'failed') AS failed_payment_count,
             max(paid_at) AS last_payment_at,
             min(CASE WHEN payment_status = 'success' THEN payment_method END) AS primary_payment_method
         FROM stg_payments GROUP BY order_id)""",
@@ -299,7 +299,7 @@ MODELS: dict[str, str] = {
     "brew_stats": """
         SELECT potion_sku, count(*) AS brew_event_count, sum(batch_size) AS total_units_brewed,
             avg(brew_duration_minutes) AS avg_brew_duration_minutes,
-            CAST(count_if(quality_check = 'fail') AS DOUBLE) / nullif(count(*), 0) AS brew_failure_rate
+            CAST(count(*) FILTER (WHERE quality_check = 'fail') AS DOUBLE) / nullif(count(*), 0) AS brew_failure_rate
         FROM stg_brew_events GROUP BY potion_sku""",
     "dim_potions": f"""
         SELECT p.*, c.ingredient_count, c.recipe_cost_copper,
@@ -313,7 +313,7 @@ MODELS: dict[str, str] = {
         SELECT s.supplier_id, s.supplier_name, s.region, s.reliability_rating,
             count(DISTINCT i.ingredient_id) AS ingredient_count,
             CAST(sum(i.unit_cost_gold) AS DOUBLE) / nullif(count(i.unit_cost_gold), 0) AS avg_unit_cost_gold,
-            count_if(i.is_hazardous) AS hazardous_ingredient_count, s.contracted_since AS contract_start_date
+            count(*) FILTER (WHERE i.is_hazardous) AS hazardous_ingredient_count, s.contracted_since AS contract_start_date
         FROM stg_suppliers s LEFT JOIN stg_ingredients i ON s.supplier_id = i.supplier_id
         GROUP BY s.supplier_id, s.supplier_name, s.region, s.reliability_rating, s.contracted_since""",
     "shop_counts": "SELECT region, count(*) AS shop_count FROM stg_shops GROUP BY region",
@@ -322,7 +322,7 @@ MODELS: dict[str, str] = {
             round(CAST(a.gross_revenue_gold AS DOUBLE) / nullif(s.shop_count, 0), 2) AS gross_revenue_gold_per_shop
         FROM (SELECT shop_region, order_month, count(DISTINCT order_id) AS order_count,
                 sum(gross_amount_copper) AS gross_revenue_copper, sum(gross_amount_gold) AS gross_revenue_gold,
-                sum(discount_gold) AS discount_gold, count_if(order_status = 'returned') AS returned_order_count
+                sum(discount_gold) AS discount_gold, count(*) FILTER (WHERE order_status = 'returned') AS returned_order_count
             FROM orders_backfill GROUP BY shop_region, order_month) a
         LEFT JOIN shop_counts s ON a.shop_region = s.region""",
     "category_revenue_pivot": f"""
