@@ -15,7 +15,13 @@ GOLD = "decimal(18,2)"
 
 
 def copper_to_gold(copper: Column, rate: int = 100) -> Column:
-    """Integer copper as gold, rounded half-up to two places."""
+    """Integer copper as gold, rounded half-up to two places.
+
+    Where a copper is a whole number of hundredths of a gold the result is exact, and a decimal
+    product costs a fraction of a decimal quotient and its rounding.
+    """
+    if 100 % rate == 0:
+        return (copper * F.lit(Decimal(100 // rate).scaleb(-2))).cast(GOLD)
     return F.round(copper / F.lit(Decimal(f"{rate}.0")), 2).cast(GOLD)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.measures import copper_to_gold, is_weekend, period_start, safe_divide
 from tallyforge.operators.skew import HotKeys, spread_join
+from tallyforge.plans.staging import line_amounts
 from tallyforge.settings import Settings
 
 
@@ -151,23 +152,26 @@ def fct_order_items(
     order_items: DataFrame,
     orders: DataFrame,
     potions: DataFrame,
+    settings: Settings,
     hot_orders: HotKeys | None = None,
     hot_potions: HotKeys | None = None,
     spread: Column | None = None,
 ) -> DataFrame:
     """One row per order line, with order and potion attributes.
 
-    ``orders`` needs the shop's region. ``spread`` distributes the lines of a hot order or
-    potion; it defaults to the line id.
+    ``orders`` needs the shop's region. Amounts are worked out again after the joins, so that
+    they are not shuffled. ``spread`` distributes the lines of a hot order or potion; it
+    defaults to the line id.
     """
     spread = F.xxhash64("order_item_id") if spread is None else spread
+    derived = ("unit_price_gold", "gross_line_amount_copper", "gross_line_amount_gold")
     headers = orders.select(
         "order_id", "customer_id", "shop_id", "shop_region", "ordered_at", "order_status"
     )
     catalogue = potions.select(
         "potion_sku", "potion_name", F.col("category").alias("potion_category"), "is_regulated"
     )
-    lines = spread_join(order_items, headers, "order_id", "inner", hot_orders, spread)
+    lines = spread_join(order_items.drop(*derived), headers, "order_id", "inner", hot_orders, spread)
     return spread_join(lines, catalogue, "potion_sku", "left", hot_potions, spread).select(
         "order_item_id",
         "order_id",
@@ -182,9 +186,7 @@ def fct_order_items(
         "is_regulated",
         "quantity",
         "unit_price_copper",
-        "unit_price_gold",
-        "gross_line_amount_copper",
-        "gross_line_amount_gold",
+        *line_amounts(settings),
     )
 
 

@@ -42,7 +42,7 @@ FOREIGN_KEYS: dict[str, tuple[str, ...]] = {
 
 
 class RetailMarts:
-    """Lazy models over raw tables; each call builds a plan, nothing is cached.
+    """Lazy models over raw tables as they are when the object is made; a call builds a plan.
 
     A model pulls in only the inputs whose columns it uses: the payment mix, for one, joins
     neither customers nor order lines.
@@ -52,6 +52,7 @@ class RetailMarts:
         self.raw, self.spark = raw, raw.spark
         self.settings = settings or Settings()
         self._profiles: dict[str, dict[str, HotKeys]] = {}
+        self._sizes: dict[str, int] = {}
 
     def _hot(self, table: str, column: str, lookup: str) -> HotKeys | None:
         """Hot values of a join key; None where the join is too small to need them."""
@@ -69,7 +70,9 @@ class RetailMarts:
         return F.broadcast(df) if self._bytes(table) <= self.settings.broadcast_bytes else df
 
     def _bytes(self, table: str) -> int:
-        return sum(tree_bytes(self.spark, path) for path in self.raw.source_paths(table))
+        if table not in self._sizes:
+            self._sizes[table] = sum(tree_bytes(self.spark, path) for path in self.raw.source_paths(table))
+        return self._sizes[table]
 
     # Staging
 
@@ -154,7 +157,7 @@ class RetailMarts:
             spread = F.col("line_position")
         potions = self._lookup("raw_potions", self.stg_potions())
         return facts.fct_order_items(
-            lines, self.orders_with_shops(), potions, hot_orders, hot_potions, spread
+            lines, self.orders_with_shops(), potions, self.settings, hot_orders, hot_potions, spread
         )
 
     def orders_backfill(self) -> DataFrame:

@@ -55,19 +55,22 @@ def orders(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def order_items(raw: DataFrame, settings: Settings) -> DataFrame:
+LINE_COLUMNS = ("order_item_id", "order_id", "potion_sku", "quantity", "unit_price_copper")
+
+
+def line_amounts(settings: Settings) -> list[Column]:
+    """The amounts a line's quantity and price determine."""
     price = F.col("unit_price_copper")
     gross = F.col("quantity") * price
-    return raw.select(
-        "order_item_id",
-        "order_id",
-        "potion_sku",
-        "quantity",
-        "unit_price_copper",
+    return [
         copper_to_gold(price, settings.copper_per_gold).alias("unit_price_gold"),
         gross.alias("gross_line_amount_copper"),
         copper_to_gold(gross, settings.copper_per_gold).alias("gross_line_amount_gold"),
-    )
+    ]
+
+
+def order_items(raw: DataFrame, settings: Settings) -> DataFrame:
+    return raw.select(*LINE_COLUMNS, *line_amounts(settings))
 
 
 def payments(raw: DataFrame, settings: Settings) -> DataFrame:

@@ -7,46 +7,53 @@ BIGINT. Payments keep their landed timestamp type, so window filters reach the s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.sources.extracts import read_parquet
 
-# Canonical region and its two-letter code, by region key.
-REGIONS = (
-    ("Northern Reaches", "NR"),
-    ("Crystal Vale", "CV"),
-    ("The Marshlands", "ML"),
-    ("Ember Coast", "EC"),
-    ("Silverwood", "SW"),
-)
-PAYMENT_METHODS = ("coin", "guild_credit", "crystal_transfer", "barter")
-TIERS = ("apprentice", "adept", "archmage")
-BOOLEAN_TOKENS = ("Y", "n", " TRUE", "No", "1", "0", "t", "F ", "yes", "maybe")
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
+# Canonical region names and two-letter codes, by region key.
+REGIONS = "array('Northern Reaches', 'Crystal Vale', 'The Marshlands', 'Ember Coast', 'Silverwood')"
+REGION_CODES = "array('NR', 'CV', 'ML', 'EC', 'SW')"
+PAYMENT_METHODS = "array('coin', 'guild_credit', 'crystal_transfer', 'barter')"
+TIERS = "array('apprentice', 'adept', 'archmage')"
+UNITS = "array('gram', 'vial', 'dram', 'pinch')"
+SEASONS = "array('spring', 'summer', 'autumn')"
+BOOLEAN_TOKENS = "array('Y', 'n', ' TRUE', 'No', '1', '0', 't', 'F ', 'yes', 'maybe')"
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)
 
+def _pick(values: str, index: str) -> str:
+    return f"element_at({values}, int({index}) + 1)"
 
-def _copper(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
 
+def _copper(amount: str) -> str:
+    return f"bigint(round({amount} * 100))"
 
-def _mixed_case(text: Column, key: Column) -> Column:
-    return (
-        F.when(key % 3 == 0, F.upper(text)).when(key % 3 == 1, F.concat(F.lit(" "), text, F.lit(" "))).otherwise(text)
-    )
 
+def _mixed_case(text: str, key: str) -> str:
+    return f"CASE {key} % 3 WHEN 0 THEN upper({text}) WHEN 1 THEN concat(' ', {text}, ' ') ELSE {text} END"
 
-def _two_shapes(at: Column, key: Column) -> Column:
-    text = at.cast("string")
-    iso = F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("Z"))
-    return F.when(key % 2 == 0, iso).otherwise(text)
 
+def _two_shapes(at: str, key: str) -> str:
+    return f"if({key} % 2 = 0, concat(replace(string({at}), ' ', 'T'), 'Z'), string({at}))"
 
-def _day_text(first: str, offset: Column) -> Column:
-    return F.date_add(F.lit(first).cast("date"), offset.cast("int")).cast("string")
+
+def _day_text(first: str, offset: str) -> str:
+    return f"string(date_add(DATE '{first}', int({offset})))"
 
 
 class DriverTables:
@@ -71,7 +78,7 @@ class DriverTables:
         self.spark, self.root = spark, root.rstrip("/")
 
     def parquet(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.root}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.root}/{name}.parquet", SCHEMAS[name])
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)()
@@ -81,192 +88,163 @@ class DriverTables:
 
     def raw_orders(self) -> DataFrame:
         """Shop 25 is on no shop list; some orders have no readable time or no discount."""
-        key = F.col("o_orderkey")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "completed")
-            .when(F.col("o_orderstatus") == "P", "returned")
-            .when(key % 4 == 0, "cancelled")
-            .otherwise("placed")
-        )
-        channel = (
-            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "courier_owl")
-            .when(F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED"), "in_store")
-            .otherwise("marketplace")
-        )
-        at = F.timestamp_add("MINUTE", (key % 1440).cast("int"), F.col("o_orderdate"))
-        return self.parquet("orders").select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            (F.col("o_custkey") % 26).cast("int").alias("shop_id"),
-            F.when(key % 251 != 0, _two_shapes(at, key)).otherwise("n/a").alias("ordered_at"),
-            _mixed_case(status, key).alias("status"),
-            _mixed_case(channel, key).alias("channel"),
-            F.when(key % 37 != 0, _copper(F.col("o_totalprice")) % 1000).alias("discount_copper"),
+        status = """(CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'P' THEN 'returned'
+            WHEN o_orderkey % 4 = 0 THEN 'cancelled' ELSE 'placed' END)"""
+        channel = """(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'courier_owl'
+            WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'in_store' ELSE 'marketplace' END)"""
+        at = "timestampadd(MINUTE, int(o_orderkey % 1440), o_orderdate)"
+        return self.parquet("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "int(o_custkey % 26) AS shop_id",
+            f"if(o_orderkey % 251 = 0, 'n/a', {_two_shapes(at, 'o_orderkey')}) AS ordered_at",
+            f"{_mixed_case(status, 'o_orderkey')} AS status",
+            f"{_mixed_case(channel, 'o_orderkey')} AS channel",
+            f"if(o_orderkey % 37 = 0, NULL, {_copper('o_totalprice')} % 1000) AS discount_copper",
         )
 
     def raw_order_items(self) -> DataFrame:
-        return self.parquet("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("potion_sku"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            _copper(F.col("l_extendedprice")).alias("unit_price_copper"),
+        return self.parquet("lineitem").selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber) AS order_item_id",
+            "l_orderkey AS order_id",
+            "l_partkey AS potion_sku",
+            "int(l_quantity) AS quantity",
+            f"{_copper('l_extendedprice')} AS unit_price_copper",
         )
 
     def raw_payments(self) -> DataFrame:
         """A quarter of the attempts fall on few orders; the rest come about three to an order."""
-        key = F.col("event_id")
-        order = F.when(key % 4 == 0, F.col("user_id")).otherwise(key - key % 3)
-        status = (
-            F.when(F.col("event_type") == "error", "failed")
-            .when(F.col("event_type") == "signup", "refunded")
-            .otherwise("success")
-        )
-        return self.parquet("events").select(
-            key.alias("payment_id"),
-            order.alias("order_id"),
-            _mixed_case(_pick(F.floor(key / 4) % 4, PAYMENT_METHODS), key).alias("method"),
-            _mixed_case(status, key).alias("status"),
-            _copper(F.col("value")).alias("amount_copper"),
-            F.col("ts").alias("paid_at"),
+        status = "(CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'refunded' ELSE 'success' END)"
+        method = _pick(PAYMENT_METHODS, "event_id div 4 % 4")
+        return self.parquet("events").selectExpr(
+            "event_id AS payment_id",
+            "if(event_id % 4 = 0, user_id, event_id - event_id % 3) AS order_id",
+            f"{_mixed_case(method, 'event_id')} AS method",
+            f"{_mixed_case(status, 'event_id')} AS status",
+            f"{_copper('value')} AS amount_copper",
+            "ts AS paid_at",
         )
 
     def raw_potions(self) -> DataFrame:
-        key = F.col("p_partkey")
-        introduced = (
-            F.when(key % 89 == 0, "2024-13-05").when(key % 97 == 0, "2024").otherwise(_day_text("2018-01-01", key % 2500))
-        )
-        return self.parquet("part").select(
-            key.alias("potion_sku"),
-            F.col("p_name").alias("potion_name"),
-            _mixed_case(F.lower("p_type"), key).alias("category"),
-            F.when(key % 101 == 0, F.lit(0)).otherwise(_copper(F.col("p_retailprice"))).alias("base_price_copper"),
-            F.col("p_size").alias("potency"),
-            (30 + (key % 12) * 30).cast("int").alias("shelf_life_days"),
-            _pick(F.col("p_size") % 10, BOOLEAN_TOKENS).alias("is_regulated"),
-            introduced.alias("introduced_at"),
+        introduced = f"""CASE WHEN p_partkey % 89 = 0 THEN '2024-13-05' WHEN p_partkey % 97 = 0 THEN '2024'
+            ELSE {_day_text("2018-01-01", "p_partkey % 2500")} END"""
+        return self.parquet("part").selectExpr(
+            "p_partkey AS potion_sku",
+            "p_name AS potion_name",
+            f"{_mixed_case('lower(p_type)', 'p_partkey')} AS category",
+            f"if(p_partkey % 101 = 0, 0, {_copper('p_retailprice')}) AS base_price_copper",
+            "p_size AS potency",
+            "int(30 + p_partkey % 12 * 30) AS shelf_life_days",
+            f"{_pick(BOOLEAN_TOKENS, 'p_size % 10')} AS is_regulated",
+            f"{introduced} AS introduced_at",
         )
 
     def raw_shops(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        region = _pick(F.col("r_regionkey"), tuple(name for name, _ in REGIONS))
-        nation, regions = self.parquet("nation"), self.parquet("region")
-        return nation.join(regions, nation["n_regionkey"] == regions["r_regionkey"]).select(
-            key.alias("shop_id"),
-            F.concat(F.lit("Shop "), "n_name").alias("shop_name"),
-            F.col("r_name").alias("city"),
-            region.alias("region"),
-            _day_text("2010-01-01", key * 97).alias("opened_at"),
+        nation, region = self.parquet("nation"), self.parquet("region")
+        return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).selectExpr(
+            "n_nationkey AS shop_id",
+            "concat('Shop ', n_name) AS shop_name",
+            "r_name AS city",
+            f"{_pick(REGIONS, 'r_regionkey')} AS region",
+            f"{_day_text('2010-01-01', 'n_nationkey * 97')} AS opened_at",
         )
 
     def raw_suppliers(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        since = F.when(key % 11 == 5, "unknown").otherwise(_day_text("2012-03-01", key * 61))
-        return self.parquet("nation").select(
-            key.alias("supplier_id"),
-            F.concat(F.lit("Supplier "), "n_name").alias("supplier_name"),
-            _pick(F.col("n_regionkey"), tuple(name for name, _ in REGIONS)).alias("region"),
-            (1 + key % 5).cast("int").alias("reliability_rating"),
-            since.alias("contracted_since"),
+        since = f"if(n_nationkey % 11 = 5, 'unknown', {_day_text('2012-03-01', 'n_nationkey * 61')})"
+        return self.parquet("nation").selectExpr(
+            "n_nationkey AS supplier_id",
+            "concat('Supplier ', n_name) AS supplier_name",
+            f"{_pick(REGIONS, 'n_regionkey')} AS region",
+            "1 + n_nationkey % 5 AS reliability_rating",
+            f"{since} AS contracted_since",
         )
 
     def raw_ingredients(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.parquet("supplier").select(
-            key.alias("ingredient_id"),
-            F.col("s_name").alias("ingredient_name"),
-            F.col("s_nationkey").alias("supplier_id"),
-            _mixed_case(_pick(key % 4, ("gram", "vial", "dram", "pinch")), key).alias("unit"),
-            _copper(F.abs("s_acctbal")).alias("unit_cost_copper"),
-            _pick(key % 10, BOOLEAN_TOKENS).alias("is_hazardous"),
-            _mixed_case(_pick(key % 3, ("spring", "summer", "autumn")), key).alias("harvest_season"),
+        return self.parquet("supplier").selectExpr(
+            "s_suppkey AS ingredient_id",
+            "s_name AS ingredient_name",
+            "s_nationkey AS supplier_id",
+            f"{_mixed_case(_pick(UNITS, 's_suppkey % 4'), 's_suppkey')} AS unit",
+            f"{_copper('abs(s_acctbal)')} AS unit_cost_copper",
+            f"{_pick(BOOLEAN_TOKENS, 's_suppkey % 10')} AS is_hazardous",
+            f"{_mixed_case(_pick(SEASONS, 's_suppkey % 3'), 's_suppkey')} AS harvest_season",
         )
 
     def raw_potion_ingredients(self) -> DataFrame:
-        pairs = self.parquet("lineitem").groupBy("l_partkey", "l_suppkey")
-        key = F.col("l_suppkey")
-        return pairs.agg(F.sum(F.col("l_quantity").cast("int")).alias("quantity")).select(
-            F.col("l_partkey").alias("potion_sku"),
-            key.alias("ingredient_id"),
-            F.col("quantity"),
-            _mixed_case(_pick(key % 4, ("gram", "vial", "dram", "pinch")), key).alias("unit"),
+        pairs = self.parquet("lineitem").selectExpr("l_partkey", "l_suppkey", "int(l_quantity) AS quantity")
+        return pairs.groupBy("l_partkey", "l_suppkey").sum("quantity").selectExpr(
+            "l_partkey AS potion_sku",
+            "l_suppkey AS ingredient_id",
+            "`sum(quantity)` AS quantity",
+            f"{_mixed_case(_pick(UNITS, 'l_suppkey % 4'), 'l_suppkey')} AS unit",
         )
 
     def raw_brew_events(self) -> DataFrame:
-        key = F.col("event_id")
-        minutes = F.when(key % 100 != 0, F.when(key % 100 == 50, 0).otherwise(key % 100)).cast("int")
-        quality = (
-            F.when(F.col("event_type") == "error", "fail").when((F.col("event_type") != "view") | (key % 10 != 0), "pass")
-        )
-        return self.parquet("events").select(
-            key.alias("brew_id"),
-            F.col("user_id").alias("potion_sku"),
-            (key % 25).cast("int").alias("shop_id"),
-            F.concat(F.lit("CLD-"), key % 7).alias("cauldron_id"),
-            _two_shapes(F.col("ts"), key).alias("brewed_at"),
-            (1 + key % 20).cast("int").alias("batch_size"),
-            minutes.alias("brew_duration_minutes"),
-            _mixed_case(quality, key).alias("quality_check"),
-            F.concat(F.lit("Brewer "), key % 13).alias("brewer_name"),
+        minutes = "CASE event_id % 100 WHEN 0 THEN NULL WHEN 50 THEN 0 ELSE event_id % 100 END"
+        quality = """(CASE WHEN event_type = 'error' THEN 'fail'
+            WHEN event_type <> 'view' OR event_id % 10 <> 0 THEN 'pass' END)"""
+        return self.parquet("events").selectExpr(
+            "event_id AS brew_id",
+            "user_id AS potion_sku",
+            "int(event_id % 25) AS shop_id",
+            "concat('CLD-', event_id % 7) AS cauldron_id",
+            f"{_two_shapes('ts', 'event_id')} AS brewed_at",
+            "int(1 + event_id % 20) AS batch_size",
+            f"int({minutes}) AS brew_duration_minutes",
+            f"{_mixed_case(quality, 'event_id')} AS quality_check",
+            "concat('Brewer ', event_id % 13) AS brewer_name",
         )
 
     def raw_customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        name = _pick(F.col("n_regionkey"), tuple(name for name, _ in REGIONS))
-        code = _pick(F.col("n_regionkey"), tuple(code for _, code in REGIONS))
-        home = (
-            F.when(key % 97 == 0, "Far Isles")
-            .when(key % 4 == 0, code)
-            .when(key % 4 == 1, F.lower(code))
-            .when(key % 4 == 2, F.concat(F.lit(" "), name))
-            .otherwise(F.lower(name))
-        )
+        name, code = _pick(REGIONS, "n_regionkey"), _pick(REGION_CODES, "n_regionkey")
+        home = f"""CASE WHEN c_custkey % 97 = 0 THEN 'Far Isles' WHEN c_custkey % 4 = 0 THEN {code}
+            WHEN c_custkey % 4 = 1 THEN lower({code}) WHEN c_custkey % 4 = 2 THEN concat(' ', {name})
+            ELSE lower({name}) END"""
+        signed_up = f"if(c_custkey % 113 = 0, '2024-13-05', {_day_text('2015-01-01', 'c_custkey % 2000')})"
         customer, nation = self.parquet("customer"), self.parquet("nation")
-        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").select(
-            key.alias("customer_id"),
-            F.col("c_name").alias("full_name"),
-            F.when(key % 50 == 0, F.lit("  ")).otherwise(F.concat(F.lit("c"), key, F.lit("@example.org "))).alias("email"),
-            home.alias("home_region"),
-            F.when(key % 113 == 0, "2024-13-05").otherwise(_day_text("2015-01-01", key % 2000)).alias("signed_up_at"),
-            (1940 + key % 60).cast("int").alias("birth_year"),
-            _mixed_case(F.lower("c_mktsegment"), key).alias("favored_discipline"),
+        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS full_name",
+            "if(c_custkey % 50 = 0, '  ', concat('c', c_custkey, '@example.org ')) AS email",
+            f"{home} AS home_region",
+            f"{signed_up} AS signed_up_at",
+            "int(1940 + c_custkey % 60) AS birth_year",
+            f"{_mixed_case('lower(c_mktsegment)', 'c_custkey')} AS favored_discipline",
         )
 
     def raw_guilds(self) -> DataFrame:
-        return self.parquet("nation").select(
-            F.col("n_nationkey").alias("guild_id"),
-            F.concat(F.lit("Guild "), "n_name").alias("guild_name"),
-            (1700 + F.col("n_nationkey") * 7).cast("int").alias("founded_year"),
+        return self.parquet("nation").selectExpr(
+            "n_nationkey AS guild_id", "concat('Guild ', n_name) AS guild_name", "1700 + n_nationkey * 7 AS founded_year"
         )
 
     def raw_guild_memberships(self) -> DataFrame:
         """One interval per customer; four in five are open."""
-        key = F.col("c_custkey")
-        return self.parquet("customer").select(
-            key.alias("membership_id"),
-            key.alias("customer_id"),
-            (key % 25).cast("int").alias("guild_id"),
-            _mixed_case(_pick(key % 3, TIERS), key).alias("tier"),
-            _day_text("2019-01-01", key % 1000).alias("valid_from"),
-            F.when(key % 5 != 0, F.lit(" ")).otherwise(_day_text("2022-01-01", key % 700)).alias("valid_to"),
+        return self.parquet("customer").selectExpr(
+            "c_custkey AS membership_id",
+            "c_custkey AS customer_id",
+            "int(c_custkey % 25) AS guild_id",
+            f"{_mixed_case(_pick(TIERS, 'c_custkey % 3'), 'c_custkey')} AS tier",
+            f"{_day_text('2019-01-01', 'c_custkey % 1000')} AS valid_from",
+            f"if(c_custkey % 5 = 0, {_day_text('2022-01-01', 'c_custkey % 700')}, ' ') AS valid_to",
         )
 
     def raw_guild_memberships_later(self) -> DataFrame:
         """The next day's extract: promotions, closures, departures and new members."""
         first = self.raw_guild_memberships()
-        key = F.col("membership_id")
-        kept = first.filter(key % 17 != 0).withColumns(
-            {
-                "tier": F.when(key % 10 == 0, F.lit("Archmage")).otherwise(F.col("tier")),
-                "valid_to": F.when(key % 10 == 3, F.lit("2024-01-31")).otherwise(F.col("valid_to")),
-            }
-        )
-        joined = first.filter(key % 20 == 0).withColumns(
-            {
-                "membership_id": -key - 1,
-                "tier": F.lit("apprentice"),
-                "valid_from": F.lit("2024-02-01"),
-                "valid_to": F.lit(""),
-            }
+        kept = first.filter("membership_id % 17 <> 0").selectExpr(
+            "membership_id",
+            "customer_id",
+            "guild_id",
+            "if(membership_id % 10 = 0, 'Archmage', tier) AS tier",
+            "valid_from",
+            "if(membership_id % 10 = 3, '2024-01-31', valid_to) AS valid_to",
+        )
+        joined = first.filter("membership_id % 20 = 0").selectExpr(
+            "-membership_id - 1 AS membership_id",
+            "customer_id",
+            "guild_id",
+            "'apprentice' AS tier",
+            "'2024-02-01' AS valid_from",
+            "'' AS valid_to",
         )
         return kept.unionByName(joined)
