@@ -207,13 +207,8 @@ def safe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line price against the potion's list price."""
-    marts = _marts(spark, sf_dir)
-    listed = marts.stg_potions().select("potion_sku", "base_price_copper")
-    return marts.stg_order_items().join(listed, "potion_sku", "left").select(
-        "order_item_id",
-        "potion_sku",
-        pct_change(F.col("unit_price_copper"), F.col("base_price_copper")).alias("price_change"),
-    )
+    change = pct_change(F.col("unit_price_copper"), F.col("base_price_copper"))
+    return _marts(spark, sf_dir).priced_lines().select("order_item_id", "potion_sku", change.alias("price_change"))
 
 
 def amount_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

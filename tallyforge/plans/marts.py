@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+import math
+from datetime import datetime, timedelta
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tallyforge.functions.audit import with_audit_columns
 from tallyforge.operators.checks import checked_columns, run_checks
 from tallyforge.operators.history import history_partition, take_snapshot
 from tallyforge.operators.pivots import discover_values
-from tallyforge.operators.skew import HotKeys, hot_keys
+from tallyforge.operators.skew import HotKeys, hot_keys, spread_join
 from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
@@ -22,7 +23,7 @@ from tallyforge.streaming.incremental import load
 
 
 class RawTables(Protocol):
-    """Where the raw extracts come from."""
+    """Where the raw extracts come from; ``source_paths`` is empty where files are unknown."""
 
     spark: SparkSession
 
@@ -52,7 +53,7 @@ class RetailMarts:
         self.raw, self.spark = raw, raw.spark
         self.settings = settings or Settings()
         self._profiles: dict[str, dict[str, HotKeys]] = {}
-        self._sizes: dict[str, int] = {}
+        self._sizes: dict[str, float] = {}
 
     def _hot(self, table: str, column: str, lookup: str) -> HotKeys | None:
         """Hot values of a join key; None where the join is too small to need them."""
@@ -69,9 +70,11 @@ class RetailMarts:
         """The staged table as a join side: broadcast when its files are small, else as it is."""
         return F.broadcast(df) if self._bytes(table) <= self.settings.broadcast_bytes else df
 
-    def _bytes(self, table: str) -> int:
+    def _bytes(self, table: str) -> float:
+        """Size of a raw table's files; infinite when it cannot be told."""
         if table not in self._sizes:
-            self._sizes[table] = sum(tree_bytes(self.spark, path) for path in self.raw.source_paths(table))
+            sizes = [tree_bytes(self.spark, path) for path in self.raw.source_paths(table)]
+            self._sizes[table] = sum(sizes) if sizes and all(sizes) else math.inf
         return self._sizes[table]
 
     # Staging
@@ -194,6 +197,15 @@ class RetailMarts:
         potions = self._lookup("raw_potions", self.stg_potions())
         return facts.brew_yield(self.stg_brew_events(), potions, hot)
 
+    def priced_lines(self) -> DataFrame:
+        """Order lines with their potion's list price."""
+        listed = self.stg_potions().select("potion_sku", "base_price_copper")
+        hot = self._hot("raw_order_items", "potion_sku", "raw_potions")
+        potions = self._lookup("raw_potions", listed)
+        return spread_join(
+            self.stg_order_items(), potions, "potion_sku", "left", hot, F.monotonically_increasing_id()
+        )
+
     # Dimensions
 
     def current_membership(self) -> DataFrame:
@@ -226,7 +238,7 @@ class RetailMarts:
     def supplier_scorecard(self) -> DataFrame:
         return dimensions.supplier_scorecard(self.stg_suppliers(), self.stg_ingredients())
 
-    def snapshot_memberships(self, table: PublishedTable, at, memberships: DataFrame | None = None) -> None:
+    def snapshot_memberships(self, table: PublishedTable, at: datetime, memberships: DataFrame | None = None) -> None:
         """Record membership versions as of ``at``."""
         source = self.stg_guild_memberships() if memberships is None else memberships
         take_snapshot(table, source, "membership_id", ["tier", "guild_id", "valid_to"], at)

@@ -62,3 +62,21 @@ class ExtractFolder:
 
     def source_paths(self, name: str) -> list[str]:
         return [self.path(name)]
+
+
+class CatalogTables:
+    """Raw tables registered in a catalog database, or as session views without one."""
+
+    def __init__(self, spark: SparkSession, database: str | None = None) -> None:
+        self.spark, self.database = spark, database
+
+    def _name(self, name: str) -> str:
+        return f"{self.database}.{name}" if self.database else name
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(self._name(name))
+
+    def source_paths(self, name: str) -> list[str]:
+        """Where the table is stored; empty for views."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(name)}")
+        return [row.data_type for row in described.filter("col_name = 'Location'").collect()]

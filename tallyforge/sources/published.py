@@ -180,7 +180,7 @@ def audited_publish(
     """
     spark = df.sparkSession
     table.replace(df)
-    line = spark.range(1).select(
+    line = spark.range(0, 1, 1, 1).select(
         F.lit(table.path.rsplit("/", 1)[-1]).alias("relation_name"),
         F.current_timestamp().cast("timestamp_ntz").alias("built_at"),
         F.lit(run_id).alias("run_id"),

@@ -10,7 +10,7 @@ from tallyforge.operators.pivots import discover_values, pivot_present_values, s
 from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.marts import RetailMarts
 from tallyforge.settings import Settings
-from tallyforge.sources.extracts import SCHEMAS, ExtractFolder
+from tallyforge.sources.extracts import SCHEMAS, CatalogTables, ExtractFolder
 
 SETTINGS = Settings(run_id="test")
 RAW = {
@@ -289,3 +289,26 @@ def test_models_over_csv_extracts(spark, tmp_path, marts, rows):
     landed = RetailMarts(ExtractFolder(spark, str(tmp_path)), SETTINGS)
     for model in ("fct_orders", "dim_customers", "dim_potions", "supplier_scorecard", "brew_yield"):
         assert rows(getattr(landed, model)()) == rows(getattr(marts, model)())
+
+
+def test_models_over_session_views(spark, marts, rows):
+    for name in RAW:
+        Crafted(spark).table(name).createOrReplaceTempView(name)
+    over_views = RetailMarts(CatalogTables(spark), SETTINGS)
+    assert rows(over_views.fct_orders()) == rows(marts.fct_orders())
+
+
+def test_lookups_of_unknown_size_are_not_broadcast(spark, marts, capsys):
+    assert marts._bytes("raw_shops") == float("inf")
+    marts._lookup("raw_shops", marts.stg_shops()).explain("extended")
+    assert "ResolvedHint" not in capsys.readouterr().out
+
+
+def test_catalog_table_location(spark, tmp_path):
+    path = str(tmp_path / "guilds")
+    Crafted(spark).table("raw_guilds").write.parquet(path)
+    spark.sql(f"CREATE TABLE catalog_guilds USING parquet LOCATION '{path}'")
+    try:
+        assert CatalogTables(spark, "default").source_paths("catalog_guilds") == [f"file:{path}"]
+    finally:
+        spark.sql("DROP TABLE catalog_guilds")
