@@ -55,8 +55,10 @@ class Unique:
     def label(self) -> str:
         return ",".join(self.columns)
 
-    def failures(self, df: DataFrame) -> DataFrame:
-        return repeated_keys(df, self.columns).agg(F.count(F.lit(1)).alias("failures"))
+    def repeats(self, occurrences: Column) -> Column:
+        """Whether a group of equal values fails; NULL counts as a value only in a combination."""
+        repeated = occurrences > 1
+        return repeated & F.col(self.columns[0]).isNotNull() if len(self.columns) == 1 else repeated
 
 
 @dataclass(frozen=True)
@@ -81,12 +83,6 @@ class Relationship:
 Check = NotNull | AcceptedValues | Unique | Relationship
 
 
-def checked_columns(checks: Sequence[Check]) -> list[str]:
-    """The columns a list of checks reads of its own table."""
-    names = [name for check in checks for name in check.label.split(",")]
-    return list(dict.fromkeys(names))
-
-
 def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key values occurring more than once, with their row counts.
 
@@ -128,40 +124,50 @@ def duplicate_audit(df: DataFrame, key: str) -> DataFrame:
 def run_checks(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -> DataFrame:
     """Run every check: (table_name, check_name, column_name, failures).
 
-    The row-wise checks of a table share one pass over only the columns they name.
+    One pass per table serves its row-wise checks and its first uniqueness check; a further
+    uniqueness check, and each relationship, is a pass of its own.
     """
     results = []
     for table, wanted in checks.items():
         df = tables[table]
         rowwise = [c for c in wanted if isinstance(c, (NotNull, AcceptedValues))]
-        if rowwise:
-            counts = df.agg(*(F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(rowwise)))
-            lines = F.array(
-                *(
-                    F.struct(F.lit(c.name).alias("check_name"), F.lit(c.label).alias("column_name"),
-                             F.col(f"c{i}").alias("failures"))
-                    for i, c in enumerate(rowwise)
-                )
-            )
-            results.append(
-                counts.select(F.inline(lines)).select(F.lit(table).alias("table_name"), "check_name", "column_name", "failures")
-            )
-        for check in wanted:
-            if isinstance(check, Unique):
-                failures = check.failures(df)
-            elif isinstance(check, Relationship):
-                failures = check.failures(df, tables[check.parent])
-            else:
-                continue
-            results.append(
-                failures.select(
-                    F.lit(table).alias("table_name"),
-                    F.lit(check.name).alias("check_name"),
-                    F.lit(check.label).alias("column_name"),
-                    "failures",
-                )
-            )
-    return reduce(DataFrame.unionByName, results)
+        unique = [c for c in wanted if isinstance(c, Unique)]
+        related = [c for c in wanted if isinstance(c, Relationship)]
+        if rowwise or unique:
+            results.append(_one_pass(table, df, rowwise, unique[0] if unique else None))
+        results += [_one_pass(table, df, [], check) for check in unique[1:]]
+        results += [_lines(table, [c], c.failures(df, tables[c.parent]), ["failures"]) for c in related]
+    while len(results) > 1:  # in pairs, as every union analyses all of its inputs again
+        results = [reduce(DataFrame.unionByName, results[i : i + 2]) for i in range(0, len(results), 2)]
+    return results[0]
+
+
+def _one_pass(table: str, df: DataFrame, rowwise: Sequence[Check], unique: Unique | None) -> DataFrame:
+    """Failures of row-wise checks and at most one uniqueness check.
+
+    With a uniqueness check the row-wise counts ride along its grouping: they are summed per
+    key before the shuffle and over all keys after it.
+    """
+    names = [f"c{i}" for i in range(len(rowwise))]
+    counts = [F.count_if(check.failing()).alias(name) for check, name in zip(rowwise, names)]
+    if unique is None:
+        return _lines(table, rowwise, df.agg(*counts), names)
+    per_key = df.groupBy(*unique.columns).agg(F.count(F.lit(1)).alias("occurrences"), *counts)
+    totals = per_key.agg(
+        F.count_if(unique.repeats(F.col("occurrences"))).alias("repeats"),
+        *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names),
+    )
+    return _lines(table, [unique, *rowwise], totals, ["repeats", *names])
+
+
+def _lines(table: str, checks: Sequence[Check], counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of counts as one line per check."""
+    lines = ", ".join(
+        f"struct('{table}' AS table_name, '{check.name}' AS check_name, '{check.label}' AS column_name, "
+        f"{name} AS failures)"
+        for check, name in zip(checks, names)
+    )
+    return counts.selectExpr(f"inline(array({lines}))")
 
 
 def unlisted_values(df: DataFrame, column: str, listed: Sequence[str]) -> DataFrame:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import wraps
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.audit import with_audit_columns
-from tallyforge.operators.checks import checked_columns, run_checks
+from tallyforge.operators.checks import run_checks
 from tallyforge.operators.history import history_partition, take_snapshot
 from tallyforge.operators.pivots import discover_values
 from tallyforge.operators.skew import HotKeys, hot_keys, spread_join
@@ -18,7 +20,7 @@ from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
 from tallyforge.sources.published import PublishedTable, audited_publish, month_partition
-from tallyforge.sources.storage import materialize, tree_bytes
+from tallyforge.sources.storage import tree_bytes
 from tallyforge.streaming.incremental import load
 
 
@@ -42,6 +44,18 @@ FOREIGN_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+def _once(build: Callable[[RetailMarts], DataFrame]) -> Callable[[RetailMarts], DataFrame]:
+    """Build a staging plan once per assembly; models that share it share the plan, not its rows."""
+
+    @wraps(build)
+    def staged(self: RetailMarts) -> DataFrame:
+        if build.__name__ not in self._staged:
+            self._staged[build.__name__] = build(self)
+        return self._staged[build.__name__]
+
+    return staged
+
+
 class RetailMarts:
     """Lazy models over raw tables as they are when the object is made; a call builds a plan.
 
@@ -54,6 +68,7 @@ class RetailMarts:
         self.settings = settings or Settings()
         self._profiles: dict[str, dict[str, HotKeys]] = {}
         self._sizes: dict[str, float] = {}
+        self._staged: dict[str, DataFrame] = {}
 
     def _hot(self, table: str, column: str, lookup: str) -> HotKeys | None:
         """Hot values of a join key; None where the join is too small to need them."""
@@ -79,39 +94,51 @@ class RetailMarts:
 
     # Staging
 
+    @_once
     def stg_orders(self) -> DataFrame:
         return staging.orders(self.raw.table("raw_orders"), self.settings)
 
+    @_once
     def stg_order_items(self) -> DataFrame:
         return staging.order_items(self.raw.table("raw_order_items"), self.settings)
 
+    @_once
     def stg_payments(self) -> DataFrame:
         return staging.payments(self.raw.table("raw_payments"), self.settings)
 
+    @_once
     def stg_potions(self) -> DataFrame:
         return staging.potions(self.raw.table("raw_potions"), self.settings)
 
+    @_once
     def stg_shops(self) -> DataFrame:
         return staging.shops(self.raw.table("raw_shops"))
 
+    @_once
     def stg_suppliers(self) -> DataFrame:
         return staging.suppliers(self.raw.table("raw_suppliers"))
 
+    @_once
     def stg_ingredients(self) -> DataFrame:
         return staging.ingredients(self.raw.table("raw_ingredients"), self.settings)
 
+    @_once
     def stg_potion_ingredients(self) -> DataFrame:
         return staging.potion_ingredients(self.raw.table("raw_potion_ingredients"))
 
+    @_once
     def stg_brew_events(self) -> DataFrame:
         return staging.brew_events(self.raw.table("raw_brew_events"))
 
+    @_once
     def stg_customers(self) -> DataFrame:
         return staging.customers(self.raw.table("raw_customers"))
 
+    @_once
     def stg_guilds(self) -> DataFrame:
         return staging.guilds(self.raw.table("raw_guilds"))
 
+    @_once
     def stg_guild_memberships(self) -> DataFrame:
         return staging.guild_memberships(self.raw.table("raw_guild_memberships"))
 
@@ -284,7 +311,5 @@ class RetailMarts:
             "dim_potions": self.dim_potions(),
             "agg_revenue_by_region": self.revenue_by_region(),
         }
-        # Several checks read each mart, so its checked columns are computed once.
-        built = {name: materialize(df.select(*checked_columns(CHECKS[name]))) for name, df in tables.items()}
         staged = {name: getattr(self, name)() for name in CHECKS if name.startswith("stg_")}
-        return run_checks({**built, **staged}, CHECKS)
+        return run_checks({**tables, **staged}, CHECKS)

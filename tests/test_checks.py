@@ -54,15 +54,23 @@ def test_checks_on_an_empty_table(spark, rows):
     assert {line[3] for line in got} == {0} and len(got) == 3
 
 
-def test_row_checks_of_a_table_share_one_scan(spark, tmp_path, capsys):
+def test_checks_of_a_table_share_one_scan(spark, tmp_path, capsys):
     path = str(tmp_path / "t")
     spark.range(5).selectExpr("id", "id as b", "id as unused").write.parquet(path)
-    run_checks({"t": spark.read.parquet(path)}, {"t": [NotNull("id"), NotNull("b")]}).explain("formatted")
+    checks = [Unique(("id",)), NotNull("id"), NotNull("b")]
+    run_checks({"t": spark.read.parquet(path)}, {"t": checks}).explain("formatted")
     plan = capsys.readouterr().out
     assert plan.count("Scan parquet") == 2  # once in the tree, once in its details
     assert "unused" not in plan
 
 
+def test_several_uniqueness_checks_with_row_checks(tables, rows):
+    checks = [Unique(("id",)), NotNull("kind"), Unique(("kind",)), AcceptedValues("kind", ("a",)), Unique(("id", "kind"))]
+    got = rows(run_checks(tables, {"child": checks}), "check_name", "column_name", "failures")
+    assert got == [("accepted_values", "kind", 2), ("not_null", "kind", 1), ("unique", "id", 1), ("unique", "kind", 1),
+                   ("unique_combination", "id,kind", 0)]
+
+
 def test_orphans_shuffle_counted_keys(tables, rows):
     assert rows(orphans(tables["child"], "parent", tables["parent"], "pid")) == [(9, 2)]
 
