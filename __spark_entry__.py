@@ -33,6 +33,7 @@ from tallyforge.operators.checks import (
 from tallyforge.operators.pivots import distinct_values
 from tallyforge.plans import staging
 from tallyforge.plans.aggregates import CATEGORIES
+from tallyforge.plans.build import build, check_build
 from tallyforge.plans.marts import RetailMarts
 from tallyforge.plans.quality import ORDER_STATUSES
 from tallyforge.settings import Settings
@@ -314,6 +315,12 @@ def check_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_checks(tables, checks)
 
 
+def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks' results after every mart has been published."""
+    marts = _marts(spark, sf_dir)
+    return check_build(marts, build(marts, scratch_dir(spark), FIRST_SNAPSHOT, shelved=True))
+
+
 def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_audit(_marts(spark, sf_dir).stg_order_items(), "order_item_id")
 
@@ -386,6 +393,7 @@ REGISTERED: dict[str, Query] = {
     "check_drift": check_drift,
     "check_negative": check_negative,
     "check_all": _model("check_all"),
+    "full_build": full_build,
     "duplicate_audit": audit_lines,
 }
 

@@ -636,6 +636,7 @@ OUTPUTS: dict[str, tuple[str, str]] = {
             _related("lines", "order_id", "stg_orders", "stg_order_items"),
             _related("orders", "shop_id", "stg_shops", "stg_orders")]) + ")", CHECK),
     "check_all": ("(" + " UNION ALL ".join(ALL_CHECKS) + ")", CHECK),
+    "full_build": ("(" + " UNION ALL ".join(ALL_CHECKS) + ")", CHECK),
     "duplicate_audit": (
         """(SELECT count(*) AS total_rows, count(DISTINCT order_item_id) AS distinct_ids,
             count(*) - count(DISTINCT order_item_id) AS duplicates FROM stg_order_items)""",

@@ -243,11 +243,11 @@ class RetailMarts:
     def customer_activity(self) -> DataFrame:
         return dimensions.customer_activity(facts.with_payments(self.stg_orders(), self.order_payments()))
 
-    def dim_customers(self) -> DataFrame:
+    def dim_customers(self, orders: DataFrame | None = None) -> DataFrame:
+        """The customer dimension, from published order facts when they are given."""
+        activity = self.customer_activity() if orders is None else dimensions.customer_activity(orders)
         hot = self._hot("raw_guild_memberships", "customer_id", "raw_customers")
-        return dimensions.dim_customers(
-            self.stg_customers(), self.current_membership(), self.customer_activity(), hot
-        )
+        return dimensions.dim_customers(self.stg_customers(), self.current_membership(), activity, hot)
 
     def recipe_cost(self) -> DataFrame:
         hot = self._hot("raw_potion_ingredients", "ingredient_id", "raw_ingredients")
