@@ -65,7 +65,7 @@ def spread_join(
     change when a task is retried.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"spread_join does {how!r} joins by no means")
+        raise ValueError(f"spread_join is for inner and left joins, not {how!r}")
     if not hot:
         return many.join(one, key, how)
     salted = _with_copies(many, key, hot).withColumn(SALT, F.pmod(spread, F.col(COPIES))).drop(COPIES)

@@ -72,10 +72,10 @@ class RetailMarts:
 
     def _hot(self, table: str, column: str, lookup: str) -> HotKeys | None:
         """Hot values of a join key; None where the join is too small to need them."""
-        if self._bytes(table) < self.settings.skew_check_bytes:
-            return None
         if self._bytes(lookup) <= self.settings.broadcast_bytes:
             return None
+        if self._bytes(table) < self.settings.skew_check_bytes:
+            return None
         if table not in self._profiles:
             found = hot_keys(self.raw.table(table), FOREIGN_KEYS[table])
             self._profiles[table] = {hot.column: hot for hot in found}

@@ -175,14 +175,17 @@ def audited_publish(
 ) -> DataFrame:
     """Rebuild ``table`` from ``df`` and append a line to the build ledger; returns the ledger.
 
+    Build times are UTC.
+
     Rows are counted on the published files, whose footers hold the counts, rather than while
     writing, where a retried task could be counted twice.
     """
     spark = df.sparkSession
     table.replace(df)
+    now = F.current_timestamp().cast("timestamp_ntz")
     line = spark.range(0, 1, 1, 1).select(
         F.lit(table.path.rsplit("/", 1)[-1]).alias("relation_name"),
-        F.current_timestamp().cast("timestamp_ntz").alias("built_at"),
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), now).alias("built_at"),
         F.lit(run_id).alias("run_id"),
         F.lit(table.read().count()).cast("bigint").alias("row_count"),
         F.lit(compliance_owner).alias("compliance_owner"),

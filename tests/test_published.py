@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +158,25 @@ def test_ledger_grows_by_a_line_per_build(spark, tmp_path, table):
     assert all(line.built_at is not None for line in lines)
 
 
+def test_build_time_is_utc_in_any_session_zone(spark, tmp_path, table):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        (line,) = audited_publish(frame(spark, (1, "a", 10)), table, str(tmp_path / "ledger"), "run").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs(datetime.now(UTC).replace(tzinfo=None) - line.built_at) < timedelta(minutes=5)
+
+
+def test_a_partition_is_written_by_one_task_when_small(spark, table):
+    """Eight tasks hold rows of every partition; without rebalancing each would write three files."""
+    df = spark.range(0, 8000, 1, 8).selectExpr("id", "concat('g', id % 3) AS grp", "id AS amount")
+    table.replace(df)
+    files = {part: [n for d in dirs for n in storage.list_names(spark, f"{table.path}/{d}") if n.endswith(".parquet")]
+             for part, dirs in table.manifest().dirs.items()}
+    assert {part: len(names) for part, names in files.items()} == {"g0": 1, "g1": 1, "g2": 1}
+
+
 def test_backfill_mode_stores_nothing_and_gives_the_same_rows(spark, tmp_path, rows):
     raw = DriverTables(spark, "/root/testdata/sf0.001")
     stored = PublishedTable(spark, str(tmp_path / "stored"))
