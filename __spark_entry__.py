@@ -43,7 +43,7 @@ from tallyforge.sources.published import PublishedTable
 from tallyforge.sources.storage import scratch_dir
 from tallyforge.streaming.incremental import high_water_mark, load, load_keyless, newer_rows
 
-CUTOFF = datetime(2024, 1, 16)
+BEFORE_CUTOFF = "paid_at < TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 FIRST_SNAPSHOT = datetime(2024, 1, 1)
 SECOND_SNAPSHOT = datetime(2024, 2, 1)
 RUN_ID = "registered-query"
@@ -125,7 +125,7 @@ def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What one run reads when the table holds the payments before the cutoff."""
     marts = _marts(spark, sf_dir)
     table = marts.payment_events_table(scratch_dir(spark))
-    table.replace(marts.stg_payments().filter(F.col("paid_at") < F.lit(CUTOFF)))
+    table.replace(marts.stg_payments().filter(BEFORE_CUTOFF))
     return newer_rows(marts.stg_payments(), "paid_at", high_water_mark(table, "paid_at"))
 
 
@@ -153,10 +153,10 @@ def incremental_upsert_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = _marts(spark, sf_dir)
     table = marts.payment_events_table(scratch_dir(spark))
     rows = marts.stg_payments()
-    table.replace(rows.filter(F.col("paid_at") < F.lit(CUTOFF)))
+    table.replace(rows.filter(BEFORE_CUTOFF))
     corrected = rows.filter(F.col("payment_status") == "failed").withColumn("amount_copper", F.col("amount_copper") + 7)
     table.upsert(corrected, ["payment_id"])
-    table.upsert(rows.filter(F.col("paid_at") >= F.lit(CUTOFF)), ["payment_id"])
+    table.upsert(rows.filter(f"NOT ({BEFORE_CUTOFF})"), ["payment_id"])
     return table.read()
 
 
@@ -164,8 +164,7 @@ def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payments after refunds land late and a run looks two days behind the mark."""
     marts = _marts(spark, sf_dir)
     table = marts.payment_events_table(scratch_dir(spark))
-    early = (F.col("paid_at") < F.lit(CUTOFF)) & (F.col("payment_status") != "refunded")
-    table.replace(marts.stg_payments().filter(early))
+    table.replace(marts.stg_payments().filter(f"{BEFORE_CUTOFF} AND payment_status <> 'refunded'"))
     marts.load_payment_events(table, lookback=timedelta(days=2))
     return table.read()
 

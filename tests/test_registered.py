@@ -27,3 +27,13 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_entry(spark):
     assert registered.entry(spark).count() == 1500
+
+
+@pytest.mark.parametrize("name", ["incremental_delta", "incremental_lookback", "revenue_by_region", "scd2_check"])
+def test_results_do_not_depend_on_the_session_zone(spark, duck, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert oracle_compare.differences(QUERIES[name](spark, SF_DIR), duck, SQL[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
