@@ -50,6 +50,14 @@ RUN_ID = "registered-query"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:  # These two may be taken out of the repository; everything else stays as it is.
+    import corpus_pipeline
+    from tallyforge.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tallyforge.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 
 def _marts(spark: SparkSession, sf_dir: str, **settings) -> RetailMarts:
     return RetailMarts(DriverTables(spark, sf_dir), Settings(run_id=RUN_ID, **settings))
@@ -406,8 +414,16 @@ def queries() -> dict[str, Query]:
     def comparable(query: Query) -> Query:
         return lambda spark, sf_dir: _comparable(query(spark, sf_dir))
 
-    return {name: comparable(query) for name, query in REGISTERED.items()}
+    found = {name: comparable(query) for name, query in REGISTERED.items()}
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    found = oracles.build()
+    if corpus:
+        found |= corpus.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

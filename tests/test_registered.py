@@ -8,7 +8,8 @@ import __spark_entry__ as registered
 import oracle_compare
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+QUERIES = {name: query for name, query in registered.queries().items() if name in registered.REGISTERED}
+SQL = {name: sql for name, sql in registered.oracle_sql().items() if name in registered.REGISTERED}
 
 
 @pytest.fixture(scope="module")
