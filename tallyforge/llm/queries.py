@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, quality
+from tallyforge.llm import decontaminate, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,22 @@ def op1_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_longest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_cascade": op1_quality_cascade,
+    "op2_longest_first": op2_longest_first,
     "op5_wu_manber": op5_wu_manber,
+    "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
 ORACLES: dict[str, str] = {}
