@@ -1 +1,8 @@
 """Training-data operators over documents and web pages; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers whole, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, mixing, quality, sharding
+from tallyforge.llm import decontaminate, mixing, neardup, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_longest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,7 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_cascade": op1_quality_cascade,
     "op2_longest_first": op2_longest_first,
+    "op3_hyperminhash": op3_hyperminhash,
     "op5_wu_manber": op5_wu_manber,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }

@@ -12,12 +12,11 @@ from pyspark.sql.types import StructField, StructType
 #: A word: no space and none of the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
-_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 
 
 def lower_ascii(text: str) -> str:
     """Lower-case A to Z only."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    return text.encode().lower().decode()
 
 
 def map_column(
