@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, mixing, neardup, quality, runindex, sharding
+from tallyforge.llm import decontaminate, lm, mixing, neardup, quality, runindex, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runindex.repeat_report(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op2_longest_first": op2_longest_first,
     "op3_hyperminhash": op3_hyperminhash,
     "op5_wu_manber": op5_wu_manber,
+    "op7_context_mixing": op7_context_mixing,
     "op9_run_length_index": op9_run_length_index,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
