@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
+from tallyforge.llm.hashing import scramble
 from tallyforge.llm.words import find_words, lower_ascii, map_column
 from tallyforge.sources.storage import materialize
 
@@ -58,7 +59,7 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     count = len(words) - size + 1
     mixed = np.full(count, np.uint64(size))
     for step in range(size):
-        mixed = _scramble(mixed ^ values[step : step + count])
+        mixed = scramble(mixed ^ values[step : step + count])
     return np.unique(mixed)
 
 
@@ -66,14 +67,6 @@ def _hash_word(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit mix (the finalizer of splitmix64)."""
-    x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """One register per bucket: leading zeros of the smallest hash, then its mantissa bits."""
     registers = np.full(BUCKETS, _EMPTY, np.uint16)
