@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
 from tallyforge.llm.hashing import scramble
+from tallyforge.llm.rows import bounded
 from tallyforge.llm.words import find_words, lower_ascii, map_column
 from tallyforge.sources.storage import materialize
 
@@ -41,8 +42,6 @@ _EMPTY = 0xFFFF
 _REST_BITS = 64 - BUCKET_BITS
 #: The estimate's standard error at similarity 0.8 is 0.025; pairs six of them below are dropped.
 MARGIN = 0.15
-#: Up to so many ids are broadcast to fetch their texts; more are joined by a shuffle.
-BROADCAST_IDS = 1 << 20
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -164,10 +163,7 @@ def _stack(column: pa.Array) -> np.ndarray:
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is listed in ``nodes``, a written table of distinct ids."""
-    wanted = nodes.withColumnRenamed("node", "id")
-    if nodes.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return docs.join(wanted, "id", "left_semi")
+    return docs.join(bounded(nodes.withColumnRenamed("node", "id")), "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:

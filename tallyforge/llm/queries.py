@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, lm, mixing, neardup, quality, runindex, sharding
+from tallyforge.llm import decontaminate, licenses, lm, mixing, neardup, quality, runindex, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,14 +27,26 @@ def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_report(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
 def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(_table(spark, sf_dir, "pages"))
+
+
 def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_winnowed_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runindex.repeat_report(_table(spark, sf_dir, "documents"))
 
@@ -47,9 +59,26 @@ QUERIES: dict[str, Query] = {
     "op1_quality_cascade": op1_quality_cascade,
     "op2_longest_first": op2_longest_first,
     "op3_hyperminhash": op3_hyperminhash,
+    "op4_url_rules": op4_url_rules,
     "op5_wu_manber": op5_wu_manber,
+    "op6_capture_index": op6_capture_index,
     "op7_context_mixing": op7_context_mixing,
+    "op8_winnowed_licenses": op8_winnowed_licenses,
     "op9_run_length_index": op9_run_length_index,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_capture_index": """
+        WITH paged AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        stored AS (
+            SELECT payload_digest, max(page_id) AS first_id FROM paged WHERE payload_bytes >= 1000 GROUP BY 1
+        )
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN s.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN s.first_id <> p.page_id THEN s.first_id END AS refers_to
+        FROM paged p LEFT JOIN stored s USING (payload_digest)
+    """,
+}

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 ROW = "scan_row"
 #: Rows that one task sorts when running totals are made.
 CHUNK_ROWS = 1 << 16
+#: Rows up to which a written table is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 1 << 19
 
 
 def scan_row() -> Column:
@@ -53,3 +55,8 @@ def total_before(df: DataFrame, group: list[str], chunk: Column, order: list[Col
     local = cut.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     joined = local.join(offsets, [*group, "_chunk"])
     return joined.withColumn(name, F.col("_offset") + F.col("_local")).drop("_chunk", "_offset", "_local")
+
+
+def bounded(df: DataFrame, size: int | None = None) -> DataFrame:
+    """``df``, a written table of narrow rows, marked for broadcast if ``size`` (its rows) is small."""
+    return F.broadcast(df) if (df.count() if size is None else size) <= BROADCAST_ROWS else df

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
@@ -19,6 +21,21 @@ def lower_ascii(text: str) -> str:
     return text.encode().lower().decode()
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a fixed number; one per task."""
+
+    LIMIT = 1 << 18
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[word] = code = xxhash.xxh3_64_intdigest(word)
+        return code
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
 def map_column(
     df: DataFrame, column: str, fields: list[StructField], compute: Callable[[list], list[list]], keep_column: bool = False
 ) -> DataFrame:
