@@ -126,22 +126,20 @@ class LicenseIndex:
 def align(template: list[str], words: list[str], diagonal: int, band: int) -> tuple[int, int, int]:
     """Most template words matched in order near ``diagonal``; first and last matched place.
 
-    Cell (i, d) is template word i against text word i + diagonal + d for d within the band. Of
-    equal counts the shorter stretch of text is taken.
+    Cell (i, d) is template word i against text word i + diagonal + d - band. Of equal counts the
+    shorter stretch of text is taken, then the one that starts closer to the diagonal.
     """
-    nothing = (0, 0, 0)  # matched, -stretch so far, -first place
+    nothing = (0, 0, 0, 0)  # matched, -stretch so far, -distance of the start, start
     width = 2 * band + 1
-    row = [nothing] * width
-    ends = [-1] * width
+    row, ends = [nothing] * width, [-1] * width
     for i, word in enumerate(template):
         new_row, new_ends = [nothing] * width, [-1] * width
         for d in range(width):
             at = i + diagonal + d - band
-            best, end = row[d], ends[d]  # template word left out, text word consumed
+            best, end = row[d], ends[d]  # template word against another word
             if 0 <= at < len(words) and words[at] == word:
-                matched, _, first = row[d]
-                first = first if matched else -at
-                grown = (matched + 1, -(at + first), first)
+                matched, _, off, start = row[d] if row[d][0] else (0, 0, -abs(d - band), at)
+                grown = (matched + 1, start - at, off, start)
                 if grown > best:
                     best, end = grown, at
             if d + 1 < width and row[d + 1] > best:  # template word missing in the text
@@ -151,7 +149,7 @@ def align(template: list[str], words: list[str], diagonal: int, band: int) -> tu
             new_row[d], new_ends[d] = best, end
         row, ends = new_row, new_ends
     top = max(range(width), key=lambda d: row[d])
-    return row[top][0], -row[top][2], ends[top]
+    return row[top][0], row[top][3], ends[top]
 
 
 def scan_licenses(

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import fixtures
+from tallyforge.llm import runindex
+from tallyforge.llm.runindex import RunIndex, find_pieces, merge_spans
+
+
+def brute_spans(texts, length):
+    where = {}
+    for number, text in enumerate(texts):
+        for k in range(len(text) - length + 1):
+            where.setdefault(text[k : k + length], []).append((number, k))
+    spans = [[] for _ in texts]
+    for places in where.values():
+        if len(places) > 1:
+            for number, k in places:
+                spans[number].append((k, k + length))
+    return [merge_spans(found) for found in spans]
+
+
+def random_texts(rng):
+    alphabet = rng.choice([1, 2, 3, 256])
+    draw = lambda n: bytes(rng.randrange(alphabet) for _ in range(n))
+    base = draw(60)
+    texts = []
+    for _ in range(rng.randrange(1, 7)):
+        text, start = draw(rng.randrange(1, 40)), rng.randrange(50)
+        texts.append(text + (base[start : start + rng.randrange(5, 40)] + draw(rng.randrange(20)) if rng.random() < 0.6 else b""))
+    return texts
+
+
+def test_index_equals_brute_force():
+    rng = random.Random(1)
+    for _ in range(150):
+        texts, length = random_texts(rng), rng.choice([3, 5, 8, 20])
+        assert [merge_spans(found) for found in RunIndex(texts).repeats(length)] == brute_spans(texts, length)
+
+
+def test_matching_statistics_and_runs():
+    index = RunIndex([b"abracadabra", b"cadab"])
+    text, at = b"abracadabra", 4
+    assert index.matching_statistics()[at] == 5  # "cadab" is the other text
+    assert index.run_lengths.sum() == index.size == len(text) + 5 + 2
+    repetitive = RunIndex([b"the same passage again and again " * 3 + bytes([k]) for k in range(40)])
+    assert len(repetitive.run_lengths) < repetitive.size / 10
+
+
+def test_pieces_hold_every_window_once_and_equal_windows_share_anchors():
+    rng = random.Random(5)
+    for _ in range(60):
+        length, anchor = rng.choice([(20, 5), (30, 8), (12, 12)])
+        texts = [bytes(rng.randrange(3) for _ in range(rng.randrange(120))) for _ in range(5)]
+        bounds = np.r_[0, np.cumsum([len(text) for text in texts])]
+        anchors, owner, starts, lengths = find_pieces(np.frombuffer(b"".join(texts), np.uint8), bounds, length, anchor)
+        windows, by_content = [], {}
+        for code, text, start, size in zip(anchors, owner, starts - bounds[owner], lengths):
+            for k in range(start, start + size - length + 1):
+                windows.append((text, k))
+                assert by_content.setdefault(texts[text][k : k + length], code) == code
+        assert sorted(windows) == [(t, k) for t, text in enumerate(texts) for k in range(len(text) - length + 1)]
+
+
+def repeat_rows():
+    passage, other = fixtures.prose(60, 90, 10**5), fixtures.prose(61, 80, 10**5)
+    texts = [
+        None,
+        "",
+        "short",
+        fixtures.prose(62, 50) + " " + passage + " " + fixtures.prose(63, 50),
+        fixtures.prose(64, 30) + "\n" + passage + "\n" + other,
+        other + " " + fixtures.prose(65, 200, 10**5),
+        "é" * 400,
+        "ab" * 300,
+        fixtures.prose(66, 100, 10**5),
+        fixtures.prose(66, 100, 10**5),
+        fixtures.edited(fixtures.prose(67, 300, 10**5), 1, 3),
+        fixtures.edited(fixtures.prose(67, 300, 10**5), 2, 3),
+        passage[:199] + "!",
+        fixtures.prose(68, 100, 10**5) + passage[100:299],
+    ]
+    return [(k, text, None, None, None) for k, text in enumerate(texts)] + [(None, texts[5], None, None, None)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"index_bytes": 500, "hot_bytes": 700}, {"hot_bytes": 0}], ids=["usual", "small", "counted"])
+def test_report_equals_brute_force(spark, limits):
+    rows = repeat_rows() + fixtures.awkward_rows()
+    got = runindex.repeat_report(fixtures.awkward(spark, rows), **limits).collect()
+    expected = [(row[0], *out) for row, out in zip(rows, fixtures.removed([row[1] for row in rows], 200))]
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+def test_long_texts_are_cut_in_overlapping_parts(spark, monkeypatch):
+    monkeypatch.setattr(runindex, "CHUNK_BYTES", 1000)
+    rows = repeat_rows()
+    got = runindex.repeat_report(fixtures.awkward(spark, rows)).collect()
+    expected = [(row[0], *out) for row, out in zip(rows, fixtures.removed([row[1] for row in rows], 200))]
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+def test_empty_table(spark):
+    assert runindex.repeat_report(fixtures.awkward(spark, [])).collect() == []
