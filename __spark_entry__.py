@@ -114,7 +114,8 @@ def orders_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def regulated_sales_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The build ledger after publishing the regulated sales twice, without its clock column."""
     root = scratch_dir(spark)
-    table, marts = PublishedTable(spark, f"{root}/regulated_sales"), _marts(spark, sf_dir)
+    table = PublishedTable(spark, f"{root}/regulated_sales", relation="marts.regulated_sales")
+    marts = _marts(spark, sf_dir)
     marts.publish_regulated_sales(table, f"{root}/build_ledger")
     return marts.publish_regulated_sales(table, f"{root}/build_ledger").drop("built_at")
 
@@ -177,6 +178,56 @@ def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+class TextTimes(DriverTables):
+    """Payments as a feed lands them: times as text in both shapes, some after blanks, some unreadable."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__(spark, sf_dir)
+        self.path = scratch_dir(spark)
+        super().raw_payments().withColumn("paid_at", F.expr(PAID_TEXT)).write.parquet(self.path)
+
+    def raw_payments(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+
+PAID_TEXT = """CASE WHEN payment_id % 97 = 0 THEN 'n/a'
+    ELSE concat(if(payment_id % 5 = 0, '  ', ''), date_format(paid_at,
+        if(payment_id % 2 = 0, "yyyy-MM-dd'T'HH:mm:ss'Z'", 'yyyy-MM-dd HH:mm:ss'))) END"""
+
+
+def incremental_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payments of a text feed after a first load of the older ones and one run."""
+    marts = RetailMarts(TextTimes(spark, sf_dir), Settings(run_id=RUN_ID))
+    table = marts.payment_events_table(scratch_dir(spark))
+    table.replace(marts.stg_payments().filter(f"{BEFORE_CUTOFF} OR paid_at IS NULL"))
+    marts.load_payment_texts(table)
+    return table.read()
+
+
+def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments spread over seven months, after corrections in two of them and a move between two."""
+    marts = _marts(spark, sf_dir)
+    table = marts.payment_events_table(scratch_dir(spark))
+    rows = marts.stg_payments().withColumn("paid_at", F.expr("paid_at + make_ym_interval(0, int(payment_id % 7))"))
+    table.replace(rows)
+    table.upsert(rows.filter("payment_id % 70 IN (1, 3)").withColumn("amount_copper", F.lit(5).cast("bigint")), ["payment_id"])
+    moved = F.expr("paid_at + make_ym_interval(0, 1)")
+    table.upsert(rows.filter("payment_id % 70 = 2").withColumn("paid_at", moved), ["payment_id"])
+    table.compact(1)
+    table.expire(1, timedelta(0))
+    return table.read()
+
+
+def _built(name: str) -> Query:
+    """The rows of one mart after the full build."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        marts = _marts(spark, sf_dir)
+        return build(marts, scratch_dir(spark), FIRST_SNAPSHOT, shelved=True)[name].read()
+
+    return read
+
+
 # History
 
 
@@ -344,6 +395,11 @@ REGISTERED: dict[str, Query] = {
     "incremental_upsert": incremental_upsert,
     "incremental_upsert_changed": incremental_upsert_changed,
     "incremental_lookback": incremental_lookback,
+    "incremental_text_times": incremental_text_times,
+    "incremental_months": incremental_months,
+    "built_order_items": _built("fct_order_items"),
+    "built_backfill": _built("fct_orders_backfill"),
+    "built_channel_mix": _built("agg_shop_channel_mix"),
     "scd2_check": _membership_history,
     "scd2_deletes": scd2_deletes,
     "stg_orders": _model("stg_orders"),
@@ -380,6 +436,8 @@ REGISTERED: dict[str, Query] = {
     "revenue_by_region": _model("revenue_by_region"),
     "monthly_revenue": monthly_revenue,
     "category_list": category_list,
+    "category_revenue": _model("category_revenue"),
+    "spread_order_items": _model("fct_order_items", task_bytes=2000, broadcast_bytes=-1),
     "category_revenue_pivot": _model("category_revenue_pivot"),
     "payment_method_mix": _model("payment_method_mix"),
     "payment_method_mix_dynamic": _model("payment_method_mix_dynamic"),

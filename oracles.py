@@ -477,7 +477,7 @@ OUTPUTS: dict[str, tuple[str, str]] = {
     "orders_audited": ("(SELECT order_id, true AS is_stamped, 'registered-query' AS run_id FROM stg_orders)",
                        "order_id:b is_stamped run_id"),
     "regulated_sales_ledger": (
-        """(SELECT 'regulated_sales' AS relation_name, 'registered-query' AS run_id, n AS row_count,
+        """(SELECT 'marts.regulated_sales' AS relation_name, 'registered-query' AS run_id, n AS row_count,
             'guild-audit-team' AS compliance_owner
             FROM (SELECT count(*) AS n FROM regulated_sales), (SELECT unnest([1, 2])))""",
         "relation_name run_id row_count:b compliance_owner"),
@@ -494,6 +494,16 @@ OUTPUTS: dict[str, tuple[str, str]] = {
     "incremental_upsert_changed": (
         """(SELECT * REPLACE (CASE WHEN payment_status = 'failed' AND paid_at < TIMESTAMP '2024-01-16'
             THEN amount_copper + 7 ELSE amount_copper END AS amount_copper) FROM stg_payments)""", PAYMENT),
+    "incremental_text_times": (
+        """(SELECT * REPLACE (CASE WHEN payment_id % 97 = 0 THEN NULL ELSE CAST(date_trunc('second', paid_at) AS TIMESTAMP)
+            END AS paid_at) FROM stg_payments)""", PAYMENT),
+    "incremental_months": (
+        """(SELECT * REPLACE (
+                CASE WHEN payment_id % 70 IN (1, 3) THEN 5 ELSE amount_copper END AS amount_copper,
+                CAST(CASE WHEN payment_id % 70 = 2
+                    THEN paid_at + to_months(CAST(payment_id % 7 AS INTEGER)) + INTERVAL 1 MONTH
+                    ELSE paid_at + to_months(CAST(payment_id % 7 AS INTEGER)) END AS TIMESTAMP) AS paid_at)
+            FROM stg_payments)""", PAYMENT),
     "incremental_lookback": (
         """(SELECT * FROM stg_payments WHERE (paid_at < TIMESTAMP '2024-01-16' AND payment_status <> 'refunded')
             OR paid_at >= (SELECT max(paid_at) - INTERVAL 2 DAY FROM stg_payments
@@ -572,6 +582,11 @@ OUTPUTS: dict[str, tuple[str, str]] = {
     "category_revenue_pivot": ("category_revenue_pivot", "shop_region order_month "
                                + " ".join(f"revenue_{c}_gold:d" for c in CATEGORIES)
                                + " revenue_total_gold:d order_count:b"),
+    "category_revenue": (
+        """(SELECT shop_region, CAST(date_trunc('month', ordered_at) AS TIMESTAMP) AS order_month, potion_category,
+            sum(gross_line_amount_gold) AS revenue_gold, count(*) AS line_count
+            FROM fct_order_items WHERE order_status = 'completed' GROUP BY ALL)""",
+        "shop_region order_month potion_category revenue_gold:d line_count:b"),
     "payment_method_mix": ("payment_method_mix", f"shop_region {MIX}"),
     "payment_method_mix_dynamic": ("payment_method_mix", f"shop_region {MIX}"),
     "payment_mix_total": ("payment_mix_total", "shop_region "
@@ -643,6 +658,13 @@ OUTPUTS: dict[str, tuple[str, str]] = {
         "total_rows:b distinct_ids:b duplicates:b"),
 }
 
+OUTPUTS |= {
+    "built_order_items": OUTPUTS["fct_order_items"],
+    "spread_order_items": OUTPUTS["fct_order_items"],
+    "built_backfill": OUTPUTS["orders_backfill_stored"],
+    "built_channel_mix": OUTPUTS["channel_mix"],
+}
+
 CTES = {**RAW, **MODELS}
 CAST_TO = {"b": "BIGINT", "d": "DOUBLE"}
 

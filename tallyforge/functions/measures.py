@@ -55,6 +55,8 @@ def is_weekend(at: Column) -> Column:
 
 def period_start(at: Column, unit: str) -> Column:
     """First instant of the month, quarter or year, without passing through a time zone."""
+    if unit not in ("month", "quarter", "year"):
+        raise ValueError(f"no period {unit!r}; month, quarter or year")
     return F.trunc(at.cast("date"), unit).cast("timestamp_ntz")
 
 

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators.checks import require_unique
 from tallyforge.sources.published import PublishedTable
-from tallyforge.sources.storage import materialize
+from tallyforge.sources.storage import scratch_space
 
 OPEN, CLOSED = "open", "closed"
+LAST_SNAPSHOT = "last_snapshot"
 VERSION_COLUMNS = ("version_from", "version_to", "version_updated_at", "version_id")
 
 
-def history_partition() -> Column:
-    """Partition expression that keeps open versions apart from closed ones."""
-    return F.when(F.col("version_to").isNull(), OPEN).otherwise(CLOSED)
+def history_partition(key: str, buckets: int = 16) -> Column:
+    """Partition expression: closed versions apart, open ones in buckets by key."""
+    bucket = F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), len(str(buckets - 1)), "0")
+    return F.when(F.col("version_to").isNull(), F.concat(F.lit(f"{OPEN}-"), bucket)).otherwise(CLOSED)
 
 
 def first_versions(source: DataFrame, key: str, at: datetime) -> DataFrame:
@@ -34,12 +36,14 @@ def next_versions(
     check_columns: Sequence[str],
     at: datetime,
     invalidate_deletes: bool = True,
+    only_changes: bool = False,
 ) -> DataFrame:
     """Compare the open versions with the source as of ``at``.
 
     Yields all open versions, closed where a check column changed (NULL-safe) or, with
     ``invalidate_deletes``, where the key is gone; plus a new open version of every changed
-    or new key. Other columns of an unchanged row keep their stored values. One shuffle join.
+    or new key. With ``only_changes``, versions that stay open are left out. Other columns of an
+    unchanged row keep their stored values. One shuffle join.
     """
     columns = [name for name in source.columns]
     old, new = open_versions.alias("old"), source.alias("new")
@@ -53,7 +57,7 @@ def next_versions(
     instant = _instant(at)
 
     stored = F.when(
-        was,
+        was & closes if only_changes else was,
         F.struct(
             *(F.col(f"old.{c}").alias(c) for c in columns),
             F.col("old.version_from").alias("version_from"),
@@ -77,17 +81,32 @@ def take_snapshot(
 ) -> None:
     """Bring a published history up to ``at``. Closed versions are never read or rewritten.
 
-    A key that repeats or is NULL in the source is an error.
+    Of the open ones, a bucket is rewritten only if a key in it changed. A key that repeats or is
+    NULL in the source is an error, and so is a change as of an instant that is not later than
+    the last snapshot's; without changes such a replay does nothing.
     """
-    source = materialize(source)
-    require_unique(source, [key])
-    if not source.filter(F.col(key).isNull()).isEmpty():
-        raise ValueError(f"{key} is NULL in the snapshot source")
-    base = table.manifest()
-    if base is None:
-        return table.replace(first_versions(source, key, at))
-    versions = next_versions(table.read([OPEN], base), source, key, check_columns, at, invalidate_deletes)
-    table.replace_partitions(versions, [OPEN], base)
+    spark = table.spark
+    with scratch_space(spark) as keep:
+        source = keep(source)
+        require_unique(source, [key])
+        if not source.filter(F.col(key).isNull()).isEmpty():
+            raise ValueError(f"{key} is NULL in the snapshot source")
+        base, notes = table.manifest(), {LAST_SNAPSHOT: at.isoformat()}
+        if base is None:
+            return table.replace(first_versions(source, key, at), notes)
+        late = LAST_SNAPSHOT in base.notes and at <= datetime.fromisoformat(base.notes[LAST_SNAPSHOT])
+        open_parts = [part for part in base.dirs if part.startswith(OPEN)]
+        open_versions = table.read(open_parts, base)
+        changes = keep(next_versions(open_versions, source, key, check_columns, at, invalidate_deletes, True))
+        if changes.isEmpty():
+            return None if late else table.replace_partitions(changes, [], base, notes)
+        if late:
+            raise ValueError(f"a snapshot as of {base.notes[LAST_SNAPSHOT]} exists; {at} is not later")
+        # The bucket of a key's open version, whether this one is closing or opening.
+        as_open = changes.select(key, F.lit(None).cast("timestamp_ntz").alias("version_to"))
+        buckets = [row[0] for row in as_open.select(table.partition).distinct().collect()]
+        kept = table.read(buckets, base).join(changes.select(key), key, "left_anti")
+        table.replace_partitions(kept.select(*changes.columns).unionByName(changes), buckets, base, notes)
 
 
 def _instant(at: datetime) -> Column:

@@ -11,28 +11,22 @@ from pyspark.sql import functions as F
 from tallyforge.functions.conform import clean_token
 from tallyforge.sources.storage import materialize
 
-MAX_VALUES = 1000
-
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The normalised values of a column, in order."""
     return df.select(clean_token(F.col(column)).alias(column)).distinct().orderBy(column)
 
 
-def discover_values(
-    df: DataFrame | None, column: str, fallback: Sequence[str], most: int = MAX_VALUES
-) -> list[str]:
+def discover_values(df: DataFrame | None, column: str, fallback: Sequence[str]) -> list[str]:
     """The values to pivot on: those present, or ``fallback`` for a missing or empty table.
 
-    More than ``most`` values are an error, as they cannot become columns.
+    Each becomes a column, so there are as many as a plan can have; for more, keep the values in
+    rows.
     """
     if df is None:
         return list(fallback)
     present = distinct_values(df, column).filter(F.col(column).isNotNull())
-    values = [row[0] for row in present.limit(most + 1).collect()]
-    if len(values) > most:
-        raise ValueError(f"{column} has more than {most} values; declare the list instead")
-    return values or list(fallback)
+    return [row[0] for row in present.collect()] or list(fallback)
 
 
 def sums_by_value(
@@ -60,4 +54,5 @@ def pivot_present_values(
     read from that small result instead of running the whole input a second time.
     """
     sums = materialize(df.groupBy(group, category).agg(F.sum(amount).alias("amount")))
-    return sums.groupBy(group).pivot(category).agg(F.sum("amount"))
+    values = [row[0] for row in sums.select(category).distinct().orderBy(category).collect()]
+    return sums.groupBy(group).pivot(category, values).agg(F.sum("amount"))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 SALT = "_salt"
 COPIES = "_copies"
+#: Values a sketch can report, a tenth of what it can track; and bytes of a row of unknown size.
+MOST_KEYS, ROW_BYTES = 100_000, 100
 
 
 @dataclass(frozen=True)
@@ -30,28 +32,28 @@ class HotKeys:
         return bool(self.copies)
 
 
-def hot_keys(df: DataFrame, columns: Sequence[str], tasks: int | None = None, min_share: float = 0.001) -> list[HotKeys]:
-    """Values of each column that hold at least ``min_share`` of the rows and several tasks' worth.
+def hot_keys(df: DataFrame, columns: Sequence[str], total_bytes: float, task_bytes: int) -> list[HotKeys]:
+    """Values of each column whose rows would fill at least two tasks of ``task_bytes``.
 
-    One pass with mergeable sketches: each task returns a small summary, nothing is shuffled
-    by key. At most ``1 / min_share`` values can qualify per column. Shares are estimates;
-    they only decide how a key is spread.
+    ``total_bytes`` is the size of ``df``; where it is not known (infinite) rows count as
+    ``ROW_BYTES`` each. One pass with mergeable sketches: each task returns a small summary,
+    nothing is shuffled by key. At most ``total_bytes / (2 * task_bytes)`` values can qualify per
+    column; a sketch reports ``MOST_KEYS`` of them, and a key too small to be among those, a
+    millionth of a table that large, is left to adaptive execution. Shares are estimates; they
+    only decide how a key is spread.
     """
-    if tasks is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = math.ceil(1 / min_share)
+    if math.isinf(total_bytes):
+        total_bytes = df.count() * ROW_BYTES
+    if total_bytes < 2 * task_bytes:
+        return [HotKeys(column, {}) for column in columns]
+    k = min(MOST_KEYS, math.ceil(total_bytes / (2 * task_bytes)))
     top = df.agg(
         F.count(F.lit(1)), *(F.expr(f"approx_top_k(`{column}`, {k}, {10 * k})") for column in columns)
     ).first()
     total, found = top[0], []
     for column, items in zip(columns, top[1:]):
-        copies = {}
-        for item in items or []:
-            share = item["count"] / total
-            # Several mean partitions in one key: the point at which Spark calls a partition skewed.
-            if share >= min_share and share * tasks >= 2:
-                copies[item["item"]] = math.ceil(share * tasks)
-        found.append(HotKeys(column, copies))
+        tasks = {item["item"]: item["count"] / total * total_bytes / task_bytes for item in items or []}
+        found.append(HotKeys(column, {key: math.ceil(filled) for key, filled in tasks.items() if filled >= 2}))
     return found
 
 

@@ -62,6 +62,16 @@ def category_revenue_pivot(order_items_fact: DataFrame, categories: Sequence[str
     )
 
 
+def category_revenue(order_items_fact: DataFrame) -> DataFrame:
+    """Completed revenue by region, month and category in rows, for any number of categories."""
+    month = period_start(F.col("ordered_at"), "month").alias("order_month")
+    return (
+        order_items_fact.filter(F.col("order_status") == "completed")
+        .groupBy("shop_region", month, "potion_category")
+        .agg(F.sum("gross_line_amount_gold").alias("revenue_gold"), F.count(F.lit(1)).alias("line_count"))
+    )
+
+
 def _paid(orders: DataFrame) -> DataFrame:
     return orders.filter((F.col("order_status") == "completed") & F.col("primary_payment_method").isNotNull())
 
@@ -91,9 +101,13 @@ def channel_mix_labelled(
 ) -> DataFrame:
     """Region by month per channel, in one pass over the orders of all channels."""
     totals = item_totals.select("order_id", "gross_amount_gold")
+    return channel_mix_of_facts(orders.join(totals, "order_id", "left"), channels)
+
+
+def channel_mix_of_facts(orders: DataFrame, channels: Sequence[str] = MIX_CHANNELS) -> DataFrame:
+    """The same from orders that have their basket amount, such as the order fact."""
     return (
         orders.filter(F.col("channel").isin(*channels))
-        .join(totals, "order_id", "left")
         .groupBy("channel", "shop_region", period_start(F.col("ordered_at"), "month").alias("order_month"))
         .agg(
             F.sum("gross_amount_gold").alias("gross_revenue_gold"),

@@ -38,7 +38,7 @@ def build(marts: RetailMarts, root: str, at: datetime, shelved: bool = False) ->
     publish("dim_potions", with_audit_columns(marts.dim_potions(), run_id))
 
     backfill_table = PublishedTable(marts.spark, f"{root}/fct_orders_backfill")
-    backfill = marts.publish_orders_backfill(backfill_table)
+    backfill = marts.publish_orders_backfill(backfill_table, orders)
     if backfill_table.exists():
         tables["fct_orders_backfill"] = backfill_table
     revenue = aggregates.revenue_by_region(backfill, marts.stg_shops())
@@ -48,7 +48,9 @@ def build(marts: RetailMarts, root: str, at: datetime, shelved: bool = False) ->
     publish("agg_category_revenue_pivot", aggregates.category_revenue_pivot(lines, categories))
     publish("agg_payment_method_mix", aggregates.payment_method_mix(orders))
 
-    regulated = tables["fct_regulated_sales"] = PublishedTable(marts.spark, f"{root}/fct_regulated_sales")
+    regulated = tables["fct_regulated_sales"] = PublishedTable(
+        marts.spark, f"{root}/fct_regulated_sales", relation=f"{root.rpartition('/')[2]}.fct_regulated_sales"
+    )
     audited_publish(facts.regulated_sales(lines), regulated, f"{root}/{LEDGER}", run_id, "guild-audit-team")
 
     events = tables["fct_payment_events"] = marts.payment_events_table(f"{root}/fct_payment_events")
@@ -57,7 +59,7 @@ def build(marts: RetailMarts, root: str, at: datetime, shelved: bool = False) ->
     marts.snapshot_memberships(history, at)
 
     if shelved:
-        publish("agg_shop_channel_mix", marts.channel_mix())
+        publish("agg_shop_channel_mix", aggregates.channel_mix_of_facts(orders).drop("channel"))
         publish("dim_supplier_scorecard", dimensions.supplier_scorecard(marts.stg_suppliers(), marts.stg_ingredients()))
         publish("fct_brew_yield", marts.brew_yield())
     return tables

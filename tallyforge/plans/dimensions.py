@@ -13,12 +13,12 @@ from tallyforge.settings import Settings
 SEGMENTS = (("archmage", 500), ("adept", 150))
 
 
-def current_membership(memberships: DataFrame, guilds: DataFrame, hot_guilds: HotKeys | None = None) -> DataFrame:
+def open_memberships(memberships: DataFrame, guilds: DataFrame, hot_guilds: HotKeys | None = None) -> DataFrame:
     """Open memberships with their guild. A customer with two open rows keeps both."""
     current = memberships.filter("is_current_membership")
     named = guilds.select("guild_id", "guild_name")
     return spread_join(current, named, "guild_id", "inner", hot_guilds, F.xxhash64("membership_id")).select(
-        "customer_id", "guild_id", "tier", "guild_name", F.col("valid_from").alias("tier_since")
+        "membership_id", "customer_id", "guild_id", "tier", "guild_name", F.col("valid_from").alias("tier_since")
     )
 
 
@@ -42,9 +42,10 @@ def dim_customers(
     """Customer with current guild standing, lifetime activity and value segment.
 
     One row per customer and open membership; the uniqueness check reports a customer with
-    several.
+    several. Rows of a customer with very many are told apart by ``membership_id``.
     """
     standing = membership.select(
+        "membership_id",
         "customer_id",
         "guild_id",
         "guild_name",
@@ -57,7 +58,7 @@ def dim_customers(
         F.when(spent >= top_from, top).when(spent >= middle_from, middle).when(spent > 0, "apprentice").otherwise("prospect")
     )
     known = customers.join(activity, "customer_id", "left")
-    return spread_left_join(known, standing, "customer_id", hot_members, F.xxhash64("guild_id", "guild_tier_since")).select(
+    return spread_left_join(known, standing, "customer_id", hot_members, F.xxhash64("membership_id")).select(
         "customer_id",
         "full_name",
         "email",

@@ -207,6 +207,22 @@ def orders_backfill(orders: DataFrame, item_totals: DataFrame, settings: Setting
     )
 
 
+def slim_orders(orders: DataFrame, settings: Settings) -> DataFrame:
+    """The same slim fact, cut out of the order fact."""
+    return orders.select(
+        "order_id",
+        "shop_region",
+        "channel",
+        "order_status",
+        "ordered_at",
+        period_start(F.col("ordered_at"), "month").alias("order_month"),
+        "gross_amount_copper",
+        "gross_amount_gold",
+        copper_to_gold(F.col("discount_copper"), settings.copper_per_gold).alias("discount_gold"),
+        F.lit(settings.run_mode).alias("pipeline_run_mode"),
+    )
+
+
 def regulated_sales(order_items_fact: DataFrame) -> DataFrame:
     """Completed sales of regulated potions, with the reporting quarter."""
     kept = order_items_fact.filter(F.col("is_regulated") & (F.col("order_status") == "completed")).select(

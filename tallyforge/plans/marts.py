@@ -20,8 +20,8 @@ from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
 from tallyforge.sources.published import PublishedTable, audited_publish, month_partition
-from tallyforge.sources.storage import tree_bytes
-from tallyforge.streaming.incremental import load
+from tallyforge.sources.storage import materialize, tree_bytes
+from tallyforge.streaming.incremental import high_water_mark, load, possibly_newer
 
 
 class RawTables(Protocol):
@@ -71,13 +71,17 @@ class RetailMarts:
         self._staged: dict[str, DataFrame] = {}
 
     def _hot(self, table: str, column: str, lookup: str) -> HotKeys | None:
-        """Hot values of a join key; None where the join is too small to need them."""
+        """Hot values of a join key; None where the lookup is broadcast.
+
+        Profiling a table of several tasks runs one pass over its keys when a model that joins it
+        is first built; a smaller table cannot have hot keys.
+        """
         if self._bytes(lookup) <= self.settings.broadcast_bytes:
             return None
-        if self._bytes(table) < self.settings.skew_check_bytes:
-            return None
         if table not in self._profiles:
-            found = hot_keys(self.raw.table(table), FOREIGN_KEYS[table])
+            found = hot_keys(
+                self.raw.table(table), FOREIGN_KEYS[table], self._bytes(table), self.settings.task_bytes
+            )
             self._profiles[table] = {hot.column: hot for hot in found}
         return self._profiles[table][column]
 
@@ -193,9 +197,12 @@ class RetailMarts:
     def orders_backfill(self) -> DataFrame:
         return facts.orders_backfill(self.orders_with_shops(), self.order_item_totals(), self.settings)
 
-    def publish_orders_backfill(self, table: PublishedTable) -> DataFrame:
-        """The slim order fact: stored in standard mode, a plan only during a backfill."""
-        rows = self.orders_backfill()
+    def publish_orders_backfill(self, table: PublishedTable, orders: DataFrame | None = None) -> DataFrame:
+        """The slim order fact: stored in standard mode, a plan only during a backfill.
+
+        It is cut out of the published order facts when they are given.
+        """
+        rows = self.orders_backfill() if orders is None else facts.slim_orders(orders, self.settings)
         if self.settings.run_mode == "backfill":
             return rows
         table.replace(rows)
@@ -204,6 +211,12 @@ class RetailMarts:
     def regulated_sales(self) -> DataFrame:
         return facts.regulated_sales(self.fct_order_items())
 
+    def load_payment_texts(self, table: PublishedTable, lookback: timedelta = timedelta(0)) -> None:
+        """The same run for a feed with text times: the window reaches the scan as a text filter."""
+        mark = high_water_mark(table, "paid_at") if table.exists() else None
+        raw = possibly_newer(self.raw.table("raw_payments"), "paid_at", mark, lookback)
+        load(table, staging.payments(raw, self.settings), "paid_at", ["payment_id"], lookback)
+
     def publish_regulated_sales(self, table: PublishedTable, ledger_path: str) -> DataFrame:
         """Publish the regulated sales and return the build ledger."""
         return audited_publish(
@@ -211,7 +224,9 @@ class RetailMarts:
         )
 
     def payment_events_table(self, path: str) -> PublishedTable:
-        return PublishedTable(self.spark, path, month_partition("paid_at"))
+        return PublishedTable(
+            self.spark, path, month_partition("paid_at"), keys=["payment_id"], ordered_by="paid_at"
+        )
 
     def load_payment_events(
         self, table: PublishedTable, lookback: timedelta = timedelta(0), full_refresh: bool = False
@@ -236,9 +251,13 @@ class RetailMarts:
     # Dimensions
 
     def current_membership(self) -> DataFrame:
+        return self.customer_memberships().drop("membership_id")
+
+    def customer_memberships(self) -> DataFrame:
+        """Current memberships with their ids."""
         hot = self._hot("raw_guild_memberships", "guild_id", "raw_guilds")
         guilds = self._lookup("raw_guilds", self.stg_guilds())
-        return dimensions.current_membership(self.stg_guild_memberships(), guilds, hot)
+        return dimensions.open_memberships(self.stg_guild_memberships(), guilds, hot)
 
     def customer_activity(self) -> DataFrame:
         return dimensions.customer_activity(facts.with_payments(self.stg_orders(), self.order_payments()))
@@ -247,7 +266,7 @@ class RetailMarts:
         """The customer dimension, from published order facts when they are given."""
         activity = self.customer_activity() if orders is None else dimensions.customer_activity(orders)
         hot = self._hot("raw_guild_memberships", "customer_id", "raw_customers")
-        return dimensions.dim_customers(self.stg_customers(), self.current_membership(), activity, hot)
+        return dimensions.dim_customers(self.stg_customers(), self.customer_memberships(), activity, hot)
 
     def recipe_cost(self) -> DataFrame:
         hot = self._hot("raw_potion_ingredients", "ingredient_id", "raw_ingredients")
@@ -271,7 +290,7 @@ class RetailMarts:
         take_snapshot(table, source, "membership_id", ["tier", "guild_id", "valid_to"], at)
 
     def memberships_history_table(self, path: str) -> PublishedTable:
-        return PublishedTable(self.spark, path, history_partition())
+        return PublishedTable(self.spark, path, history_partition("membership_id"))
 
     # Aggregates
 
@@ -285,6 +304,9 @@ class RetailMarts:
         categories = discover_values(self.stg_potions(), "category", aggregates.CATEGORIES)
         return aggregates.category_revenue_pivot(self.fct_order_items(), categories)
 
+    def category_revenue(self) -> DataFrame:
+        return aggregates.category_revenue(self.fct_order_items())
+
     def payment_method_mix(self) -> DataFrame:
         return aggregates.payment_method_mix(self.orders_with_outcome())
 
@@ -303,13 +325,16 @@ class RetailMarts:
     # Checks
 
     def check_all(self) -> DataFrame:
-        """All declared checks, one row each."""
+        """All declared checks, one row each; the two facts are worked out and written once."""
+        orders, lines = materialize(self.fct_orders()), materialize(self.fct_order_items())
         tables = {
-            "fct_orders": self.fct_orders(),
-            "fct_order_items": self.fct_order_items(),
-            "dim_customers": self.dim_customers(),
+            "fct_orders": orders,
+            "fct_order_items": lines,
+            "dim_customers": self.dim_customers(orders),
             "dim_potions": self.dim_potions(),
-            "agg_revenue_by_region": self.revenue_by_region(),
+            "agg_revenue_by_region": aggregates.revenue_by_region(
+                facts.slim_orders(orders, self.settings), self.stg_shops()
+            ),
         }
         staged = {name: getattr(self, name)() for name in CHECKS if name.startswith("stg_")}
         return run_checks({**tables, **staged}, CHECKS)

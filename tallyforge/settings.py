@@ -14,15 +14,16 @@ class Settings:
     (``"standard"`` stores it, ``"backfill"`` keeps it as a plan only) and ``run_id``
     the identifier stamped into audit columns and the build ledger.
 
-    ``skew_check_bytes`` is the raw-table size from which join keys are profiled for hot
-    values. A lookup whose files are at most ``broadcast_bytes`` (Spark's default limit) is
-    broadcast; its joins do not shuffle and are not profiled.
+    ``task_bytes`` is what one task of a join should hold, in file bytes: join keys whose rows
+    would fill two tasks or more are spread over as many as they fill. A lookup whose files are
+    at most ``broadcast_bytes`` is broadcast; its joins do not shuffle and are not profiled. File
+    bytes are compressed: decoded, a lookup may take about ten times that on every executor.
     """
 
     copper_per_gold: int = 100
     run_mode: str = "standard"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
-    skew_check_bytes: int = 1 << 30
+    task_bytes: int = 64 << 20
     broadcast_bytes: int = 10 << 20
 
     def __post_init__(self) -> None:

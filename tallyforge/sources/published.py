@@ -6,7 +6,12 @@ failed job leaves nothing visible. Of two runs that start from one version, the
 
 A table may be split by a partition expression (payments by month, snapshots by open and
 closed). An upsert rewrites only the partitions it touches; the manifest carries the rest
-over unread.
+over unread. For a table with declared keys the manifest also holds, per directory, the range
+of each key and a filter of key hashes, so an upsert looks for its keys only where they may be.
+
+Former versions stay readable until ``expire`` removes them. The manifest is created with a
+rename that must refuse an existing target, as HDFS and local file systems do; on an object
+store that does not, let one run write a table at a time.
 """
 
 from __future__ import annotations
@@ -14,17 +19,23 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import UTC, datetime, timedelta
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StringType, StructType
 
 from tallyforge.operators.checks import require_unique
 from tallyforge.sources import storage
 
 PART = "part_value"
+#: Hash slots of a directory's key filter; a directory that fills more than half of them has none.
+FILTER_SLOTS = 1 << 13
+#: Keys of a delta up to which they are broadcast to the search.
+BROADCAST_KEYS = 1 << 17
 
 
 def month_partition(at: str) -> Column:
@@ -32,11 +43,59 @@ def month_partition(at: str) -> Column:
     return F.substring(F.col(at).cast("string"), 1, 7)
 
 
+@dataclass(frozen=True)
+class KeyStats:
+    """Bounds of the key columns (None where unknown) and hash slots in use (None: any)."""
+
+    low: list
+    high: list
+    slots: frozenset[int] | None
+
+    def may_meet(self, other: KeyStats) -> bool:
+        for low, high, from_, to in zip(self.low, self.high, other.low, other.high):
+            if None not in (low, high, from_, to) and (to < low or high < from_):
+                return False
+        return self.slots is None or other.slots is None or not self.slots.isdisjoint(other.slots)
+
+    def to_json(self) -> dict:
+        return {"low": self.low, "high": self.high, "slots": None if self.slots is None else sorted(self.slots)}
+
+    @staticmethod
+    def from_json(body: dict) -> KeyStats:
+        slots = body["slots"]
+        return KeyStats(body["low"], body["high"], None if slots is None else frozenset(slots))
+
+
+def _key_stats(keys: Sequence[str], schema: StructType) -> list[Column]:
+    """Aggregates that make a KeyStats; bounds only for types whose order JSON keeps."""
+    ordered = [isinstance(schema[key].dataType, (IntegralType, StringType)) for key in keys]
+    bound = lambda make, key, known: make(key) if known else F.lit(None)
+    known = reduce(lambda a, b: a & b, (F.col(f"`{key}`").isNotNull() for key in keys))
+    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_SLOTS))
+    slots = F.collect_set(F.when(known, slot).cast("int"))
+    return [
+        F.array(*(bound(F.min, key, is_known).cast("string") for key, is_known in zip(keys, ordered))).alias("low"),
+        F.array(*(bound(F.max, key, is_known).cast("string") for key, is_known in zip(keys, ordered))).alias("high"),
+        F.when(F.size(slots) <= FILTER_SLOTS // 2, slots).alias("slots"),
+        F.count_if(known).alias("n"),
+    ]
+
+
+def _stats_of(row, keys: Sequence[str], schema: StructType) -> KeyStats:
+    typed = [int if isinstance(schema[key].dataType, IntegralType) else str for key in keys]
+    bounds = [[None if v is None else make(v) for make, v in zip(typed, row[name])] for name in ("low", "high")]
+    return KeyStats(*bounds, None if row["slots"] is None else frozenset(row["slots"]))
+
+
 @dataclass(frozen=True)
 class Manifest:
     version: int
     schema: StructType
     dirs: dict[str, list[str]]
+    #: Per directory of a table with keys, what its keys may be.
+    keys: dict[str, KeyStats] = field(default_factory=dict)
+    #: Small facts that belong to a version, such as the instant of a snapshot.
+    notes: dict[str, str] = field(default_factory=dict)
 
     @property
     def all_dirs(self) -> list[str]:
@@ -46,11 +105,23 @@ class Manifest:
 class PublishedTable:
     """A table under ``path``; ``partition`` is a string expression over its rows, if any.
 
-    Rows for which the expression is NULL share the partition ``none``.
+    Rows for which the expression is NULL share the partition ``none``. ``keys`` are the columns
+    upserts go by. ``ordered_by`` names a column in whose order the partition names sort, as
+    months do for their timestamps. ``relation`` is the name the table goes by, its path if none
+    is given.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition: Column | None = None) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        partition: Column | None = None,
+        keys: Sequence[str] = (),
+        ordered_by: str | None = None,
+        relation: str | None = None,
+    ) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.ordered_by, self.relation = tuple(keys), ordered_by, relation or self.path
         if partition is not None:
             partition = F.coalesce(F.nullif(partition.cast("string"), F.lit("")), F.lit("none"))
         self.partition = partition
@@ -60,7 +131,14 @@ class PublishedTable:
         if not names:
             return None
         body = json.loads(storage.read_text(self.spark, f"{self.path}/manifests/{names[-1]}"))
-        return Manifest(body["version"], StructType.fromJson(body["schema"]), body["dirs"])
+        return self._parsed(body)
+
+    @staticmethod
+    def _parsed(body: dict) -> Manifest:
+        stats = {name: KeyStats.from_json(found) for name, found in body.get("keys", {}).items()}
+        return Manifest(
+            body["version"], StructType.fromJson(body["schema"]), body["dirs"], stats, body.get("notes", {})
+        )
 
     def exists(self) -> bool:
         return self.manifest() is not None
@@ -82,10 +160,10 @@ class PublishedTable:
         current = self.manifest()
         return sorted(current.dirs) if current else []
 
-    def replace(self, df: DataFrame) -> None:
+    def replace(self, df: DataFrame, notes: dict[str, str] | None = None) -> None:
         """Full rebuild."""
         current = self.manifest()
-        self._commit(current, df.schema, self._write(df))
+        self._commit(current, df.schema, self._write(df), notes)
 
     def append(self, df: DataFrame) -> None:
         """Add rows as they are; re-read rows become duplicates."""
@@ -102,38 +180,95 @@ class PublishedTable:
         if not keys:
             raise ValueError("an upsert needs at least one key column")
         current = self.manifest()
-        # Written out first: the checks below and the merge must see the same rows.
-        delta = storage.materialize(delta)
-        require_unique(delta, keys)
-        if current is None:
-            return self.replace(delta)
-        self._check_schema(delta, current)
-        touched = self._touched(delta, keys, current)
-        kept = self.read(touched, current).join(delta.select(*keys), list(keys), "left_anti")
-        written = self._write(kept.select(*delta.columns).unionByName(delta))
-        untouched = {part: names for part, names in current.dirs.items() if part not in touched}
-        self._commit(current, current.schema, {**untouched, **written})
-
-    def replace_partitions(self, df: DataFrame, rebuilt: Sequence[str], base: Manifest) -> None:
+        with storage.scratch_space(self.spark) as keep:
+            # Written out first: the checks below and the merge must see the same rows.
+            delta = keep(delta)
+            require_unique(delta, keys)
+            if current is None:
+                return self.replace(delta)
+            self._check_schema(delta, current)
+            touched = self._touched(delta, keys, current)
+            kept = self.read(touched, current).join(delta.select(*keys), list(keys), "left_anti")
+            written = self._write(kept.select(*delta.columns).unionByName(delta))
+            untouched = {part: names for part, names in current.dirs.items() if part not in touched}
+            self._commit(current, current.schema, {**untouched, **written})
+
+    def replace_partitions(
+        self, df: DataFrame, rebuilt: Sequence[str], base: Manifest, notes: dict[str, str] | None = None
+    ) -> None:
         """Rebuild the named partitions of version ``base`` from ``df``; append its other rows."""
         self._check_schema(df, base)
         dirs = {part: list(names) for part, names in base.dirs.items() if part not in rebuilt}
         for part, names in self._write(df).items():
             dirs[part] = dirs.get(part, []) + names
-        self._commit(base, base.schema, dirs)
+        self._commit(base, base.schema, dirs, notes)
+
+    def compact(self, most_dirs: int = 8) -> None:
+        """Rewrite partitions that consist of more than ``most_dirs`` directories into one each."""
+        current = self.manifest()
+        many = [part for part, names in (current.dirs if current else {}).items() if len(names) > most_dirs]
+        if many:
+            self.replace_partitions(self.read(many, current), many, current)
+
+    def expire(self, keep: int = 2, min_age: timedelta = timedelta(days=1)) -> None:
+        """Delete manifests beyond the newest ``keep``, then data that no manifest names.
+
+        Only what has not changed for ``min_age`` is deleted: a reader of an old version and the
+        directories of a running write have that long. Manifests go first, so a crash in between
+        leaves unnamed data, which the next call removes.
+        """
+        if keep < 1:
+            raise ValueError("the newest version has to stay")
+        before = datetime.now(UTC) - min_age
+        names = [n for n in storage.list_names(self.spark, f"{self.path}/manifests") if n.endswith(".json")]
+        for name in names[:-keep]:
+            self._delete_old(f"manifests/{name}", before)
+        named = set()
+        for name in (n for n in storage.list_names(self.spark, f"{self.path}/manifests") if n.endswith(".json")):
+            body = json.loads(storage.read_text(self.spark, f"{self.path}/manifests/{name}"))
+            named |= {part for names in body["dirs"].values() for part in names}
+        for write in storage.list_names(self.spark, f"{self.path}/data"):
+            root = f"data/{write}"
+            children = storage.list_names(self.spark, f"{self.path}/{root}")
+            parts = [f"{root}/{child}" for child in children if child.startswith(f"{PART}=")]
+            if root in named:
+                continue
+            if named.isdisjoint(parts):
+                self._delete_old(root, before)
+            else:
+                for part in set(parts) - named:
+                    self._delete_old(part, before)
+
+    def _delete_old(self, name: str, before: datetime) -> None:
+        changed = storage.modified_at(self.spark, f"{self.path}/{name}")
+        if changed is not None and changed <= before:
+            storage.delete_tree(self.spark, f"{self.path}/{name}")
 
     def _touched(self, delta: DataFrame, keys: Sequence[str], current: Manifest) -> list[str]:
         """Partitions holding a key of ``delta`` or receiving a row of it."""
         if self.partition is None:
             return list(current.dirs)
-        receiving = delta.select(self.partition.alias(PART))
-        holding = (
-            self.read(at=current)
-            .select(*keys, self.partition.alias(PART))
-            .join(delta.select(*keys), list(keys), "left_semi")
-            .select(PART)
-        )
-        return [row[0] for row in receiving.unionByName(holding).distinct().collect()]
+        found = {row[0] for row in delta.select(self.partition.alias(PART)).distinct().collect()}
+        profile = delta.agg(*_key_stats(keys, current.schema)).first()
+        sought = _stats_of(profile, keys, current.schema)
+        wanted = delta.select(*keys)
+        if profile["n"] <= BROADCAST_KEYS:
+            wanted = F.broadcast(wanted)
+        possible = {}
+        for part, names in current.dirs.items():
+            dirs = [name for name in names if self._may_hold(name, keys, sought, current)]
+            if part not in found and profile["n"] and dirs:
+                possible[part] = dirs
+        if possible:
+            paths = [f"{self.path}/{name}" for names in possible.values() for name in names]
+            rows = self.spark.read.schema(current.schema).parquet(*paths).select(*keys, self.partition.alias(PART))
+            found |= {row[0] for row in rows.join(wanted, list(keys), "left_semi").select(PART).distinct().collect()}
+        return sorted(found)
+
+    def _may_hold(self, name: str, keys: Sequence[str], sought: KeyStats, current: Manifest) -> bool:
+        """False when the manifest shows that a directory holds none of the keys."""
+        stats = current.keys.get(name)
+        return stats is None or tuple(keys) != self.keys or stats.may_meet(sought)
 
     def _write(self, df: DataFrame) -> dict[str, list[str]]:
         """Write rows to a new directory; returns its sub-directories by partition."""
@@ -158,10 +293,38 @@ class PublishedTable:
         if new != old:
             raise ValueError(f"schema of {self.path} is {old}, new rows have {new}")
 
-    def _commit(self, base: Manifest | None, schema: StructType, dirs: dict[str, list[str]]) -> None:
+    def _measured(self, base: Manifest | None, schema: StructType, dirs: dict[str, list[str]]) -> dict[str, KeyStats]:
+        """Key statistics of every directory; only the new ones are read, and of them the keys."""
+        if not self.keys:
+            return {}
+        before = base.keys if base else {}
+        names = [name for names in dirs.values() for name in names]
+        stats = {name: before[name] for name in names if name in before}
+        new = sorted({name.split(f"/{PART}=")[0] for name in names if name not in before})
+        for root in new:
+            rows = self.spark.read.schema(schema).parquet(f"{self.path}/{root}")
+            if self.partition is None:
+                stats[root] = _stats_of(rows.agg(*_key_stats(self.keys, schema)).first(), self.keys, schema)
+                continue
+            part = F.coalesce(F.nullif(self.partition, F.lit("")), F.lit("none")).alias(PART)
+            written = {unquote(name.split(f"/{PART}=")[1]): name for name in names if name.startswith(f"{root}/")}
+            for row in rows.select(*self.keys, part).groupBy(PART).agg(*_key_stats(self.keys, schema)).collect():
+                if row[PART] in written:
+                    stats[written[row[PART]]] = _stats_of(row, self.keys, schema)
+        return stats
+
+    def _commit(
+        self,
+        base: Manifest | None,
+        schema: StructType,
+        dirs: dict[str, list[str]],
+        notes: dict[str, str] | None = None,
+    ) -> None:
         """Publish ``dirs`` as the version after ``base``; an error if another run already did."""
         version = base.version + 1 if base else 1
         body = {"version": version, "schema": schema.jsonValue(), "dirs": dirs}
+        body["keys"] = {name: stats.to_json() for name, stats in self._measured(base, schema, dirs).items()}
+        body["notes"] = {**(base.notes if base else {}), **(notes or {})}
         storage.write_new_text(self.spark, f"{self.path}/manifests/{version:010d}.json", json.dumps(body))
 
 
@@ -175,7 +338,9 @@ def audited_publish(
 ) -> DataFrame:
     """Rebuild ``table`` from ``df`` and append a line to the build ledger; returns the ledger.
 
-    Build times are UTC.
+    The ledger is a published table itself and names the whole relation. Its line is written
+    after the table's commit: a run that fails in between leaves a rebuild without a line, and
+    repeating it adds one. Build times are UTC.
 
     Rows are counted on the published files, whose footers hold the counts, rather than while
     writing, where a retried task could be counted twice.
@@ -184,11 +349,13 @@ def audited_publish(
     table.replace(df)
     now = F.current_timestamp().cast("timestamp_ntz")
     line = spark.range(0, 1, 1, 1).select(
-        F.lit(table.path.rsplit("/", 1)[-1]).alias("relation_name"),
+        F.lit(table.relation).alias("relation_name"),
         F.convert_timezone(F.current_timezone(), F.lit("UTC"), now).alias("built_at"),
         F.lit(run_id).alias("run_id"),
         F.lit(table.read().count()).cast("bigint").alias("row_count"),
         F.lit(compliance_owner).alias("compliance_owner"),
     )
-    line.write.mode("append").parquet(ledger_path)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    ledger = PublishedTable(spark, ledger_path)
+    # Through the declared schema, so that every line has the same column types and nullability.
+    ledger.append(spark.createDataFrame(line.collect(), LEDGER_SCHEMA))
+    return ledger.read()

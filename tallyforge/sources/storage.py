@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +54,20 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(f"{path} was written by another run")
 
 
+def modified_at(spark: SparkSession, path: str) -> datetime | None:
+    """When a file or directory was last changed; None when it does not exist."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return None
+    return datetime.fromtimestamp(fs.getFileStatus(target).getModificationTime() / 1000, UTC)
+
+
+def delete_tree(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory tree; nothing happens when it does not exist."""
+    fs, target = _locate(spark, path)
+    fs.delete(target, True)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh directory under the folder all executors share.
 
@@ -65,6 +82,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tallyforge-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A ``materialize`` whose copies are deleted at the end, also after an error.
+
+    Only for copies that nothing lazy outlives.
+    """
+    root = scratch_dir(spark)
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{root}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        delete_tree(spark, root)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to scratch and read it back, so that later jobs do not recompute it."""
     spark = df.sparkSession

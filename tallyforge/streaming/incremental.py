@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from tallyforge.sources.published import PublishedTable
 
 
-def high_water_mark(table: PublishedTable, at: str, monthly: bool = True) -> datetime | None:
+def high_water_mark(table: PublishedTable, at: str) -> datetime | None:
     """The latest value of ``at`` in the table; None when there is none.
 
-    A table split by month is read newest month first, so usually one month is scanned.
+    A table whose partitions are ordered by ``at`` is read from the last one back, so usually one
+    is scanned. Any other partitioning says nothing about ``at``, and the whole column is read.
     """
     parts = [part for part in reversed(table.partitions()) if part != "none"]
-    for selection in ([part] for part in parts) if monthly else [None]:
+    for selection in ([part] for part in parts) if table.ordered_by == at else [None]:
         mark = table.read(selection).agg(F.max(at)).first()[0]
         if mark is not None:
             return mark
@@ -39,6 +40,19 @@ def newer_rows(
     return source.filter(F.col(at) >= start)
 
 
+def possibly_newer(source: DataFrame, raw_at: str, mark: datetime | None, lookback: timedelta = timedelta(0)) -> DataFrame:
+    """Rows whose raw time text can parse to the window's first day or later; the scan filters too.
+
+    Both accepted shapes start with the ISO date after optional blanks, so text that sorts before
+    that date is older, unless it starts with something below a digit, such as a blank. Text of
+    other shapes passes or has no time at all. The exact filter on the parsed time follows.
+    """
+    if mark is None:
+        return source
+    day = (mark - lookback).date().isoformat()
+    return source.filter((F.col(raw_at) >= day) | (F.col(raw_at) < "0"))
+
+
 def load(
     table: PublishedTable,
     source: DataFrame,
@@ -52,7 +66,7 @@ def load(
         raise ValueError("an incremental load needs at least one key column")
     if full_refresh or not table.exists():
         return table.replace(source)
-    mark = high_water_mark(table, at, monthly=table.partition is not None)
+    mark = high_water_mark(table, at)
     table.upsert(newer_rows(source, at, mark, lookback), keys)
 
 
@@ -60,5 +74,5 @@ def load_keyless(table: PublishedTable, source: DataFrame, at: str) -> None:
     """One run without a key: newer rows are appended, so boundary rows duplicate every time."""
     if not table.exists():
         return table.replace(source)
-    mark = high_water_mark(table, at, monthly=table.partition is not None)
+    mark = high_water_mark(table, at)
     table.append(newer_rows(source, at, mark))

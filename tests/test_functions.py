@@ -118,3 +118,9 @@ def test_settings_reject_nonsense():
         Settings(run_mode="nightly")
     with pytest.raises(TypeError):
         Settings(copper_per_crown=1)
+
+
+@pytest.mark.parametrize("unit", ["day", "week", "months", ""])
+def test_other_periods_are_refused(unit):
+    with pytest.raises(ValueError, match="no period"):
+        measures.period_start(F.lit("2024-01-05"), unit)

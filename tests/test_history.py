@@ -14,7 +14,7 @@ T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1, 6,
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return PublishedTable(spark, str(tmp_path / "history"), history_partition())
+    return PublishedTable(spark, str(tmp_path / "history"), history_partition("membership_id", 4))
 
 
 def frame(spark, *data):
@@ -104,3 +104,26 @@ def test_one_shuffle_join(spark, table, capsys):
     next_versions(table.read(["open"]), source, "membership_id", CHECKED, T2).explain()
     plan = capsys.readouterr().out
     assert plan.count("FullOuter") == 1
+
+
+def test_an_older_or_equal_instant_with_changes_is_refused(spark, table, rows):
+    snap(table, frame(spark, (1, "a", 5, None)), T2)
+    before = rows(table.read())
+    for at in (T1, T2):
+        with pytest.raises(ValueError, match="not later"):
+            snap(table, frame(spark, (1, "b", 5, None)), at)
+        snap(table, frame(spark, (1, "a", 5, None)), at)
+    assert rows(table.read()) == before
+    snap(table, frame(spark, (1, "a", 5, None)), T3)
+    with pytest.raises(ValueError, match="not later"):
+        snap(table, frame(spark, (1, "b", 5, None)), T3)
+
+
+def test_unchanged_buckets_are_not_rewritten(spark, table):
+    data = [(k, "a", 5, None) for k in range(40)]
+    snap(table, frame(spark, *data), T1)
+    before = table.manifest().dirs
+    snap(table, frame(spark, (0, "b", 5, None), *data[1:]), T2)
+    after = table.manifest().dirs
+    assert sum(before[part] != after[part] for part in before) == 1 and len(before) == 4
+    assert table.read().filter("version_to is null").count() == 40 and len(after["closed"]) == 1

@@ -3,10 +3,13 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.operators.checks import duplicate_audit
 from tallyforge.sources.published import PublishedTable, month_partition
-from tallyforge.streaming.incremental import high_water_mark, load, load_keyless, newer_rows
+from tallyforge.plans import staging
+from tallyforge.settings import Settings
+from tallyforge.streaming.incremental import high_water_mark, load, load_keyless, newer_rows, possibly_newer
 
 SCHEMA = "payment_id bigint, amount bigint, paid_at timestamp_ntz"
 JAN, FEB, MAR = datetime(2024, 1, 10), datetime(2024, 2, 10, 12), datetime(2024, 3, 1)
@@ -16,10 +19,13 @@ def frame(spark, *data):
     return spark.createDataFrame(list(data), SCHEMA)
 
 
-@pytest.fixture(params=["monthly", "whole"])
+@pytest.fixture(params=["monthly", "whole", "other"])
 def table(spark, tmp_path, request):
-    partition = month_partition("paid_at") if request.param == "monthly" else None
-    return PublishedTable(spark, str(tmp_path / "payments"), partition)
+    if request.param == "whole":
+        return PublishedTable(spark, str(tmp_path / "payments"))
+    partition = month_partition("paid_at") if request.param == "monthly" else F.col("amount") % 3
+    ordered_by = "paid_at" if request.param == "monthly" else None
+    return PublishedTable(spark, str(tmp_path / "payments"), partition, ["payment_id"], ordered_by)
 
 
 def run(table, source, **options):
@@ -27,7 +33,7 @@ def run(table, source, **options):
 
 
 def mark_of(table):
-    return high_water_mark(table, "paid_at", monthly=table.partition is not None)
+    return high_water_mark(table, "paid_at")
 
 
 def test_first_run_loads_everything_also_rows_without_a_time(spark, table, rows):
@@ -109,7 +115,7 @@ def test_window_filter_reaches_the_scan(spark, tmp_path, capsys):
 
 
 def test_mark_reads_only_the_newest_month(spark, tmp_path, monkeypatch):
-    table = PublishedTable(spark, str(tmp_path / "p"), month_partition("paid_at"))
+    table = PublishedTable(spark, str(tmp_path / "p"), month_partition("paid_at"), ordered_by="paid_at")
     table.replace(frame(spark, (1, 10, JAN), (2, 20, FEB), (3, 30, None)))
     read, asked = table.read, []
     monkeypatch.setattr(table, "read", lambda parts=None, at=None: asked.append(parts) or read(parts, at))
@@ -122,3 +128,39 @@ def test_microseconds_survive_the_mark(spark, table, rows):
     source = frame(spark, (1, 11, at), (2, 20, at - timedelta(microseconds=1)))
     got = newer_rows(source, "paid_at", mark_of(table))
     assert rows(got.select("payment_id")) == [(1,)]
+
+
+def test_mark_of_a_partition_that_is_not_time(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "p"), F.col("amount") % 2)
+    table.replace(frame(spark, (1, 10, MAR), (2, 11, JAN)))
+    assert mark_of(table) == MAR
+    load_keyless(table, frame(spark, (1, 10, MAR), (2, 11, JAN)), "paid_at")
+    assert table.read().count() == 3
+
+
+def test_text_times_are_filtered_in_the_scan_and_exactly_after(spark, tmp_path, capsys):
+    texts = [
+        "2024-02-10T12:00:00Z",
+        "2024-02-10 12:00:01",
+        "  2024-02-11 00:00:00",
+        "\t2024-02-12T00:00:00Z",
+        "2024-02-10",
+        "2024-02-09 23:59:59",
+        " 2023-01-01 00:00:00",
+        "n/a",
+        "",
+        None,
+    ]
+    path = str(tmp_path / "raw")
+    data = [(k, 1, "coin", "success", 5, text) for k, text in enumerate(texts)]
+    names = "payment_id bigint, order_id bigint, method string, status string, amount_copper bigint, paid_at string"
+    spark.createDataFrame(data, names).write.parquet(path)
+    raw = spark.read.parquet(path)
+    window = possibly_newer(raw, "paid_at", FEB)
+    window.explain()
+    assert "GreaterThanOrEqual(paid_at,2024-02-10)" in capsys.readouterr().out
+    got = newer_rows(staging.payments(window, Settings()), "paid_at", FEB)
+    exact = newer_rows(staging.payments(raw, Settings()), "paid_at", FEB)
+    ids = sorted(row.payment_id for row in got.select("payment_id").collect())
+    assert ids == sorted(row.payment_id for row in exact.select("payment_id").collect()) and {0, 1, 2} <= set(ids)
+    assert sorted(row.payment_id for row in window.collect()) == [0, 1, 2, 3, 4, 6, 7, 8]

@@ -241,8 +241,10 @@ def test_discovered_values_fall_back_when_there_are_none(spark):
     assert discover_values(None, "category", ["x"]) == ["x"]
     nulls = spark.createDataFrame([(None,)], "category string")
     assert discover_values(nulls, "category", ["x"]) == ["x"]
-    with pytest.raises(ValueError, match="more than"):
-        discover_values(spark.range(5).select(F.col("id").cast("string").alias("c")), "c", [], most=4)
+    many = spark.range(1100).select(F.format_string("v%04d", "id").alias("c"))
+    assert discover_values(many, "c", []) == [f"v{k:04d}" for k in range(1100)]
+    sums = spark.range(1100).select(F.lit(1).alias("g"), F.format_string("v%04d", "id").alias("c"), F.col("id").alias("x"))
+    assert len(pivot_present_values(sums, "g", "c", "x").columns) == 1101
 
 
 def test_colliding_pivot_columns_are_refused():

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import uuid
 from datetime import UTC, datetime, timedelta
 
@@ -152,8 +153,8 @@ def test_ledger_grows_by_a_line_per_build(spark, tmp_path, table):
     audited_publish(frame(spark, (1, "a", 10), (2, "b", 20)), table, ledger, "run-1")
     lines = audited_publish(frame(spark), table, ledger, "run-2", "compliance").orderBy("run_id").collect()
     assert [(r.relation_name, r.run_id, r.row_count, r.compliance_owner) for r in lines] == [
-        ("table", "run-1", 2, "unassigned"),
-        ("table", "run-2", 0, "compliance"),
+        (table.path, "run-1", 2, "unassigned"),
+        (table.path, "run-2", 0, "compliance"),
     ]
     assert all(line.built_at is not None for line in lines)
 
@@ -216,3 +217,101 @@ def test_csv_header_must_match(spark, tmp_path):
     (tmp_path / "g.csv").write_text("guild_name,guild_id,founded_year\nA,G-1,1\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_csv(spark, str(tmp_path / "g.csv"), SCHEMAS["raw_guilds"]).collect()
+
+
+def test_ledger_tells_tables_of_one_leaf_name_apart(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    one = PublishedTable(spark, str(tmp_path / "one" / "sales"), relation="one.sales")
+    two = PublishedTable(spark, str(tmp_path / "two" / "sales"), relation="two.sales")
+    audited_publish(frame(spark, (1, "a", 10)), one, ledger, "run")
+    names = {row.relation_name for row in audited_publish(frame(spark), two, ledger, "run").collect()}
+    assert names == {"one.sales", "two.sales"} and PublishedTable(spark, ledger).manifest().version == 2
+
+
+def keyed(spark, tmp_path, kind="bigint"):
+    return PublishedTable(spark, str(tmp_path / "keyed"), F.col("grp"), keys=["id"])
+
+
+def opened(table, monkeypatch, delta, keys=("id",)):
+    """Partitions that an upsert of ``delta`` searches for its keys."""
+    seen = []
+    may_hold = table._may_hold
+    monkeypatch.setattr(
+        table, "_may_hold", lambda name, *rest: may_hold(name, *rest) and (seen.append(name.rpartition("=")[2]) or True)
+    )
+    table.upsert(delta, list(keys))
+    return seen
+
+
+def test_upsert_searches_only_where_the_keys_may_be(spark, tmp_path, monkeypatch, rows):
+    table = keyed(spark, tmp_path)
+    months = [(100 * month + k, f"m{month:02d}", k) for month in range(30) for k in range(5)]
+    table.replace(frame(spark, *months))
+    # The key 703 moves from month 7 to month 20; no other month is searched.
+    assert opened(table, monkeypatch, frame(spark, (703, "m20", -1))) == ["m07"]
+    expected = sorted([row for row in months if row[0] != 703] + [(703, "m20", -1)], key=repr)
+    assert rows(table.read()) == expected
+    assert len(table.manifest().keys) == 30
+
+
+def test_key_filters_help_where_ranges_do_not(spark, tmp_path, monkeypatch, rows):
+    table = keyed(spark, tmp_path)
+    spread = [(k, f"g{k % 30:02d}", 0) for k in range(300)]  # every group spans nearly all keys
+    table.replace(frame(spark, *spread))
+    seen = opened(table, monkeypatch, frame(spark, (155, "g00", 1)))
+    assert "g05" in seen and len(seen) <= 3
+    assert (155, "g00", 1) in rows(table.read()) and table.read().count() == 300
+
+
+def test_other_keys_null_keys_and_older_manifests_are_searched_in_full(spark, tmp_path, monkeypatch, rows):
+    table = keyed(spark, tmp_path)
+    table.replace(frame(spark, (1, "a", 10), (2, "b", 20)))
+    assert sorted(opened(table, monkeypatch, frame(spark, (9, "c", 10)), ["amount"])) == ["a", "b"]
+    assert rows(table.read()) == [(2, "b", 20), (9, "c", 10)]
+    table.upsert(frame(spark, (None, "b", 1)), ["id"])
+    assert rows(table.read()) == [(2, "b", 20), (9, "c", 10), (None, "b", 1)]
+
+
+def test_expire_keeps_what_live_manifests_name(spark, tmp_path, rows):
+    table = PublishedTable(spark, str(tmp_path / "t"), F.col("grp"), keys=["id"])
+    for k in range(4):
+        table.upsert(frame(spark, (1, "a", k), (10 + k, f"p{k}", k)), ["id"])
+    reader = table.read()
+    table.expire(keep=1)  # too young to go
+    assert len(storage.list_names(spark, f"{table.path}/manifests")) == 4
+    table.expire(keep=1, min_age=timedelta(0))
+    assert len(storage.list_names(spark, f"{table.path}/manifests")) == 1
+    assert rows(reader) == rows(table.read()) == [(1, "a", 3), *((10 + k, f"p{k}", k) for k in range(4))]
+    live = {name.split("/")[1] for name in table.manifest().all_dirs}
+    assert set(storage.list_names(spark, f"{table.path}/data")) == live
+    table.expire(keep=1, min_age=timedelta(0))
+    assert table.read().count() == 5
+    with pytest.raises(ValueError):
+        table.expire(keep=0)
+
+
+def test_expire_removes_what_a_crash_left(spark, tmp_path, rows):
+    table = PublishedTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, (1, "a", 1)))
+    frame(spark, (2, "b", 2)).write.parquet(f"{table.path}/data/orphan")
+    table.expire(min_age=timedelta(0))
+    assert "orphan" not in storage.list_names(spark, f"{table.path}/data") and rows(table.read()) == [(1, "a", 1)]
+
+
+def test_compaction(spark, table, rows):
+    for k in range(5):
+        table.append(frame(spark, (k, "a", k), (k, "b" if k else "c", k)))
+    before = rows(table.read())
+    table.compact(most_dirs=4)
+    dirs = table.manifest().dirs
+    assert [len(dirs[part]) for part in ("a", "b", "c")] == [1, 4, 1] and rows(table.read()) == before
+
+
+def test_scratch_of_an_upsert_is_removed(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"))
+    seen = []
+    with storage.scratch_space(spark) as keep:
+        seen.append(keep(frame(spark, (1, "a", 1))).inputFiles()[0])
+    assert not os.path.exists(seen[0].removeprefix("file://"))
+    table.upsert(frame(spark, (1, "a", 1)), ["id"])
+    assert table.read().count() == 1
