@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import decontaminate, licenses, lm, mixing, neardup, quality, runindex, sharding, urls, warc
+from tallyforge.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,18 +70,3 @@ QUERIES: dict[str, Query] = {
     "op9_run_length_index": op9_run_length_index,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
-ORACLES: dict[str, str] = {
-    "op6_capture_index": """
-        WITH paged AS (
-            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
-            FROM pages
-        ),
-        stored AS (
-            SELECT payload_digest, max(page_id) AS first_id FROM paged WHERE payload_bytes >= 1000 GROUP BY 1
-        )
-        SELECT p.page_id, p.payload_bytes, p.payload_digest,
-               CASE WHEN s.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN s.first_id <> p.page_id THEN s.first_id END AS refers_to
-        FROM paged p LEFT JOIN stored s USING (payload_digest)
-    """,
-}
