@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.hashing import powers, scramble
+from tallyforge.llm.rows import bounded
 from tallyforge.sources.storage import materialize
 
 LENGTH, ANCHOR = 200, 40
@@ -37,32 +39,14 @@ LENGTH, ANCHOR = 200, 40
 #: bits of an ordering key.
 CHUNK_BYTES, POSITION_BITS = 2 << 20, 22
 #: Text of one index, and the distinct text of one anchor from which it is counted instead.
-INDEX_BYTES, HOT_BYTES = 2 << 20, 4 << 20
-#: Rows, and spans in them, up to which a table is broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 1 << 19
+INDEX_BYTES, HOT_BYTES = 1 << 20, 1 << 20
+#: Pieces whose windows are listed at once.
+LISTED_PIECES = 512
 
-_BASE = 0x9E3779B97F4A7C15
 _PIECES = "anchor long, digest long, text_key long, text_bytes int, start int, length int"
 
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse."""
-    bases = (_BASE, pow(_BASE, -1, 1 << 64))
-    made = []
-    for base in bases:
-        steps = np.full(count, np.uint64(base))
-        steps[0] = 1
-        made.append(np.cumprod(steps, dtype=np.uint64))
-    return made[0], made[1]
-
-
-_BYTE_CODES = _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_BYTE_CODES = scramble(np.arange(256, dtype=np.uint64))
 
 
 def find_pieces(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -74,10 +58,10 @@ def find_pieces(data: np.ndarray, bounds: np.ndarray, length: int, anchor: int)
     empty = np.empty(0, np.int64)
     if n < length:
         return empty, empty, empty, empty
-    up, down = _powers(n + 1)
+    up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODES[data] * up[:n], out=sums[1:])
-    hashes = _scramble((sums[anchor:] - sums[: n - anchor + 1]) * down[: n - anchor + 1])
+    hashes = scramble((sums[anchor:] - sums[: n - anchor + 1]) * down[: n - anchor + 1])
     low = np.uint64((1 << POSITION_BITS) - 1)
     keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     least, width = keys, 1
@@ -308,7 +292,7 @@ def _counted(classes: DataFrame, length: int) -> DataFrame:
     """The same by grouping every window: for anchors with very many distinct pieces."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, LISTED_PIECES) for b in batches for k in range(0, b.num_rows, LISTED_PIECES)):
             out: tuple[list, ...] = ([], [], [], [])
             for anchor, digest, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "piece"))):
                 for start in range(len(piece) - length + 1):
@@ -329,17 +313,12 @@ def _counted(classes: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df``, a written table, if it has few rows; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _piece_texts(texts: DataFrame, reps: DataFrame) -> DataFrame:
     """``anchor``, ``digest`` and bytes of the pieces listed per text in ``reps``, a written table."""
     wanted = reps.select("text_key", "text_bytes")
     # One row per text: copies of it are dropped before and after the shuffle.
     chosen = (
-        texts.join(_bounded(wanted, wanted.count()), ["text_key", "text_bytes"], "left_semi")
+        texts.join(bounded(wanted), ["text_key", "text_bytes"], "left_semi")
         .groupBy("text_key", "text_bytes")
         .agg(F.first("text").alias("text"))
         .join(reps, ["text_key", "text_bytes"])
@@ -433,7 +412,7 @@ def repeat_report(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
     texts = keyed_texts(docs)
     spans = materialize(repeated_spans(texts, length, **limits))
     rows, count = spans.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
-    joined = texts.join(_bounded(spans, max(rows, count or 0)), ["text_key", "text_bytes"], "left").select("id", "text", "spans")
+    joined = texts.join(bounded(spans, max(rows, count or 0)), ["text_key", "text_bytes"], "left").select("id", "text", "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
