@@ -6,11 +6,13 @@ its next ten bits, sixteen bits in all. Bands of registers that agree make candi
 Jaccard estimate over all registers, less the agreements that chance gives, thins them out; the
 rest are verified on the full sets.
 
-Documents with equal sets are one class from the start. In each band bucket every class is
-paired with the bucket's smallest only; once those links are verified and components known, a
-second round pairs the classes of a bucket whose components still differ. A pair within one
-component needs no test, so no group is expanded into all its pairs and no link is lost that
-changes a component.
+Documents with equal sets are one class from the start. Candidates are tested in rounds. First
+every class of a band bucket is paired with one hub, the class that shares buckets with most
+others, as the original of many copies does; then, where the components so far differ, with
+several hubs; last, the classes that are still in a bucket with another component are paired
+exactly, by the rarest shingles of which similar sets must share one. A pair within one component
+needs no test, so no group is expanded into all its pairs and no link is lost that changes a
+component.
 
 Rows with an empty set or without an id are linked with nothing; they stand alone (a NULL id
 has a NULL component and is kept). Rows that share an id are judged each by its own text.
@@ -23,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
 from tallyforge.llm.hashing import scramble
 from tallyforge.llm.rows import bounded
-from tallyforge.llm.words import find_words, lower_ascii, map_column
+from tallyforge.llm.words import WordHashes, find_words, lower_ascii, map_column
 from tallyforge.sources.storage import materialize
 
 #: Two registers that differ agree with probability below 1/1000, so 42 bands of 6 of the 256
@@ -40,20 +42,18 @@ BANDS = BUCKETS // BAND_ROWS
 MANTISSA_BITS = 10
 _EMPTY = 0xFFFF
 _REST_BITS = 64 - BUCKET_BITS
-#: The estimate's standard error at similarity 0.8 is 0.025; pairs six of them below are dropped.
-MARGIN = 0.15
+#: The estimate's standard error at similarity 0.8 is 0.025; pairs five of them below are dropped.
+MARGIN = 0.125
+#: Hubs per bucket in the rounds before the last.
+HUBS = (1, 8)
 
 
-def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+def shingle_hashes(text: str | None, shingle: int, codes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     words = find_words(lower_ascii(text)) if text else []
     if not words:
         return np.empty(0, np.uint64)
-    # Hashes of the distinct words, then mixed along each shingle: one Python call per distinct word.
-    codes: dict[str, int] = {}
-    ids = np.fromiter((codes.setdefault(word, len(codes)) for word in words), np.int64, len(words))
-    table = np.fromiter((_hash_word(word) for word in codes), np.uint64, len(codes))
-    values = table[ids]
+    values = codes.of(words)
     size = min(shingle, len(words))
     count = len(words) - size + 1
     mixed = np.full(count, np.uint64(size))
@@ -62,10 +62,6 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _hash_word(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
-
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """One register per bucket: leading zeros of the smallest hash, then its mantissa bits."""
     registers = np.full(BUCKETS, _EMPTY, np.uint16)
@@ -113,8 +109,9 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
 
     def sign(texts: list) -> list[list]:
         sizes, keys, sketches = [], [], []
+        codes = WordHashes()
         for text in texts:
-            hashes = shingle_hashes(text, shingle)
+            hashes = shingle_hashes(text, shingle, codes)
             sizes.append(len(hashes))
             keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
             sketches.append(sketch(hashes).tobytes() if len(hashes) else None)
@@ -166,15 +163,21 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return docs.join(bounded(nodes.withColumnRenamed("node", "id")), "id", "left_semi")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough; ``pairs`` is a written table."""
-    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+def _sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and full ``set`` of the listed ids, written out."""
 
     def sets(texts: list) -> list[list]:
-        return [[shingle_hashes(text, shingle).view(np.int64) for text in texts]]
+        codes = WordHashes()
+        return [[shingle_hashes(text, shingle, codes).view(np.int64) for text in texts]]
 
     fields = [StructField("set", ArrayType(LongType()))]
-    full = materialize(map_column(_texts_of(docs, nodes), "text", fields, sets))
+    return materialize(map_column(_texts_of(docs, nodes), "text", fields, sets).withColumnRenamed("id", "node"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough; ``pairs`` is a written table."""
+    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    full = _sets_of(docs, nodes, shingle)
     met = pairs.join(full.toDF("a", "set_a"), "a").join(full.toDF("b", "set_b"), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - F.col("common")
@@ -217,29 +220,79 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def _crowded(classes: DataFrame) -> DataFrame:
-    """Band rows of buckets with several classes, each with the bucket's smallest, its hub."""
+    """Band rows of buckets with several classes; ``shared`` sums a class's bucket sizes."""
     bands = _bands(classes)
-    hubs = bands.groupBy("band").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("members"))
-    hubs = hubs.filter("members > 1").select("band", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    return bands.join(hubs, "band")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    own = Window.partitionBy("node")  # at most BANDS rows
+    return bands.join(sizes, "band").select("band", "node", "n", F.sum("members").over(own).alias("shared"))
+
+
+def _marked(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each ``node`` so far, ``part``."""
+    if found is None:
+        return rows.withColumn("part", F.col("node"))
+    joined = rows.join(bounded(found), "node", "left")
+    return joined.withColumn("part", F.coalesce("component", "node")).drop("component")
 
 
-def _still_apart(crowded: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket and are in different components.
+def _hub_pairs(marked: DataFrame, hubs: int, percent: int) -> DataFrame:
+    """Members with the bucket's hubs, one for each of ``hubs`` hash classes, of other components."""
+    lot = F.pmod(F.xxhash64("node"), F.lit(hubs))
+    chosen = marked.groupBy("band", lot.alias("lot")).agg(F.max(F.struct("shared", "node", "n", "part")).alias("hub"))
+    chosen = chosen.select("band", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"), F.col("hub.part").alias("part_b"))
+    met = marked.select("band", F.col("node").alias("a"), "n", F.col("part").alias("part_a")).join(chosen, "band")
+    return _distinct_pairs(met.filter("part_a <> part_b").filter(_near_size("n", "m", percent)))
 
-    The members outside a bucket's largest component are paired with all its members, so a
-    bucket of one large component and a few others gives few pairs.
+
+def _open_classes(marked: DataFrame) -> DataFrame:
+    """Classes that share a bucket with one of another component."""
+    mixed = marked.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    return marked.join(mixed.select("band"), "band", "left_semi").select("node").distinct()
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each set, so many that similar sets have one of them in common.
+
+    A set of n shingles shares at least ``percent`` of them with a similar one, so with shingles
+    in one order for all sets, the first n - ceil(percent * n) + 1 of both meet. The order is by
+    the number of sets that have a shingle; those that one set alone has come first and are not
+    listed, so a set with enough of its own drops out.
     """
-    marked = crowded.join(found, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("part"))
-    parts = marked.groupBy("band", "part").agg(F.count(F.lit(1)).alias("members"))
-    largest = parts.groupBy("band").agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    largest = largest.filter("parts > 1").select("band", F.col("top.part").alias("main"))
-    open_rows = materialize(marked.join(largest, "band"))
-    right = open_rows.toDF("band", "b", "m", "part_b", "main_b").drop("main_b")
-    left = open_rows.toDF("band", "a", "n", "part_a", "main").filter("part_a <> main")
-    met = left.join(right, "band").filter("part_a <> part_b AND (part_b = main OR a > b)")
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    return met.filter(_near_size("n", "m", percent)).select(high.alias("a"), low.alias("b")).distinct()
+    rows = sets.select("node", F.monotonically_increasing_id().alias("set_row"), F.size("set").alias("n"), "set")
+    shingles = materialize(rows).select("node", "set_row", "n", F.explode("set").alias("shingle"))
+    common = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    own = Window.partitionBy("set_row")
+    ranked = shingles.join(common, "shingle").select(
+        "node",
+        "n",
+        "shingle",
+        F.row_number().over(own.orderBy("times", "shingle")).alias("place"),
+        F.count(F.lit(1)).over(own).alias("listed"),
+    )
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ranked.filter(F.col("place") <= length - (F.col("n") - F.col("listed"))).select("shingle", "node", "n")
+
+
+def _remaining_pairs(crowded: DataFrame, found: DataFrame | None, named: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """All pairs of open classes in different components that can be similar, by prefix.
+
+    The sets with a shingle that are outside its largest component are paired with all its sets,
+    so one large component and a few others give few pairs.
+    """
+    nodes = materialize(_open_classes(_marked(crowded, found)))
+    rows = materialize(_marked(_prefixes(_sets_of(named, nodes, shingle), percent), found))
+    parts = rows.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("members"))
+    largest = parts.groupBy("shingle").agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    largest = largest.filter("parts > 1").select("shingle", F.col("top.part").alias("main"))
+    right = rows.join(largest, "shingle")
+    left = right.filter("part <> main").select("shingle", "main", F.col("node").alias("a"), "n", F.col("part").alias("part_a"))
+    right = right.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("part").alias("part_b"))
+    apart = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main")) | (F.col("a") > F.col("b")))
+    return _distinct_pairs(left.join(right, "shingle").filter(apart & _near_size("n", "m", percent)))
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
 
 
 def near_duplicates(
@@ -252,20 +305,22 @@ def near_duplicates(
     classes = materialize(
         signed.filter("set_key IS NOT NULL AND id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(F.min("id").alias("node"), *(F.first(name).alias(name) for name in ("n_shingles", "sketch")))
     )
     crowded = materialize(_crowded(classes))
-    # Round 1: every class against the smallest of its bucket.
-    starred = crowded.filter("node <> hub").filter(_near_size("n", "hub_n", percent))
-    starred = materialize(starred.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    links = materialize(_verified(materialize(_promising(starred, classes, percent)), named, shingle, percent))
-    found = materialize(components(links))
-    # Round 2: what shares a bucket and is still apart.
-    apart = _still_apart(crowded, found, percent).join(starred, ["a", "b"], "left_anti")
-    apart = materialize(_promising(apart, classes, percent))
-    if not apart.isEmpty():
-        more = _verified(apart, named, shingle, percent)
-        found = components(links.unionByName(more))
+    tested = links = found = None
+    for hubs in (*HUBS, None):
+        if hubs:
+            pairs = _hub_pairs(_marked(crowded, found), hubs, percent)
+        else:
+            pairs = _remaining_pairs(crowded, found, named, shingle, percent)
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        linked = materialize(_verified(materialize(_promising(pairs, classes, percent)), named, shingle, percent))
+        if links is not None and linked.isEmpty():
+            continue
+        links = linked if links is None else links.unionByName(linked)
+        found = materialize(components(links))
     # Classes that share their smallest id are one node.
     by_class = classes.join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return (

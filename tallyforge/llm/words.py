@@ -22,7 +22,7 @@ def lower_ascii(text: str) -> str:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a fixed number; one per task."""
+    """64-bit hashes of words, remembered up to a fixed number."""
 
     LIMIT = 1 << 18
 
