@@ -165,7 +165,7 @@ def test_segment_bounds(spark, gold, segment):
         """customer_id string, lifetime_order_count bigint, lifetime_collected_gold decimal(28,2),
         first_order_at timestamp_ntz, most_recent_order_at timestamp_ntz""",
     )
-    nobody = spark.createDataFrame([], "customer_id string, guild_id string, guild_name string, tier string, tier_since date")
+    nobody = spark.createDataFrame([], "membership_id string, customer_id string, guild_id string, guild_name string, tier string, tier_since date")
     assert dimensions.dim_customers(customers, nobody, activity).first().value_segment == segment
 
 
