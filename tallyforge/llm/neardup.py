@@ -6,13 +6,12 @@ its next ten bits, sixteen bits in all. Bands of registers that agree make candi
 Jaccard estimate over all registers, less the agreements that chance gives, thins them out; the
 rest are verified on the full sets.
 
-Documents with equal sets are one class from the start. Candidates are tested in rounds. First
+Documents with equal sets are one class from the start. Candidates are tested in two rounds. First
 every class of a band bucket is paired with one hub, the class that shares buckets with most
-others, as the original of many copies does; then, where the components so far differ, with
-several hubs; last, the classes that are still in a bucket with another component are paired
-exactly, by the rarest shingles of which similar sets must share one. A pair within one component
-needs no test, so no group is expanded into all its pairs and no link is lost that changes a
-component.
+others, as the original of many copies does. Then the classes that are still in a bucket with
+another component are paired exactly, by the rarest shingles of which similar sets must share one
+early enough. A pair within one component needs no test, so no group is expanded into all its
+pairs and no link is lost that changes a component.
 
 Rows with an empty set or without an id are linked with nothing; they stand alone (a NULL id
 has a NULL component and is kept). Rows that share an id are judged each by its own text.
@@ -44,8 +43,6 @@ _EMPTY = 0xFFFF
 _REST_BITS = 64 - BUCKET_BITS
 #: The estimate's standard error at similarity 0.8 is 0.025; pairs five of them below are dropped.
 MARGIN = 0.125
-#: Hubs per bucket in the rounds before the last.
-HUBS = (1, 8)
 
 
 def shingle_hashes(text: str | None, shingle: int, codes: WordHashes) -> np.ndarray:
@@ -227,21 +224,18 @@ def _crowded(classes: DataFrame) -> DataFrame:
     return bands.join(sizes, "band").select("band", "node", "n", F.sum("members").over(own).alias("shared"))
 
 
-def _marked(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+def _marked(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows`` with the component of each ``node`` so far, ``part``."""
-    if found is None:
-        return rows.withColumn("part", F.col("node"))
     joined = rows.join(bounded(found), "node", "left")
     return joined.withColumn("part", F.coalesce("component", "node")).drop("component")
 
 
-def _hub_pairs(marked: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """Members with the bucket's hubs, one for each of ``hubs`` hash classes, of other components."""
-    lot = F.pmod(F.xxhash64("node"), F.lit(hubs))
-    chosen = marked.groupBy("band", lot.alias("lot")).agg(F.max(F.struct("shared", "node", "n", "part")).alias("hub"))
-    chosen = chosen.select("band", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"), F.col("hub.part").alias("part_b"))
-    met = marked.select("band", F.col("node").alias("a"), "n", F.col("part").alias("part_a")).join(chosen, "band")
-    return _distinct_pairs(met.filter("part_a <> part_b").filter(_near_size("n", "m", percent)))
+def _hub_pairs(crowded: DataFrame, percent: int) -> DataFrame:
+    """Members with their bucket's hub."""
+    hubs = crowded.groupBy("band").agg(F.max(F.struct("shared", "node", "n")).alias("hub"))
+    hubs = hubs.select("band", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"))
+    met = crowded.select("band", F.col("node").alias("a"), "n").join(hubs, "band")
+    return _distinct_pairs(met.filter(_near_size("n", "m", percent)))
 
 
 def _open_classes(marked: DataFrame) -> DataFrame:
@@ -256,7 +250,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     A set of n shingles shares at least ``percent`` of them with a similar one, so with shingles
     in one order for all sets, the first n - ceil(percent * n) + 1 of both meet. The order is by
     the number of sets that have a shingle; those that one set alone has come first and are not
-    listed, so a set with enough of its own drops out.
+    listed, so a set with enough of its own drops out. ``place`` counts from 1 in that order.
     """
     rows = sets.select("node", F.monotonically_increasing_id().alias("set_row"), F.size("set").alias("n"), "set")
     shingles = materialize(rows).select("node", "set_row", "n", F.explode("set").alias("shingle"))
@@ -266,29 +260,31 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
         "node",
         "n",
         "shingle",
-        F.row_number().over(own.orderBy("times", "shingle")).alias("place"),
-        F.count(F.lit(1)).over(own).alias("listed"),
+        (F.row_number().over(own.orderBy("times", "shingle")) + F.col("n") - F.count(F.lit(1)).over(own)).alias("place"),
     )
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.filter(F.col("place") <= length - (F.col("n") - F.col("listed"))).select("shingle", "node", "n")
+    return ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
 
 
-def _remaining_pairs(crowded: DataFrame, found: DataFrame | None, named: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _remaining_pairs(crowded: DataFrame, found: DataFrame, named: DataFrame, shingle: int, percent: int) -> DataFrame:
     """All pairs of open classes in different components that can be similar, by prefix.
 
-    The sets with a shingle that are outside its largest component are paired with all its sets,
+    Where the first shingle that two sets share comes late in either, too few are left for the
+    overlap that the similarity takes. The sets with a shingle that are outside its largest component are paired with all its sets,
     so one large component and a few others give few pairs.
     """
     nodes = materialize(_open_classes(_marked(crowded, found)))
     rows = materialize(_marked(_prefixes(_sets_of(named, nodes, shingle), percent), found))
+    rows = rows.select("shingle", "node", "n", "place", "part")
     parts = rows.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("members"))
     largest = parts.groupBy("shingle").agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
     largest = largest.filter("parts > 1").select("shingle", F.col("top.part").alias("main"))
-    right = rows.join(largest, "shingle")
-    left = right.filter("part <> main").select("shingle", "main", F.col("node").alias("a"), "n", F.col("part").alias("part_a"))
-    right = right.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("part").alias("part_b"))
+    right = rows.join(largest, "shingle").select("shingle", "node", "n", "place", "part", "main")
+    left = right.filter("part <> main").toDF("shingle", "a", "n", "place_a", "part_a", "main")
+    right = right.drop("main").toDF("shingle", "b", "m", "place_b", "part_b")
     apart = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main")) | (F.col("a") > F.col("b")))
-    return _distinct_pairs(left.join(right, "shingle").filter(apart & _near_size("n", "m", percent)))
+    most = 1 + F.least(F.col("n") - F.col("place_a"), F.col("m") - F.col("place_b"))
+    enough = most * (100 + percent) >= percent * (F.col("n") + F.col("m"))
+    return _distinct_pairs(left.join(right, "shingle").filter(apart & enough & _near_size("n", "m", percent)))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -308,19 +304,13 @@ def near_duplicates(
         .agg(F.min("id").alias("node"), *(F.first(name).alias(name) for name in ("n_shingles", "sketch")))
     )
     crowded = materialize(_crowded(classes))
-    tested = links = found = None
-    for hubs in (*HUBS, None):
-        if hubs:
-            pairs = _hub_pairs(_marked(crowded, found), hubs, percent)
-        else:
-            pairs = _remaining_pairs(crowded, found, named, shingle, percent)
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = materialize(_verified(materialize(_promising(pairs, classes, percent)), named, shingle, percent))
-        if links is not None and linked.isEmpty():
-            continue
-        links = linked if links is None else links.unionByName(linked)
-        found = materialize(components(links))
+    starred = materialize(_hub_pairs(crowded, percent))
+    links = materialize(_verified(materialize(_promising(starred, classes, percent)), named, shingle, percent))
+    found = materialize(components(links))
+    apart = _remaining_pairs(crowded, found, named, shingle, percent).join(starred, ["a", "b"], "left_anti")
+    apart = materialize(_promising(apart, classes, percent))
+    if not apart.isEmpty():
+        found = components(links.unionByName(_verified(apart, named, shingle, percent)))
     # Classes that share their smallest id are one node.
     by_class = classes.join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return (
