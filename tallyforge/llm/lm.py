@@ -46,9 +46,9 @@ CONTEXTS = ORDERS + 1
 END = START = 256
 SYMBOLS, SYMBOL_BITS, WORD_BITS = 257, 9, 27
 #: Table sizes of the predictors, by context, in bits.
-TABLE_BITS = (17, 20, 21, 22)
+TABLE_BITS = (17, 20, 20, 21)
 #: Which contexts each mixer uses.
-MIXERS = ((1, 1, 1, 0), (0, 1, 1, 1), (0, 0, 0, 1))
+MIXERS = ((1, 1, 1, 0), (0, 1, 1, 1))
 #: Levels of how often a context was seen, for the two longest contexts.
 LEVELS = 4
 GATES = LEVELS * LEVELS
@@ -56,7 +56,9 @@ GATES = LEVELS * LEVELS
 BLOCK, EVEN_PART = 64, 0.02
 DELTA = 0.4
 #: Bytes handled at once, and distinct strings held before they are passed on.
-CHUNK_BYTES, HELD = 8 << 20, 1 << 20
+CHUNK_BYTES, HELD = 4 << 20, 1 << 20
+#: Strings whose decisions are worked out at once, and strings that one task folds into tables.
+STRINGS_AT_ONCE, FOLDED = 1 << 17, 1 << 22
 #: Frequent words that every task holds.
 HEAD_WORDS = 1 << 17
 #: The token that ends a text; no word is empty.
@@ -122,38 +124,48 @@ def _chunks(texts: list[bytes]) -> Iterator[list[Part]]:
         yield held
 
 
-def _word_so_far(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per position a hash of the symbols after the last space before it, from ``first`` on."""
-    n = len(symbols)
-    space = (symbols == 32) | ((symbols >= 9) & (symbols <= 13))
-    after = np.zeros(n, np.int64)
-    after[1:] = np.where(space[:-1], np.arange(1, n), 0)
-    start = np.maximum(np.maximum.accumulate(after), first)
+_CODES = scramble(np.arange(256, dtype=np.uint64))
+
+
+def _word_so_far(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Per position a hash of the bytes after the last space before it, back to the part's begin."""
+    n = len(data)
+    start = np.zeros(n, np.int64)
+    spaces = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13))) + 1
+    start[spaces[spaces < n]] = spaces[spaces < n]
+    start[begin] = begin
+    np.maximum.accumulate(start, out=start)
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(scramble(symbols.astype(np.uint64)) * up[:n], out=sums[1:])
-    hashes = scramble((sums[:n] - sums[start]) * down[start])
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    np.cumsum(_CODES[data] * up[:n], out=sums[1:])
+    hashes = (sums[:n] - sums[start]) * down[start]
+    return ((hashes * np.uint64(ODD)) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def symbol_strings(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
     """Every symbol with its contexts, packed in one integer, and the parts' sizes."""
     spans = np.array([len(part.before) + len(part.data) + 1 for part in parts])
     begin = np.cumsum(spans) - spans
-    symbols = np.frombuffer(b"".join(part.before + part.data + b"\0" for part in parts), np.uint8).astype(np.int64)
+    data = np.frombuffer(b"".join(part.before + part.data + b"\0" for part in parts), np.uint8)
+    symbols = data.astype(np.int64)
     symbols[begin + spans - 1] = END
-    first = np.repeat(begin, spans)
-    place = np.arange(len(symbols)) - first
-    packed = symbols | (_word_so_far(symbols, first) << (SYMBOL_BITS * CONTEXTS))
+    packed = _word_so_far(data, begin) << (SYMBOL_BITS * CONTEXTS)
+    packed |= symbols
     for back in range(1, ORDERS + 1):
-        before = np.full(len(symbols), START, np.int64)
+        before = np.empty_like(symbols)
         before[back:] = symbols[:-back]
-        before[place < back] = START
-        packed |= before << (SYMBOL_BITS * back)
-    wanted = place >= np.repeat([len(part.before) for part in parts], spans)
-    last = np.array([part.last for part in parts])
-    wanted[(begin + spans - 1)[~last]] = False
-    return packed[wanted], np.array([len(part.data) + part.last for part in parts])
+        for place in range(back):
+            before[np.minimum(begin + place, begin + spans - 1)] = START
+        before <<= SYMBOL_BITS * back
+        packed |= before
+    sizes = np.array([len(part.data) + part.last for part in parts])
+    if len(packed) > sizes.sum():  # cut texts: without the bytes before, and the end of parts that go on
+        wanted = np.ones(len(packed), bool)
+        for part, first, span in zip(parts, begin, spans):
+            wanted[first : first + len(part.before)] = False
+            wanted[first + span - 1] = part.last
+        packed = packed[wanted]
+    return packed, sizes
 
 
 def _bytes(batch: pa.RecordBatch) -> list[bytes]:
@@ -209,7 +221,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def decisions(strings: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of every decision in coding the last symbols: string number, bit, and slot per order."""
+    """Of every decision in coding the last symbols: string number, bit, and slot per context."""
     symbol = strings & ((1 << SYMBOL_BITS) - 1)
     steps = code.begin[symbol + 1] - code.begin[symbol]
     owner = np.repeat(np.arange(len(strings)), steps)
@@ -261,7 +273,8 @@ def fold_tables(strings: DataFrame, code: Code) -> np.ndarray:
         for chunk, rows in dense.items():
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([rows.tobytes()])], ["chunk", "counts"])
 
-    counts = _slot_counts(strings, code)
+    # Every task may give a row per slot, so there are no more tasks than the strings need.
+    counts = _slot_counts(strings.coalesce(max(1, strings.count() // FOLDED)), code)
     chunk = F.floor(F.col("slot") / _CHUNK_SLOTS)
     packed = counts.repartition(chunk).mapInArrow(pack, "chunk long, counts binary")
     table = np.zeros((SLOT_OFFSETS[-1] + _CHUNK_SLOTS, 2), np.float32)
@@ -271,18 +284,48 @@ def fold_tables(strings: DataFrame, code: Code) -> np.ndarray:
     return table
 
 
-def _inputs(table: np.ndarray, slots: list[np.ndarray], bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds per order and the gate of every decision; with ``bit``, one such outcome is left out."""
-    odds, seen = np.empty((CONTEXTS, len(slots[0]))), []
-    for order, slot in enumerate(slots):
-        rows = table[slot + SLOT_OFFSETS[order]].astype(float)
-        if bit is not None:
-            here = np.arange(len(bit))
-            rows[here, bit] = np.maximum(rows[here, bit] - 1, 0)
-        odds[order] = np.log((rows[:, 1] + DELTA) / (rows[:, 0] + DELTA))
+@dataclass(frozen=True)
+class Predictors:
+    """Log odds and level of every slot: what the counts say, and how often it was seen."""
+
+    odds: np.ndarray
+    level: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray) -> Predictors:
+        seen = counts.sum(axis=1)
+        odds = np.log((counts[:, 1] + DELTA) / (counts[:, 0] + DELTA))
+        return Predictors(odds.astype(np.float32), _level(seen))
+
+    def look_up(self, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Log odds per context and the gate of every decision."""
+        placed = [slot + SLOT_OFFSETS[number] for number, slot in enumerate(slots)]
+        return [self.odds[at] for at in placed], _gate(*(self.level[at] for at in placed[-2:]))
+
+
+def _level(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(LEVELS - 1, np.log2(1 + seen) / 3).astype(np.uint8)
+
+
+def _gate(shorter: np.ndarray, longer: np.ndarray) -> np.ndarray:
+    return shorter.astype(np.int64) * LEVELS + longer
+
+
+def _left_out(counts: np.ndarray, slots: list[np.ndarray], bit: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The same from counts without one such outcome, for strings that have been counted."""
+    odds, seen = [], []
+    here = np.arange(len(bit))
+    for number, slot in enumerate(slots):
+        rows = counts[slot + SLOT_OFFSETS[number]]
+        rows[here, bit] = np.maximum(rows[here, bit] - 1, 0)
+        odds.append(np.log((rows[:, 1] + DELTA) / (rows[:, 0] + DELTA)))
         seen.append(rows.sum(axis=1))
-    level = [np.minimum(LEVELS - 1, np.log2(1 + n) / 3).astype(np.int64) for n in seen[-2:]]
-    return odds, level[0] * LEVELS + level[1]
+    return odds, _gate(*map(_level, seen[-2:]))
+
+
+def _mixed(odds: list[np.ndarray], gate: np.ndarray, weights: np.ndarray, uses: tuple) -> np.ndarray:
+    """Log odds of one mixer, over the contexts it uses."""
+    return sum(odds[k] * weights[:, k].astype(np.float32)[gate] for k in range(CONTEXTS) if uses[k])
 
 
 def first_weights() -> np.ndarray:
@@ -294,20 +337,18 @@ def train_weights(strings: DataFrame, code: Code, table, rate: float = 0.05, bat
     """Weights by mixer, gate and order, trained online in every task over all strings, then averaged."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, uses, rows = first_weights(), np.array(MIXERS, float), 0
+        weights, rows = first_weights(), 0
         for batch in batches:
             for begin in range(0, batch.num_rows, batch_rows):
                 part = batch.slice(begin, batch_rows)
                 owner, bit, slots = decisions(part.column("string").to_numpy(), code)
                 times = part.column("times").to_numpy().astype(float)[owner]
-                odds, gate = _inputs(table.value, slots, bit)
+                odds, gate = _left_out(table.value, slots, bit)
                 mass = np.maximum(np.bincount(gate, times, GATES), 1)
-                for mixer in range(len(MIXERS)):
-                    guess = 1 / (1 + np.exp(-np.einsum("kn,nk->n", odds, weights[mixer][gate])))
-                    miss = (bit - guess) * times
-                    for order in range(CONTEXTS):
-                        slope = np.bincount(gate, miss * odds[order], GATES) / mass
-                        weights[mixer, :, order] += rate * uses[mixer, order] * slope
+                for mixer, uses in enumerate(MIXERS):
+                    miss = (bit - 1 / (1 + np.exp(-_mixed(odds, gate, weights[mixer], uses)))) * times
+                    for k in range(CONTEXTS):
+                        weights[mixer, :, k] += rate * uses[k] * np.bincount(gate, miss * odds[k], GATES) / mass
             rows += batch.num_rows
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([weights.tobytes()])], ["rows", "weights"])
@@ -321,34 +362,40 @@ def train_weights(strings: DataFrame, code: Code, table, rate: float = 0.05, bat
     return np.average(each, axis=0, weights=[row["rows"] for row in parts])
 
 
-def string_costs(strings: np.ndarray, code: Code, table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def string_costs(strings: np.ndarray, code: Code, predictors: Predictors, weights: np.ndarray) -> np.ndarray:
     """Natural-log probability of each string's last symbol under every mixer."""
-    owner, bit, slots = decisions(strings, code)
-    odds, gate = _inputs(table, slots)
-    sign = 1.0 - 2.0 * bit
     costs = np.empty((len(MIXERS), len(strings)))
-    for mixer in range(len(MIXERS)):
-        mixed = np.einsum("kn,nk->n", odds, weights[mixer][gate])
-        costs[mixer] = np.bincount(owner, -np.logaddexp(0, sign * mixed), len(strings))
+    for begin in range(0, len(strings), STRINGS_AT_ONCE):
+        part = slice(begin, begin + STRINGS_AT_ONCE)
+        owner, bit, slots = decisions(strings[part], code)
+        odds, gate = predictors.look_up(slots)
+        sign = (1 - 2 * bit).astype(np.float32)
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for mixer, uses in enumerate(MIXERS):
+            # The probability of a symbol is the product over its path.
+            chances = 1 / (1 + np.exp((sign * _mixed(odds, gate, weights[mixer], uses)).astype(float)))
+            costs[mixer, part] = np.log(np.multiply.reduceat(chances, first))
     return costs
 
 
-def _block_costs(parts: list[Part], code: Code, table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _block_costs(parts: list[Part], code: Code, predictors: Predictors, weights: np.ndarray) -> np.ndarray:
     """Natural-log probability of every block under every mixer."""
     packed, sizes = symbol_strings(parts)
     codes, strings = pd.factorize(packed)
-    costs = string_costs(strings, code, table, weights)
+    costs = string_costs(strings, code, predictors, weights)
     blocks = -(-sizes // BLOCK)
     within = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     begin = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * within
     return np.stack([np.add.reduceat(row[codes], begin) for row in costs])
 
 
-def text_log_probabilities(texts: list[bytes], code: Code, table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def text_log_probabilities(
+    texts: list[bytes], code: Code, predictors: Predictors, weights: np.ndarray
+) -> np.ndarray:
     """Natural-log probability of each text, the mixers' shares adapting along it."""
     if not texts:
         return np.empty(0)
-    by_block = np.concatenate([_block_costs(parts, code, table, weights) for parts in _chunks(texts)], axis=1)
+    by_block = np.concatenate([_block_costs(parts, code, predictors, weights) for parts in _chunks(texts)], axis=1)
     blocks = np.array([len(text) // BLOCK + 1 for text in texts])
     first_block = np.cumsum(blocks) - blocks
     # Texts side by side, the longest first, one block at a time.
@@ -381,36 +428,31 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     strings = materialize(count_strings(learned))
     symbols = strings.groupBy(F.col("string").bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol"))
     code = huffman({row["symbol"]: row["times"] for row in symbols.agg(F.sum("times").alias("times")).collect()})
-    table = spark.sparkContext.broadcast(fold_tables(strings, code))
-    weights = train_weights(strings, code, table)
-    shared_head = spark.sparkContext.broadcast(head)
+    table = fold_tables(strings, code)
+    weights = train_weights(strings, code, spark.sparkContext.broadcast(table))
+    shared = spark.sparkContext.broadcast(Predictors.of(table))
+    shared_head = spark.sparkContext.broadcast({token: math.log10(times + 0.5) for token, times in head.items()})
     scale = math.log10(train_tokens + 0.5 * (vocabulary + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared_head.value
-        logs = {token: math.log10(times + 0.5) for token, times in known.items()}
+        logs = shared_head.value
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [])
             for value in batch.column("text").to_pylist():
                 tokens = Counter(find_words(lower_ascii(value)))
                 tokens[END_TOKEN] += 1
                 count = tokens.total()
-                base, found, others = -count * scale, 0, []
-                for token, times in tokens.items():
-                    log = logs.get(token)
-                    if log is None:
-                        others.append({"token": token, "n": times})
-                    else:
-                        base += times * log
-                        found += times
-                for column, result in zip(out, (count, found, base, others)):
+                others = [token for token in tokens if token not in logs]
+                times = [tokens.pop(token) for token in others]
+                base = sum(n * logs[token] for token, n in tokens.items()) - count * scale
+                for column, result in zip(out, (count, tokens.total(), base, others, times)):
                     column.append(result)
             values = _bytes(batch)
-            logp = text_log_probabilities(values, code, table.value, weights)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())])))
+            logp = text_log_probabilities(values, code, shared.value, weights)
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
             arrays = [pa.array(column, kind) for column, kind in zip(out, kinds)]
             arrays += [pa.array(logp / math.log(10)), pa.array([len(v) for v in values], pa.int64())]
-            names = ["id", "held_out", ROW, "n_tokens", "head_known", "head_score", "others", "score", "n_bytes"]
+            names = ["id", "held_out", ROW, "n_tokens", "head_known", "head_score", "token", "n", "score", "n_bytes"]
             passed = [batch.column(name) for name in ("id", "held_out", ROW)]
             yield pa.RecordBatch.from_arrays([*passed, *arrays], names)
 
@@ -419,13 +461,13 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         rows.withColumn(ROW, F.monotonically_increasing_id()).mapInArrow(
             score,
             f"id {kind}, held_out boolean, {ROW} long, n_tokens long, head_known long, head_score double, "
-            "others array<struct<token: string, n: long>>, score double, n_bytes long",
+            "token array<string>, n array<long>, score double, n_bytes long",
         )
     )
     # Words outside the head: their counts come by a shuffle.
     seen = F.coalesce("times", F.lit(0))
     others = (
-        scored.select(ROW, F.explode("others").alias("other"))
+        scored.select(ROW, F.explode(F.arrays_zip("token", "n")).alias("other"))
         .select(ROW, "other.token", "other.n")
         .join(words, "token", "left")
         .groupBy(ROW)
@@ -434,7 +476,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("rest_known"),
         )
     )
-    joined = scored.drop("others").join(others, ROW, "left")
+    joined = scored.drop("token", "n").join(others, ROW, "left")
     bits = -F.col("score") * math.log2(10)
     return joined.select(
         "id",
