@@ -100,9 +100,10 @@ def records(pages: DataFrame, date: str, key: str = "page_id", url: str = "url",
 
 
 def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """Write records to files of about ``file_bytes`` under ``path``."""
-    total = records.agg(F.sum(F.octet_length("record"))).first()[0] or 0
-    records.repartition(max(1, -(-total // file_bytes))).write.option("lineSep", _END).text(path)
+    """Write records under ``path``, each task's in files of about ``file_bytes``."""
+    rows, total = records.agg(F.count(F.lit(1)), F.sum(F.octet_length("record"))).first()
+    per_file = max(1, rows * file_bytes // max(1, total or 0))
+    records.write.option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
 
 
 def _headers(text: bytes) -> dict[str, str]:
@@ -245,7 +246,11 @@ def read_records(index: CaptureIndex, places: DataFrame) -> DataFrame:
 
     A response's size and digest are those of the payload read; a revisit's are in its headers.
     """
-    by_file = places.groupBy("path").agg(F.collect_list(F.struct("at", "size")).alias("ranges"))
+    by_file = materialize(
+        places.groupBy("path").agg(F.collect_list(F.struct("at", "size")).alias("ranges"), F.count(F.lit(1)).alias("n"))
+    )
+    # The files are what must not be shuffled, as long as the list of places is short.
+    by_file = bounded(by_file, by_file.agg(F.sum("n")).first()[0] or 0)
     names = ["page", "record_type", "payload_bytes", "payload_digest", "refers_to"]
 
     def page_of(record: str) -> str:
