@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.rows import CHUNK_ROWS, ROW, attach, hash_chunk, scan_row, total_before
+from tallyforge.llm.rows import CHUNK_ROWS, ROW, attach, hash_chunk, numbered, scan_row, total_before
 from tallyforge.llm.words import WORD
 from tallyforge.sources.storage import materialize
 
@@ -36,11 +36,13 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sized_rows(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """One narrow row per document, written out: position, id, source, words and shuffle hash."""
+def sized_rows(
+    docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", row: Column | None = None
+) -> DataFrame:
+    """One narrow row per document, written out: position (``row``), id, source, words and shuffle hash."""
     return materialize(
         docs.select(
-            scan_row().alias(ROW),
+            (scan_row() if row is None else row).alias(ROW),
             F.col(key).alias("key"),
             F.col(source).alias("source"),
             word_count(text).alias("size"),
@@ -166,9 +168,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, whole, as many times as it uses them.
 
     A document at the end of its source's last block, of which the mix needs a part, comes whole.
-    ``docs`` must be a plain scan.
     """
-    used = mix(sized_rows(docs)).filter("taken > 0")
+    whole = numbered(docs)
+    used = mix(sized_rows(whole, "row.text", "row.source", "row.doc_id", F.col(ROW))).filter("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    repeated = attach(docs, used.select(ROW, copies.alias("copies")))
+    repeated = attach(whole, used.select(ROW, copies.alias("copies")))
     return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

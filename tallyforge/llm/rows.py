@@ -1,9 +1,9 @@
 """Row numbers and running totals without a task that sees a whole group.
 
-A row is named by its position in the scan (``ROW``). That position is the same each time the
-same files are scanned under the same settings, also when a lost task is run again, so a narrow
-table made from one scan can be joined back to another scan of the same documents. A frame that
-is not a plain scan must be written out first (``materialize``).
+A row is named by its position in a scan (``ROW``). Another scan of the same files may cut and
+pack them otherwise, as when an executor joins or leaves, so positions of two scans never meet:
+they are written once, and everything that is joined by ``ROW`` derives from those files. To get
+whole documents back, the documents are written with their positions (``numbered``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.sources.storage import materialize
+
 ROW = "scan_row"
 #: Rows that one task sorts when running totals are made.
 CHUNK_ROWS = 1 << 16
@@ -24,9 +26,13 @@ def scan_row() -> Column:
     return F.monotonically_increasing_id()
 
 
-def attach(docs: DataFrame, narrow: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``narrow`` lists by ``ROW``, as ``row``, with its other columns."""
-    whole = docs.select(scan_row().alias(ROW), F.struct("*").alias("row"))
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written out: ``ROW`` and the document as ``row``."""
+    return materialize(docs.select(scan_row().alias(ROW), F.struct("*").alias("row")))
+
+
+def attach(whole: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The rows of ``whole`` (``numbered``) that ``narrow``, made from it, lists, with its other columns."""
     return whole.join(narrow, ROW).drop(ROW)
 
 

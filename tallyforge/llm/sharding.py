@@ -14,10 +14,10 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.rows import ROW, attach, hash_chunk, scan_row, total_before
+from tallyforge.llm.rows import ROW, attach, hash_chunk, numbered, scan_row, total_before
 from tallyforge.sources.storage import materialize
 
 SHARDS = 8
@@ -48,12 +48,12 @@ def assign_groups(groups: DataFrame, shards: int = SHARDS, units: int = UNITS) -
     return named.join(F.broadcast(table), "unit").select("group", "shard")
 
 
-def sized_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One narrow row per document, written out: position, id, bytes, checksum and group."""
+def sized_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", row: Column | None = None) -> DataFrame:
+    """One narrow row per document, written out: position (``row``), id, bytes, checksum and group."""
     value = F.coalesce(F.col(text), F.lit(""))
     return materialize(
         docs.select(
-            scan_row().alias(ROW),
+            (scan_row() if row is None else row).alias(ROW),
             F.col(key).alias("key"),
             (F.octet_length(value) + 1).cast("long").alias("size"),
             F.crc32(value.cast("binary")).alias("text_crc32"),
@@ -89,10 +89,11 @@ def shard_report(docs: DataFrame) -> DataFrame:
 
 
 def sharded_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their shard and slot; ``docs`` must be a plain scan.
+    """The documents with their shard and slot.
 
     Columns of the input called ``shard`` or ``slot`` are replaced.
     """
-    placed = attach(docs, shard_rows(sized_rows(docs)).select(ROW, "shard", "slot"))
+    whole = numbered(docs)
+    placed = attach(whole, shard_rows(sized_rows(whole, "row.text", "row.doc_id", F.col(ROW))).select(ROW, "shard", "slot"))
     kept = [f"row.`{name}`" for name in docs.columns if name not in ("shard", "slot")]
     return placed.select(*kept, "shard", "slot")

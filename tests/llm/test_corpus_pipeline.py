@@ -73,3 +73,26 @@ def test_stages_accept_awkward_and_empty_tables(spark, number):
         out = stage(spark, docs, SF_DIR)
         assert set(out.columns) == set(docs.columns)
         assert out.count() > 0 if rows else out.isEmpty()
+
+
+@pytest.mark.parametrize("number", [3, 4])
+def test_stages_do_not_depend_on_how_files_are_cut(spark, number):
+    """Files are cut otherwise once the stage has run its first scan, as when an executor is lost."""
+    rows = [(k, fixtures.prose(k, 5 + k % 60), None, "ab"[k % 2], None) for k in range(600)]
+    docs = fixtures.scanned(spark, fixtures.awkward(spark, rows).repartition(12))
+    _, stage = corpus_pipeline.STAGES[number]
+    expected = sorted(row.doc_id for row in stage(spark, docs, SF_DIR).collect())
+    settings = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "1"}
+    out = stage(spark, docs, SF_DIR)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = out.collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert sorted(row.doc_id for row in got) == expected
+    assert all(row.text == rows[row.doc_id][1] for row in got)
+    if number == 4:
+        assert len({(row.shard, row.slot) for row in got}) == len(rows)
+        assert {row.doc_id for row in got} == set(range(600))
