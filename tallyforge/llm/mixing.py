@@ -1,10 +1,12 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a row of slots, each of one block of words. Slot i gets the point frac(i * golden
-ratio) and goes to the source whose piece of the cumulative targets holds that point, so every
-stretch of the mix follows the targets closely. The slots of a source are ranked; rank r takes
-block r of that source's documents, laid end to end in shuffled order, twice over at most. The
-number of slots grows with the number of sources, so that small sources get many.
+The mix is a row of slots, each of one block of words. Every source has slots for its whole target,
+at least one, and its target is cut into as many blocks, equal within a word. Slot r of n of a source
+gets the point (r + offset) / n, where the offset is frac(number * golden ratio): each source is
+spread evenly over the mix, sources of few slots lie apart, and the mix follows the targets closely
+everywhere. Slots are numbered by their points; slot r takes block r of that source's documents, laid
+end to end in shuffled order, twice over at most. So every source gets its target, to the nearest
+word, however small it is beside the others. The number of slots grows with the number of sources.
 
 A source without a name is the last one. Documents without words (NULL text included) have size
 0 and nothing is taken of them. Sources without words have target 0. Rows that are equal are
@@ -80,73 +82,82 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
     )
 
 
-def block_words(targets: DataFrame) -> tuple[int, int]:
-    """Words per block and number of slots."""
+def slot_count(targets: DataFrame) -> int:
+    """Number of slots, without those that round a source's last block up."""
     sources, wanted = targets.agg(F.count(F.lit(1)), F.sum("target")).first()
-    most = max(MIN_SLOTS, SLOTS_PER_SOURCE * sources)
-    block = max(1, math.ceil((wanted or 0) / most))
-    return block, math.ceil((wanted or 0) / block)
+    return min(max(MIN_SLOTS, SLOTS_PER_SOURCE * sources), math.ceil(wanted or 0))
+
+
+def source_slots(targets: DataFrame, slots: int) -> DataFrame:
+    """``targets`` of a word and more with the target in ``whole`` words and the source's ``slots``."""
+    total = F.sum("target").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    count = F.ceil(F.col("target") * slots / F.nullif(total, F.lit(0.0)))
+    return targets.select("*", F.round("target").cast("long").alias("whole"), count.alias("slots")).filter("whole > 0")
 
 
 def schedule(spark: SparkSession, targets: DataFrame, slots: int) -> DataFrame:
-    """Slot, source number and rank of the slot among its source's slots, from 0."""
-    sources = targets.count()
-    cells = 4 * max(1, sources)
-    in_order = Window.orderBy("number")
-    upto = F.sum("target").over(in_order)
-    total = F.sum("target").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    pieces = (
-        targets.select("number", "target", (upto / F.nullif(total, F.lit(0.0))).alias("high"))
-        .withColumn("low", F.coalesce(F.lag("high").over(in_order), F.lit(0.0)))
-        .filter("target > 0")
-        .withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * cells), F.floor(F.col("high") * cells))))
-    )
-    point = F.col("slot") * GOLDEN
-    points = spark.range(slots).select(F.col("id").alias("slot"))
-    points = points.withColumn("point", point - F.floor(point)).withColumn("cell", F.floor(F.col("point") * cells))
+    """Slot, source number and rank of the slot among its source's slots, from 0.
+
+    There are ``slots`` of them, and at most one more per source.
+    """
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK_ROWS))
+    first = F.col("part") * CHUNK_ROWS
+    ranks = F.sequence(first, F.least(first + CHUNK_ROWS, F.col("slots")) - 1)
+    offset = F.col("number") * GOLDEN
+    point = (F.col("rank") + offset - F.floor(offset)) / F.col("slots")
     dealt = materialize(
-        points.join(pieces, "cell")
-        .filter("low <= point and point < high")
-        .select("slot", "number", F.lit(1).cast("long").alias("one"))
+        source_slots(targets, slots)
+        .select("number", "slots", F.explode(parts).alias("part"))
+        .repartition("number", "part")
+        .select("number", "slots", F.explode(ranks).alias("rank"))
+        .select("number", "rank", point.alias("point"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("mix"))
     )
-    chunk = F.floor(F.col("slot") / CHUNK_ROWS)
-    return total_before(dealt, ["number"], chunk, [F.col("slot")], "one", "rank").drop("one")
+    chunk = F.floor(F.col("point") * math.ceil((slots + 1) / CHUNK_ROWS))
+    order = [F.col("point"), F.col("number"), F.col("rank")]
+    return total_before(dealt, ["mix"], chunk, order, "one", "slot").select("slot", "number", "rank")
 
 
-def blocks(sized: DataFrame, targets: DataFrame, block: int, epochs: int = EPOCHS) -> DataFrame:
-    """Which words of which rows make up block ``rank`` of each source's shuffled documents."""
-    rows = sized.filter("size > 0").join(
-        targets.select(F.col("source").alias("_source"), "number", "source_size"),
-        F.col("source").eqNullSafe(F.col("_source")),
-    )
+def blocks(sized: DataFrame, targets: DataFrame, slots: int, epochs: int = EPOCHS) -> DataFrame:
+    """Which words of which rows make up block ``rank`` of each source's shuffled documents.
+
+    Block r of n takes the words from ceil(r * whole / n) on, up to the next block's.
+    """
+    known = source_slots(targets, slots).select(F.col("source").alias("_source"), "number", "source_size", "whole", "slots")
+    rows = sized.filter("size > 0").join(known, F.col("source").eqNullSafe(F.col("_source")))
     passes = rows.select(
-        ROW, "number", "source_size", "size", "key", "shuffle", F.explode(F.array(*map(F.lit, range(epochs)))).alias("epoch")
+        ROW,
+        "number",
+        "source_size",
+        "whole",
+        "slots",
+        "size",
+        "key",
+        "shuffle",
+        F.explode(F.array(*map(F.lit, range(epochs)))).alias("epoch"),
     ).withColumn("position", F.xxhash64("shuffle", "epoch"))
     passes = materialize(passes)
     chunk = hash_chunk(F.col("position"), passes.count())
     # Chunks follow the hash as an unsigned number, and so does the order within a chunk.
     order = [F.shiftrightunsigned("position", 1), F.col("key"), F.col("size")]
     laid = total_before(passes, ["number", "epoch"], chunk, order, "size", "before")
-    start = F.col("epoch") * F.col("source_size") + F.col("before")
-    last = F.col("start") + F.col("size") - 1
-    ranks = F.sequence(F.floor(F.col("start") / block), F.floor(last / block))
-    words = F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block) - F.greatest(
-        F.col("start"), F.col("rank") * block
+    used = laid.withColumn("start", F.col("epoch") * F.col("source_size") + F.col("before")).filter("start < whole")
+    used = used.withColumn("end", F.least(F.col("start") + F.col("size"), F.col("whole")))
+    ranks = F.sequence(F.expr("start * slots div whole"), F.expr("(end - 1) * slots div whole"))
+    words = F.expr(
+        "least(end, ((rank + 1) * whole + slots - 1) div slots) - greatest(start, (rank * whole + slots - 1) div slots)"
     )
-    return (
-        laid.withColumn("start", start)
-        .select(ROW, "number", "start", "size", F.explode(ranks).alias("rank"))
-        .select(ROW, "number", "rank", words.alias("words"))
+    return used.select(ROW, "number", "start", "end", "whole", "slots", F.explode(ranks).alias("rank")).select(
+        ROW, "number", "rank", words.alias("words")
     )
 
 
 def mix(sized: DataFrame) -> DataFrame:
     """Per row of ``sized`` its source's words and target, and the words the mix takes of it."""
     targets = materialize(source_targets(sized))
-    block, slots = block_words(targets)
+    slots = slot_count(targets)
     planned = schedule(sized.sparkSession, targets, slots)
     taken = (
-        blocks(sized, targets, block)
+        blocks(sized, targets, slots)
         .join(planned.select("number", "rank"), ["number", "rank"])
         .groupBy(ROW)
         .agg(F.sum("words").alias("taken"))

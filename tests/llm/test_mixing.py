@@ -91,3 +91,27 @@ def test_no_words_at_all(spark):
         got = mixing.mix_report(docs).collect()
         assert len(got) == len(rows) and all(row["size"] == row.target == row.taken == 0 for row in got)
         assert mixing.mixed_documents(docs).columns == docs.columns and mixing.mixed_documents(docs).isEmpty()
+
+
+def test_sources_smaller_than_a_block_get_their_targets(spark):
+    """The large sources make blocks of 90 words; the small ones have fewer words than that."""
+    rows = [(k, "a " * 100_000, None, "ab"[k % 2], None) for k in range(40)]
+    rows += [(100 + k, "b " * (3 + 8 * k), None, f"small {k}", None) for k in range(6)]
+    docs = fixtures.scanned(spark, fixtures.awkward(spark, rows).repartition(8))
+    report = mixing.mix_report(docs).collect()
+    taken, wanted = defaultdict(int), {}
+    for row in report:
+        taken[row.source] += row.taken
+        wanted[row.source] = row.target
+        assert 0 <= row.taken <= 2 * row["size"]
+    assert len(wanted) == 8 and all(abs(taken[name] - wanted[name]) <= 0.5 for name in wanted)
+    assert {row.source for row in mixing.mixed_documents(docs).select("source").distinct().collect()} == set(wanted)
+
+
+def test_single_slots_lie_apart(spark):
+    table = [(f"s{k:02}", k, 1, 1.0) for k in range(32)] + [("big", 32, 100_000, 100_000.0)]
+    frame = spark.createDataFrame(table, "source string, number int, source_size long, target double")
+    rows = mixing.schedule(spark, frame, 1000).collect()
+    assert sorted(row["slot"] for row in rows) == list(range(len(rows)))
+    places = sorted(row["slot"] for row in rows if row["number"] < 32)
+    assert len(places) == 32 and max(b - a for a, b in zip([0, *places], [*places, len(rows)])) < 100
