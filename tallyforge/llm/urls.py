@@ -1,9 +1,10 @@
 """URL filters: fixed host and path rules, then association rules mined from labelled pages.
 
-URLs become token sets: scheme, host, domain, subdomain, first directory, file extension, query
-keys, fragment. FP-growth over the labelled ones finds token sets that go with a bad label; of
-these, rules with enough support and confidence stay, without those that only add tokens to a
-rule at least as sure. A rule is indexed under its rarest token; a URL is compared with the rules
+URLs become token sets: scheme, host, domain, subdomain, host labels, first directory, path segments
+and their words, file extension, query keys and values, fragment. Single tokens and pairs that go
+with a bad label are counted exactly over all labelled pages, with the same number of pages asked
+for at any size; sets of three and more come from FP-growth. Rules with enough pages and confidence
+stay, without those that only add tokens to a rule at least as sure. A rule is indexed under its rarest token; a URL is compared with the rules
 listed under its own tokens, and is blocked if it holds all tokens of one.
 
 Fixed rules name a host, with all its subdomains, and a path prefix; the longest that fits wins.
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from tallyforge.llm.rows import ROW, bounded
 from tallyforge.sources.storage import materialize
 
-#: Labelled pages that rules are mined from, at most about so many.
+#: Labelled pages that rules of three tokens and more are mined from, at most about so many.
 TRAINING_ROWS = 500_000
-#: A rule covers this share of the labelled pages, and this many; so sure must it be.
+#: A rule of three tokens and more covers this share of the pages; any rule, this many bad ones; so sure must it be.
 MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.002, 20, 0.6
 BAD = "label:bad"
 
@@ -83,7 +84,18 @@ def url_tokens(url: str, host: Column, path: Column) -> Column:
     rest = _rest(url)
     labels = F.split(host, r"\.")
     query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
-    keys = F.transform(F.split(query, "[&;]"), lambda pair: F.concat(F.lit("query:"), F.substring_index(pair, "=", 1)))
+    keys = F.flatten(
+        F.transform(
+            F.split(query, "[&;]"),
+            lambda pair: F.array(F.concat(F.lit("query:"), F.substring_index(pair, "=", 1)), F.concat(F.lit("query:"), pair)),
+        )
+    )
+    tagged = lambda tag, parts: F.transform(F.filter(parts, lambda part: part != ""), lambda part: F.concat(F.lit(tag), part))
+    parts = [
+        tagged("label:", labels),
+        tagged("path:", F.split(path, "/")),
+        tagged("word:", F.split(F.lower(path), r"[^\p{L}\p{N}]+")),
+    ]
     named = F.array(
         F.concat(F.lit("scheme:"), F.lower(F.substring_index(url, "://", 1))),
         F.concat(F.lit("host:"), host),
@@ -95,7 +107,7 @@ def url_tokens(url: str, host: Column, path: Column) -> Column:
     )
     keys = F.when(query != "", keys).otherwise(F.array().cast("array<string>"))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.array_compact(F.concat(named, keys)))
+        F.array_distinct(F.array_compact(F.concat(named, keys, *parts)))
     )
 
 
@@ -108,22 +120,60 @@ def mine_rules(
 ) -> DataFrame:
     """Rules (``tokens``, ``confidence``, ``support``) for a bad label from ``tokens`` and ``bad``.
 
-    ``labelled`` is a written table; of more than ``training_rows`` rows a seeded sample is used.
+    A rule of one or two tokens holds at least ``min_rows`` bad rows of all, whatever their number.
+    Longer rules also need ``min_support``; of more than ``training_rows`` rows a seeded sample is
+    used for them. Tokens of a single-token rule are in no longer one.
     """
     spark = labelled.sparkSession
     rows = labelled.count()
-    if rows > training_rows:
-        labelled = labelled.sample(fraction=training_rows / rows, seed=29)
-        rows = training_rows
     if not rows:
         return spark.createDataFrame([], "tokens array<string>, confidence double, support double")
-    marked = F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens"))
+    listed = materialize(labelled.select(F.monotonically_increasing_id().alias(ROW), "bad", "tokens"))
+    each = listed.select(ROW, "bad", F.explode("tokens").alias("token"))
+    # Tokens of the same rows have the same times and mark.
+    counted = each.groupBy("token").agg(
+        F.count(F.lit(1)).alias("times"),
+        F.count_if("bad").alias("bad_times"),
+        F.sum(F.xxhash64(ROW).cast("decimal(20,0)")).alias("mark"),
+    )
+    counts = materialize(counted.filter(F.col("bad_times") >= min_rows))
+    sure = F.col("bad_times") >= min_confidence * F.col("times")
+    figures = [(F.col("bad_times") / F.col("times")).alias("confidence"), (F.col("bad_times") / rows).alias("support")]
+    singles = counts.filter(sure).select(F.array("token").alias("tokens"), *figures)
+    joining = counts.filter(~sure & (F.col("times") < rows))
+    first = joining.groupBy("times", "mark").agg(F.min("token").alias("first"))
+    joining = materialize(joining.join(first, ["times", "mark"]).select("token", (F.col("token") == F.col("first")).alias("main")))
+    combined = materialize(
+        each.join(bounded(joining), "token")
+        .groupBy(ROW, "bad")
+        .agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.collect_set(F.when(F.col("main"), F.col("token"))).alias("mains"))
+    )
+    pair = F.explode(
+        F.flatten(
+            F.transform(
+                "tokens",
+                lambda one, at: F.transform(F.slice("tokens", at + 2, F.size("tokens")), lambda two: F.array(one, two)),
+            )
+        )
+    ).alias("tokens")
+    bad_pairs = combined.filter("bad").select(pair).groupBy("tokens").agg(F.count(F.lit(1)).alias("bad_times"))
+    bad_pairs = materialize(bad_pairs.filter(F.col("bad_times") >= min_rows))
+    good_pairs = combined.filter("NOT bad").select(pair).join(bounded(bad_pairs.select("tokens")), "tokens")
+    good_pairs = good_pairs.groupBy("tokens").agg(F.count(F.lit(1)).alias("good_times"))
+    times = F.col("bad_times") + F.coalesce("good_times", F.lit(0))
+    pairs = bad_pairs.join(good_pairs, "tokens", "left").withColumn("times", times).filter(sure).select("tokens", *figures)
+    marked = F.when(F.col("bad"), F.array_append("mains", F.lit(BAD))).otherwise(F.col("mains"))
+    sample = combined
+    if rows > training_rows:
+        sample = combined.sample(fraction=training_rows / rows, seed=29)
+        rows = training_rows
     miner = FPGrowth(
         itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / rows)), minConfidence=min_confidence
     )
-    found = miner.fit(labelled.select(marked.alias("items"))).associationRules
-    about_label = found.filter(F.col("consequent") == F.array(F.lit(BAD)))
-    rules = materialize(about_label.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support"))
+    found = miner.fit(sample.select(marked.alias("items"))).associationRules
+    longer = found.filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") > 2))
+    longer = longer.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
+    rules = materialize(singles.unionByName(pairs).unionByName(longer))
     # A longer rule that is no surer than a rule it contains says nothing new. Each rule meets the
     # shorter ones under the first token of theirs.
     shorter = rules.select(

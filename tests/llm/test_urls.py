@@ -86,3 +86,15 @@ def test_matches_equal_brute_force(spark):
     found = urls.matching_rows(spark.createDataFrame(rows, "scan_row long, tokens array<string>"), table).collect()
     expected = {k for k, tokens in rows if any(set(rule) <= set(tokens) for rule in rules)}
     assert sorted(row.scan_row for row in found) == sorted(expected)
+
+
+def test_rare_tokens_and_pairs_are_learned_at_any_size(spark):
+    """25 bad pages each, far under 0.2 % of 30,000: a host, a directory of a host, and words deep in the URL."""
+    bad = ["http://bad.com/a/{}", "http://big.com/win/{}", "http://m.casino-win.site{}.com/", "http://h{}.com/a/b/cheap-pills.html", "http://g{}.com/?u=spam"]
+    rows = [(n * 100 + k, url.format(k)) for n, url in enumerate(bad) for k in range(25)]
+    good = [(1000 + k, f"http://{('big', 'other')[k % 2]}.com/{('win', 'info')[k // 2 % 2] if k % 2 else 'info'}/{k}") for k in range(30_000)]
+    unseen = [(50_000 + n, url.format(99)) for n, url in enumerate(bad)]
+    marks = [(key, 0, 0) for key, _ in rows] + [(key, 1, 0) for key, _ in good]
+    got = urls.url_report(pages(spark, rows + good + unseen), labels(spark, marks)).collect()
+    blocked = {row.page_id for row in got if row.verdict == "block"}
+    assert blocked == {key for key, _ in rows + unseen}
