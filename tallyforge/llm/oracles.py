@@ -106,9 +106,53 @@ _ARCHIVE = """
     FROM paged p LEFT JOIN stored s USING (payload_digest)
 """
 
+_RESAMPLING = f"""
+    WITH crc AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+    ),
+    d AS (SELECT doc_id, {_words(_BENCH_WORD)} AS w FROM documents),
+    b AS (SELECT {_words(_BENCH_WORD)} AS w FROM benchmark),
+    vocabulary AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+    coded AS (
+        SELECT word, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(1, strlen(word) + 1),
+                lambda i: CAST('0x' || substr(hex(encode(word)), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))),
+            lambda c, x: xor(c >> 8, steps[CAST(xor(c, x) & 255 AS BIGINT) + 1]))) % 10000 AS bucket
+        FROM vocabulary, crc
+    ),
+    words AS (SELECT doc_id, unnest(w) AS word FROM d),
+    s AS (SELECT bucket, count(*) AS n FROM words JOIN coded USING (word) GROUP BY 1),
+    t AS (SELECT bucket, count(*) AS n FROM (SELECT unnest(w) AS word FROM b) JOIN coded USING (word) GROUP BY 1),
+    gain AS (
+        SELECT u.bucket, CAST(floor(1000 * ln(
+            CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * (coalesce((SELECT sum(n) FROM s), 0) + 10000)
+            / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * (coalesce((SELECT sum(n) FROM t), 0) + 10000)))) AS BIGINT) AS g
+        FROM range(10000) AS u(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+    ),
+    weighed AS (
+        SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight FROM words JOIN coded USING (word) JOIN gain USING (bucket) GROUP BY 1
+    ),
+    noise AS (
+        SELECT doc_id, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM documents
+    ),
+    scored AS (
+        SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+            coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+        FROM d JOIN noise USING (doc_id) LEFT JOIN weighed USING (doc_id)
+    ),
+    places AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+        FROM scored WHERE n_features >= 20
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+    FROM scored LEFT JOIN places USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_cascade": _QUALITY,
     "op3_hyperminhash": _NEAR,
     "op5_wu_manber": _CONTAMINATION,
     "op6_capture_index": _ARCHIVE,
+    "op11_importance_resampling": _RESAMPLING,
 }

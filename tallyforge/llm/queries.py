@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import decontaminate, licenses, lm, mixing, neardup, quality, runindex, sharding, urls, warc
+from tallyforge.llm import (
+    decontaminate,
+    licenses,
+    lm,
+    mixing,
+    nearest,
+    neardup,
+    quality,
+    resample,
+    runindex,
+    sharding,
+    urls,
+    warc,
+    whitening,
+)
 from tallyforge.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -58,6 +72,18 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampling_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spectral_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_cascade": op1_quality_cascade,
     "op2_longest_first": op2_longest_first,
@@ -69,4 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_winnowed_licenses": op8_winnowed_licenses,
     "op9_run_length_index": op9_run_length_index,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_kmeans_tree_neighbours": op12_kmeans_tree_neighbours,
+    "op13_spectral_whitening": op13_spectral_whitening,
 }
