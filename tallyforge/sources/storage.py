@@ -62,6 +62,19 @@ def modified_at(spark: SparkSession, path: str) -> datetime | None:
     return datetime.fromtimestamp(fs.getFileStatus(target).getModificationTime() / 1000, UTC)
 
 
+def files_under(spark: SparkSession, path: str) -> dict[str, datetime]:
+    """Every file below a directory, by its name relative to it, and when each was last changed."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return {}
+    root, found, left = fs.getFileStatus(target).getPath().toString().rstrip("/") + "/", {}, fs.listFiles(target, True)
+    while left.hasNext():
+        status = left.next()
+        name = status.getPath().toString().removeprefix(root)
+        found[name] = datetime.fromtimestamp(status.getModificationTime() / 1000, UTC)
+    return found
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     """Delete a file or directory tree; nothing happens when it does not exist."""
     fs, target = _locate(spark, path)

@@ -9,6 +9,7 @@ from tallyforge.plans.marts import RetailMarts
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
 from tallyforge.sources.driver_tables import DriverTables
+from tallyforge.sources.published import PublishedTable
 
 AT, LATER = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -61,7 +62,7 @@ def test_second_build_replaces_loads_and_keeps_history(built, spark, rows):
     assert {row.run_id for row in again["fct_orders"].read().collect()} == {"second"}
     for name, stored in before.items():
         assert rows(tables[name].read()) == stored, name
-    lines = spark.read.parquet(f"{root}/{LEDGER}").orderBy("built_at").collect()
+    lines = PublishedTable(spark, f"{root}/{LEDGER}").read().orderBy("built_at").collect()
     assert [line.run_id for line in lines] == ["first", "second"]
 
 

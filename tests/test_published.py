@@ -7,12 +7,13 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.operators.checks import AcceptedValues, NotNull, run_checks
 from tallyforge.plans.marts import RetailMarts
 from tallyforge.settings import Settings
 from tallyforge.sources import storage
 from tallyforge.sources.driver_tables import DriverTables
 from tallyforge.sources.extracts import SCHEMAS, ExtractFolder, read_csv
-from tallyforge.sources.published import PART, PublishedTable, audited_publish
+from tallyforge.sources.published import PART, Bounds, BuildLedger, PublishedTable, RejectedBuild, audited_publish
 
 SCHEMA = "id bigint, grp string, amount bigint"
 
@@ -233,14 +234,11 @@ def keyed(spark, tmp_path, kind="bigint"):
 
 
 def opened(table, monkeypatch, delta, keys=("id",)):
-    """Partitions that an upsert of ``delta`` searches for its keys."""
-    seen = []
-    may_hold = table._may_hold
-    monkeypatch.setattr(
-        table, "_may_hold", lambda name, *rest: may_hold(name, *rest) and (seen.append(name.rpartition("=")[2]) or True)
-    )
+    """Partitions of the files that an upsert of ``delta`` searches for its keys."""
+    seen, candidates = [], table._candidates
+    monkeypatch.setattr(table, "_candidates", lambda *args: seen.extend(candidates(*args)) or seen)
     table.upsert(delta, list(keys))
-    return seen
+    return sorted({entry.directory.rpartition("=")[2] for entry in seen})
 
 
 def test_upsert_searches_only_where_the_keys_may_be(spark, tmp_path, monkeypatch, rows):
@@ -251,18 +249,228 @@ def test_upsert_searches_only_where_the_keys_may_be(spark, tmp_path, monkeypatch
     assert opened(table, monkeypatch, frame(spark, (703, "m20", -1))) == ["m07"]
     expected = sorted([row for row in months if row[0] != 703] + [(703, "m20", -1)], key=repr)
     assert rows(table.read()) == expected
-    assert len(table.manifest().keys) == 30
+    assert all(entry.bounds for entry in table.manifest().entries)
+
 
+def names(table, version=None):
+    return {entry.name for entry in table.manifest(version).entries}
 
-def test_key_filters_help_where_ranges_do_not(spark, tmp_path, monkeypatch, rows):
+
+def test_only_files_that_hold_a_key_are_rewritten_where_ranges_overlap(spark, tmp_path, monkeypatch, rows):
     table = keyed(spark, tmp_path)
     spread = [(k, f"g{k % 30:02d}", 0) for k in range(300)]  # every group spans nearly all keys
     table.replace(frame(spark, *spread))
+    before = names(table)
     seen = opened(table, monkeypatch, frame(spark, (155, "g00", 1)))
-    assert "g05" in seen and len(seen) <= 3
+    assert "g05" in seen and len(before - names(table)) == 1
     assert (155, "g00", 1) in rows(table.read()) and table.read().count() == 300
 
 
+def test_a_small_delta_on_many_random_keys_rewrites_only_their_files(spark, tmp_path, rows):
+    """Ten keys of a million, in one partition of at least 100 files."""
+    table = PublishedTable(spark, str(tmp_path / "t"), F.col("grp"), keys=["id"], file_rows=10_000)
+    source = spark.range(1_000_000).selectExpr("xxhash64(id) as id", "'m' as grp", "id as amount")
+    table.replace(source)
+    before = names(table)
+    assert len(before) >= 100
+    delta = source.filter("amount % 100000 = 7").withColumn("amount", F.lit(-1).cast("bigint"))
+    table.upsert(delta, ["id"])
+    gone = before - names(table)
+    assert 1 <= len(gone) <= 10 and table.read().count() == 1_000_000
+    assert table.read().filter("amount = -1").count() == 10
+    # What a manifest says of a file does not grow with the file.
+    text = storage.read_text(spark, f"{table.path}/manifests/0000000002.json")
+    assert len(text) < 600 * (len(names(table)) + 5)
+
+
+def test_files_carry_bloom_filters_on_the_keys(spark, tmp_path):
+    """Of files with one key range the filters tell which cannot hold a key: the scan reads no row of them."""
+    table = PublishedTable(spark, str(tmp_path / "t"), keys=["id"])
+    for k in range(4):
+        table.append(spark.range(20_000).selectExpr(f"xxhash64(id * 4 + {k}) as id", "'g' as grp", "id as amount"))
+    wanted = spark.range(1).selectExpr("xxhash64(bigint(4001)) as id").first()["id"]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names(table):
+        footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(f"{table.path}/{name}"))
+        columns = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in footer.getBlocks().get(0).getColumns()}
+        assert columns["id"] > 0 and columns["amount"] <= 0
+    searched = table._candidates(["id"], Bounds((wanted,), (wanted,)), [(wanted,)], table.manifest())
+    assert len(searched) >= 4  # by their ranges any load may hold it
+    assert len(table.files_with(spark.createDataFrame([(wanted,)], "id bigint"), ["id"], table.manifest())) == 1
+
+
+# Merge on read
+
+
+def test_merge_on_read_equals_copy_on_write(spark, tmp_path, rows):
+    eager, lazy = (PublishedTable(spark, str(tmp_path / name), F.col("grp"), keys=["id"]) for name in ("eager", "lazy"))
+    start = frame(spark, *((k, f"g{k % 3}", k) for k in range(30)), (None, "g0", 5))
+    deltas = [
+        frame(spark, (1, "g1", -1), (40, "g9", 40)),
+        frame(spark, (1, "g2", -2), (2, "g2", -2), (None, "g1", 6)),
+        frame(spark),
+        frame(spark, (40, "g0", 41)),
+    ]
+    for table in (eager, lazy):
+        table.replace(start)
+    for delta in deltas:
+        eager.upsert(delta, ["id"])
+        lazy.upsert_on_read(delta)
+        assert rows(lazy.read()) == rows(eager.read())
+        assert rows(lazy.read(["g0", "g9"])) == rows(eager.read(["g0", "g9"]))
+    lazy.compact(100)
+    assert rows(lazy.read()) == rows(eager.read()) and lazy.manifest().deletes == []
+    lazy.expire(keep=1, min_age=timedelta(0))
+    assert rows(lazy.read()) == rows(eager.read()) and storage.list_names(spark, f"{lazy.path}/deletes") == []
+
+
+def test_merge_on_read_writes_in_proportion_to_the_delta(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"), keys=["id"])
+    table.replace(spark.range(200_000).selectExpr("id", "uuid() as grp", "id as amount"))
+    before, size = names(table), storage.tree_bytes(spark, table.path)
+    table.upsert_on_read(frame(spark, *((k * 997, "x", -1) for k in range(50))))
+    assert before < names(table) and storage.tree_bytes(spark, table.path) - size < size / 50
+    assert table.read().count() == 200_000 and table.read().filter("amount = -1").count() == 50
+
+
+def test_deletes_and_rows_that_come_back(spark, tmp_path, rows):
+    table = keyed(spark, tmp_path)
+    table.replace(frame(spark, (1, "a", 1), (2, "b", 2), (None, "a", 3)))
+    table.delete_on_read(frame(spark, (1, "zz", 0), (None, "zz", 0), (9, "zz", 0)).select("id"))
+    assert rows(table.read()) == [(2, "b", 2), (None, "a", 3)]
+    table.append(frame(spark, (1, "a", 10)))
+    assert rows(table.read()) == [(1, "a", 10), (2, "b", 2), (None, "a", 3)]
+    table.upsert(frame(spark, (2, "a", 20)), ["id"])
+    assert rows(table.read()) == [(1, "a", 10), (2, "a", 20), (None, "a", 3)]
+    table.delete_on_read(frame(spark, (1, "a", 0), (2, "a", 0)).select("id"))
+    table.compact()
+    assert rows(table.read()) == [(None, "a", 3)] and table.manifest().deletes == []
+    old = table.manifest(1)
+    assert rows(table.read(at=old)) == [(1, "a", 1), (2, "b", 2), (None, "a", 3)]
+
+
+def test_files_beyond_the_deleted_keys_are_read_without_a_join(spark, tmp_path, capsys):
+    table = keyed(spark, tmp_path)
+    table.replace(frame(spark, *((k, "a" if k < 50 else "b", k) for k in range(100))))
+    table.delete_on_read(frame(spark, (7, "a", 0)).select("id"))
+    table.read(["b"]).explain()
+    assert "Anti" not in capsys.readouterr().out
+    table.read(["a"]).explain()
+    assert "Anti" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("step", ["write_new_text", "files_under"])
+def test_a_crash_within_a_merge_leaves_the_old_version(spark, tmp_path, monkeypatch, rows, step):
+    table = keyed(spark, tmp_path)
+    table.replace(frame(spark, (1, "a", 1), (2, "b", 2)))
+    table.upsert_on_read(frame(spark, (1, "a", 10)))
+    before = rows(table.read())
+
+    def lost(*args):
+        raise ConnectionError("driver lost")
+
+    for run in (
+        lambda: table.upsert_on_read(frame(spark, (2, "b", 20))),
+        lambda: table.upsert(frame(spark, (2, "b", 20)), ["id"]),
+        lambda: table.compact(),
+    ):
+        with monkeypatch.context() as broken:
+            broken.setattr(storage, step, lost)
+            with pytest.raises(ConnectionError):
+                run()
+        assert rows(table.read()) == before
+    table.expire(keep=1, min_age=timedelta(0))
+    assert rows(table.read()) == before
+
+
+def test_changes_between_versions(spark, tmp_path, rows):
+    table = keyed(spark, tmp_path)
+    table.replace(frame(spark, (1, "a", 1), (2, "a", 2), (3, "b", 3), (3, "b", 3)))
+    table.upsert(frame(spark, (1, "b", 10)), ["id"])
+    table.upsert_on_read(frame(spark, (2, "a", 20)))
+    table.delete_on_read(frame(spark, (3, "b", 0)).select("id"))
+    moved = lambda a, b: rows(table.changes(table.manifest(a), table.manifest(b)))
+    assert moved(1, 2) == sorted([(1, "a", 1, -1), (1, "b", 10, 1)], key=repr)
+    assert moved(2, 3) == sorted([(2, "a", 2, -1), (2, "a", 20, 1)], key=repr)
+    assert moved(3, 4) == [(3, "b", 3, -1), (3, "b", 3, -1)]
+    everything = [(1, "a", 1, -1), (1, "b", 10, 1), (2, "a", 2, -1), (2, "a", 20, 1), (3, "b", 3, -1), (3, "b", 3, -1)]
+    assert moved(1, 4) == sorted(everything, key=repr) and moved(2, 2) == []
+    table.compact(0)
+    assert moved(4, 5) == []
+
+
+# Audited builds
+
+
+def failing(rows):
+    return run_checks({"t": rows}, {"t": (NotNull("id"), AcceptedValues("grp", ("a", "b")))})
+
+
+def test_a_failing_check_leaves_the_old_version_and_a_line(spark, tmp_path, table, rows):
+    ledger = BuildLedger(spark, str(tmp_path / "ledger"))
+    publish = lambda run, *data: audited_publish(frame(spark, *data), table, ledger.table.path, run, failures=failing)
+    publish("one", (1, "a", 10))
+    with pytest.raises(RejectedBuild, match="accepted_values"):
+        publish("two", (2, "zz", 1), (None, "a", 1))
+    assert rows(table.read()) == [(1, "a", 10)] and table.manifest().version == 1
+    lines = {row.run_id: row for row in ledger.lines().collect()}
+    assert lines["two"].outcome == "rejected" and lines["two"].row_count == 2
+    assert lines["two"].failed_checks == "accepted_values(grp), not_null(id)"
+    (kept,) = table.rejected()
+    assert rows(table.read(at=kept)) == sorted([(2, "zz", 1), (None, "a", 1)], key=repr)
+    assert [row.run_id for row in ledger.builds().collect()] == ["one"]
+    publish("three", (3, "b", 1))
+    assert rows(table.read()) == [(3, "b", 1)] and ledger.lines().count() == 3
+    table.expire(keep=1, min_age=timedelta(0))
+    assert table.rejected() == [] and rows(table.read()) == [(3, "b", 1)]
+
+
+@pytest.mark.parametrize("crash_at", [1, 2, 3, 4])
+def test_a_crash_leaves_rows_and_line_or_neither(spark, tmp_path, table, rows, monkeypatch, crash_at):
+    ledger = BuildLedger(spark, str(tmp_path / "ledger"))
+    audited_publish(frame(spark, (1, "a", 10)), table, ledger.table.path, "one")
+    calls, real = [], storage.write_new_text
+
+    def sometimes(session, path, text):
+        """The table's manifest is the first small file of a publish, the ledger's the second."""
+        calls.append(path)
+        if len(calls) == (crash_at + 1) // 2:
+            if crash_at % 2 == 0:
+                real(session, path, text)
+            raise ConnectionError("driver lost")
+        real(session, path, text)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "write_new_text", sometimes)
+        with pytest.raises(ConnectionError):
+            audited_publish(frame(spark, (2, "a", 20)), table, ledger.table.path, "two")
+    published = rows(table.read()) == [(2, "a", 20)]
+    assert published == (crash_at > 1)
+    ledger.settle([table])
+    assert ("two" in [row.run_id for row in ledger.builds().collect()]) == published
+    audited_publish(frame(spark, (3, "a", 30)), table, ledger.table.path, "three")
+    runs = sorted(row.run_id for row in ledger.builds().collect())
+    assert runs == ["one", "three", "two"] if published else runs == ["one", "three"]
+
+
+def test_expire_spares_a_write_that_still_adds_files(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, (1, "a", 1)))
+    running = f"{tmp_path}/t/data/running"
+    frame(spark, (2, "b", 2)).write.parquet(running)
+    old = (datetime.now() - timedelta(days=3)).timestamp()
+    parts = [name for name in os.listdir(running) if name.endswith(".parquet")]
+    for name in [*os.listdir(running), "."]:
+        os.utime(os.path.join(running, name), (old, old))
+    os.utime(os.path.join(running, parts[0]))  # a file finished just now, below a folder made days ago
+    table.expire(min_age=timedelta(days=1))
+    assert "running" in storage.list_names(spark, f"{table.path}/data")
+    for name in [*os.listdir(running), "."]:
+        os.utime(os.path.join(running, name), (old, old))
+    table.expire(min_age=timedelta(days=1))
+    assert "running" not in storage.list_names(spark, f"{table.path}/data")
+
+
 def test_other_keys_null_keys_and_older_manifests_are_searched_in_full(spark, tmp_path, monkeypatch, rows):
     table = keyed(spark, tmp_path)
     table.replace(frame(spark, (1, "a", 10), (2, "b", 20)))
