@@ -14,11 +14,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SALT = "_salt"
 COPIES = "_copies"
-#: Values a sketch can report, a tenth of what it can track; and bytes of a row of unknown size.
-MOST_KEYS, ROW_BYTES = 100_000, 100
+#: Sampled rows that a key of two tasks can expect, and how many of them make it a hot key.
+EXPECTED, SEEN = 128, 64
+#: Bytes of a row where the size of a table is unknown.
+ROW_BYTES = 100
 
 
 @dataclass(frozen=True)
@@ -33,28 +36,42 @@ class HotKeys:
 
 
 def hot_keys(df: DataFrame, columns: Sequence[str], total_bytes: float, task_bytes: int) -> list[HotKeys]:
-    """Values of each column whose rows would fill at least two tasks of ``task_bytes``.
+    """Values of each column whose rows would fill two tasks of ``task_bytes`` or more.
 
     ``total_bytes`` is the size of ``df``; where it is not known (infinite) rows count as
-    ``ROW_BYTES`` each. One pass with mergeable sketches: each task returns a small summary,
-    nothing is shuffled by key. At most ``total_bytes / (2 * task_bytes)`` values can qualify per
-    column; a sketch reports ``MOST_KEYS`` of them, and a key too small to be among those, a
-    millionth of a table that large, is left to adaptive execution. Shares are estimates; they
-    only decide how a key is spread.
+    ``ROW_BYTES`` each. Rows are sampled so that a key of two tasks can expect ``EXPECTED`` of them, and
+    counted by column and key: combined within each task, then shuffled by key, so no task's share grows with the
+    number of tasks. The sample has ``EXPECTED`` rows per two tasks of input, however large the table.
+    A key of two tasks stays below ``SEEN`` sampled rows with probability under 1e-8, and is then
+    left to adaptive execution. Shares are estimates; they only decide how a key is spread.
     """
+    rows = df.count()
     if math.isinf(total_bytes):
-        total_bytes = df.count() * ROW_BYTES
-    if total_bytes < 2 * task_bytes:
+        total_bytes = rows * ROW_BYTES
+    if rows == 0 or total_bytes < 2 * task_bytes:
         return [HotKeys(column, {}) for column in columns]
-    k = min(MOST_KEYS, math.ceil(total_bytes / (2 * task_bytes)))
-    top = df.agg(
-        F.count(F.lit(1)), *(F.expr(f"approx_top_k(`{column}`, {k}, {10 * k})") for column in columns)
-    ).first()
-    total, found = top[0], []
-    for column, items in zip(columns, top[1:]):
-        tasks = {item["item"]: item["count"] / total * total_bytes / task_bytes for item in items or []}
-        found.append(HotKeys(column, {key: math.ceil(filled) for key, filled in tasks.items() if filled >= 2}))
-    return found
+    share = min(1.0, EXPECTED * total_bytes / (2 * task_bytes) / rows)
+    sampled = df.select(*columns) if share == 1 else df.select(*columns).sample(share, seed=1)
+    named = F.explode(
+        F.array(*(F.struct(F.lit(k).alias("column"), F.col(c).cast("string").alias("key")) for k, c in enumerate(columns)))
+    )
+    counted = sampled.select(named.alias("one")).groupBy("one.column", "one.key").count()
+    per_task = task_bytes / total_bytes * rows * share
+    hot = counted.filter(F.col("count") >= (2 * per_task if share == 1 else SEEN))
+    found: list[dict] = [{} for _ in columns]
+    # At most a key per task of input and column.
+    for row in hot.collect():
+        found[row["column"]][row["key"]] = math.ceil(row["count"] / per_task)
+    kinds = [df.schema[column].dataType for column in columns]
+    return [HotKeys(column, _typed(df, kind, keys)) for column, kind, keys in zip(columns, kinds, found)]
+
+
+def _typed(df: DataFrame, kind, keys: dict) -> dict:
+    """Keys cast back from text."""
+    if isinstance(kind, StringType) or not keys:
+        return keys
+    texts = df.sparkSession.createDataFrame([(key,) for key in keys], "key string")
+    return {row["value"]: keys[row["key"]] for row in texts.select("key", F.col("key").cast(kind).alias("value")).collect()}
 
 
 def spread_join(
