@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.measures import period_start
-from tallyforge.operators.pivots import pivot_present_values, sums_by_value
+from tallyforge.operators.pivots import pivot_present_values, sums_by_value, sums_in_rows
 
 # The categories of the catalogue and the accepted payment methods.
 CATEGORIES = ("clarity", "healing", "invisibility", "love", "luck", "strength")
@@ -82,6 +82,11 @@ def payment_method_mix(orders: DataFrame, methods: Sequence[str] = PAYMENT_METHO
     return _paid(orders).groupBy("shop_region").agg(*columns)
 
 
+def payment_method_mix_rows(orders: DataFrame) -> DataFrame:
+    """Collected gold by region and method in rows, for any number of methods."""
+    return sums_in_rows(_paid(orders), "shop_region", "primary_payment_method", "collected_gold", "collected_gold")
+
+
 def payment_method_mix_dynamic(orders: DataFrame) -> DataFrame:
     """Collected gold by region, one column per method present in the data."""
     return pivot_present_values(_paid(orders), "shop_region", "primary_payment_method", "collected_gold")

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.measures import copper_to_gold, is_weekend, period_start, safe_divide
+from tallyforge.operators.rollups import MaintainedRollup
 from tallyforge.operators.skew import HotKeys, spread_join
 from tallyforge.plans.staging import line_amounts
 from tallyforge.settings import Settings
+from tallyforge.sources.published import PublishedTable
 
 
 def order_item_totals(order_items: DataFrame, settings: Settings) -> DataFrame:
@@ -37,6 +39,28 @@ def order_payments(payments: DataFrame, settings: Settings) -> DataFrame:
         F.max("paid_at").alias("last_payment_at"),
         F.min(F.when(status == "success", F.col("payment_method"))).alias("primary_payment_method"),
     )
+    return with_payment_gold(rolled, settings)
+
+
+def order_payments_rollup(payments: PublishedTable, path: str) -> MaintainedRollup:
+    """The same rollup of published payments, stored under ``path`` and kept up to date."""
+    amount, status = F.col("amount_copper"), F.col("payment_status")
+    return MaintainedRollup(
+        payments,
+        path,
+        ["order_id"],
+        {
+            "collected_copper": F.when(status == "success", amount).otherwise(0),
+            "refunded_copper": F.when(status == "refunded", amount).otherwise(0),
+            "failed_payment_count": F.when(status == "failed", 1).otherwise(0),
+        },
+        least={"primary_payment_method": F.when(status == "success", F.col("payment_method"))},
+        most={"last_payment_at": F.col("paid_at")},
+    )
+
+
+def with_payment_gold(rolled: DataFrame, settings: Settings) -> DataFrame:
+    """Payments per order with their amounts in gold."""
     rate = settings.copper_per_gold
     return rolled.select(
         "order_id",

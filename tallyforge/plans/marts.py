@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from functools import wraps
 from typing import Protocol
@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.audit import with_audit_columns
-from tallyforge.operators.checks import run_checks
-from tallyforge.operators.history import history_partition, take_snapshot
+from tallyforge.operators.checks import Check, run_checks
+from tallyforge.operators.followed import FollowedChecks
+from tallyforge.operators.history import history_partition, insert_snapshot, take_snapshot
 from tallyforge.operators.pivots import discover_values
+from tallyforge.operators.rollups import MaintainedRollup
 from tallyforge.operators.skew import HotKeys, hot_keys, spread_join
 from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
 from tallyforge.sources.published import PublishedTable, audited_publish, month_partition
 from tallyforge.sources.storage import materialize, tree_bytes
+from tallyforge.streaming.drops import load_drops
 from tallyforge.streaming.incremental import high_water_mark, load, possibly_newer
 
 
@@ -217,10 +220,29 @@ class RetailMarts:
         raw = possibly_newer(self.raw.table("raw_payments"), "paid_at", mark, lookback)
         load(table, staging.payments(raw, self.settings), "paid_at", ["payment_id"], lookback)
 
-    def publish_regulated_sales(self, table: PublishedTable, ledger_path: str) -> DataFrame:
-        """Publish the regulated sales and return the build ledger."""
-        return audited_publish(
-            self.regulated_sales(), table, ledger_path, self.settings.run_id, "guild-audit-team"
+    def publish_regulated_sales(
+        self, table: PublishedTable, ledger_path: str, rows: DataFrame | None = None, checks: Sequence[Check] = ()
+    ) -> DataFrame:
+        """Publish the regulated sales, if they pass ``checks``, and return the build ledger."""
+        name = table.relation.rpartition(".")[2]
+        failures = (lambda staged: run_checks({name: staged}, {name: checks})) if checks else None
+        rows = self.regulated_sales() if rows is None else rows
+        return audited_publish(rows, table, ledger_path, self.settings.run_id, "guild-audit-team", failures)
+
+    def order_payments_rollup(self, payments: PublishedTable, path: str) -> MaintainedRollup:
+        """The payment attempts per order, kept up to date from the changes of the published payments."""
+        return facts.order_payments_rollup(payments, path)
+
+    def payment_checks(self, payments: PublishedTable, path: str) -> FollowedChecks:
+        """The checks of the staged payments, following the published ones."""
+        return FollowedChecks("fct_payment_events", payments, CHECKS["stg_payments"], path)
+
+    def load_payment_drops(self, table: PublishedTable, folder: str, checkpoint: str, **options) -> None:
+        """Merge the Parquet files of raw payments that landed in a folder since the last run."""
+        schema = self.raw.table("raw_payments").schema
+        stage = lambda raw: staging.payments(raw, self.settings)
+        load_drops(
+            self.spark, folder, schema, "parquet", stage, table, checkpoint, ["payment_id"], "paid_at", **options
         )
 
     def payment_events_table(self, path: str) -> PublishedTable:
@@ -284,13 +306,17 @@ class RetailMarts:
     def supplier_scorecard(self) -> DataFrame:
         return dimensions.supplier_scorecard(self.stg_suppliers(), self.stg_ingredients())
 
+    def insert_membership_snapshot(self, table: PublishedTable, at: datetime, memberships: DataFrame) -> None:
+        """Work an extract as of ``at`` into the membership history, wherever its time falls."""
+        insert_snapshot(table, memberships, "membership_id", ["tier", "guild_id", "valid_to"], at)
+
     def snapshot_memberships(self, table: PublishedTable, at: datetime, memberships: DataFrame | None = None) -> None:
         """Record membership versions as of ``at``."""
         source = self.stg_guild_memberships() if memberships is None else memberships
         take_snapshot(table, source, "membership_id", ["tier", "guild_id", "valid_to"], at)
 
     def memberships_history_table(self, path: str) -> PublishedTable:
-        return PublishedTable(self.spark, path, history_partition("membership_id"))
+        return PublishedTable(self.spark, path, history_partition("membership_id"), keys=["membership_id"])
 
     # Aggregates
 
@@ -310,6 +336,9 @@ class RetailMarts:
     def payment_method_mix(self) -> DataFrame:
         return aggregates.payment_method_mix(self.orders_with_outcome())
 
+    def payment_method_mix_rows(self) -> DataFrame:
+        return aggregates.payment_method_mix_rows(self.orders_with_outcome())
+
     def payment_method_mix_dynamic(self) -> DataFrame:
         return aggregates.payment_method_mix_dynamic(self.orders_with_outcome())
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from tallyforge.sources.storage import materialize
 
 # Timestamps, dates and booleans land as text and are conformed in staging.
 SCHEMAS: dict[str, str] = {
@@ -40,6 +45,53 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFr
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+LINE, SOURCE_FILE, REASON = "line_text", "source_file", "reason"
+
+
+@dataclass(frozen=True)
+class SplitExtract:
+    """An extract's rows that fit its schema, and the others with file, line and reason."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+
+    def balance(self) -> DataFrame:
+        """One row: lines read, rows staged and rows set aside, which add up."""
+        staged, aside = self.rows.agg(F.count(F.lit(1)).alias("staged")), self.quarantine
+        both = staged.unionByName(aside.agg(F.lit(0).cast("long").alias("staged"), F.count(F.lit(1)).alias("quarantined")), True)
+        summed = both.agg(F.sum("staged").alias("staged"), F.sum(F.coalesce("quarantined", F.lit(0))).alias("quarantined"))
+        return summed.select((F.col("staged") + F.col("quarantined")).alias("lines_read"), "staged", "quarantined")
+
+
+def split_csv(spark: SparkSession, path: str, schema: str | StructType) -> SplitExtract:
+    """Read a CSV extract with a header row; damaged rows go to a quarantine instead of failing the read.
+
+    A row is damaged if it has too few or too many fields or a value that is not of its column's
+    type. The header must agree with the schema. Parsed rows are written once, so that both sides
+    come from one reading with all columns: a reading of some columns would not see damage in the others.
+    """
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.schema(StructType([*declared.fields]).add(LINE, StringType()))
+    reader = reader.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+    parsed = reader.option("columnNameOfCorruptRecord", LINE).csv(path)
+    kept = materialize(parsed.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+    damaged = F.col(LINE).isNotNull()
+    fields = _field_count(F.col(LINE))
+    reason = (
+        F.when(fields < len(declared), "too few fields")
+        .when(fields > len(declared), "too many fields")
+        .otherwise("value of another type")
+    )
+    rows = kept.filter(~damaged).select(*(f"`{name}`" for name in declared.names))
+    return SplitExtract(rows, kept.filter(damaged).select(SOURCE_FILE, LINE, reason.alias(REASON)))
+
+
+def _field_count(line: Column) -> Column:
+    """Fields of a CSV line; a comma between quotes is text."""
+    bare = F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def read_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
