@@ -30,21 +30,23 @@ from tallyforge.operators.checks import (
     run_checks,
     unlisted_values,
 )
+from tallyforge.operators.bitmaps import distinct_bitmaps, distinct_counts
 from tallyforge.operators.pivots import distinct_values
-from tallyforge.plans import staging
+from tallyforge.plans import facts, staging
 from tallyforge.plans.aggregates import CATEGORIES
 from tallyforge.plans.build import build, check_build
 from tallyforge.plans.marts import RetailMarts
 from tallyforge.plans.quality import ORDER_STATUSES
 from tallyforge.settings import Settings
 from tallyforge.sources.driver_tables import DriverTables
-from tallyforge.sources.extracts import read_csv
-from tallyforge.sources.published import PublishedTable
+from tallyforge.sources.extracts import SplitExtract, read_csv, split_csv
+from tallyforge.sources.published import BuildLedger, PublishedTable, RejectedBuild
 from tallyforge.sources.storage import scratch_dir
 from tallyforge.streaming.incremental import high_water_mark, load, load_keyless, newer_rows
 
 BEFORE_CUTOFF = "paid_at < TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 FIRST_SNAPSHOT = datetime(2024, 1, 1)
+BETWEEN_SNAPSHOTS = datetime(2024, 1, 15)
 SECOND_SNAPSHOT = datetime(2024, 2, 1)
 RUN_ID = "registered-query"
 
@@ -120,6 +122,21 @@ def regulated_sales_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.publish_regulated_sales(table, f"{root}/build_ledger").drop("built_at")
 
 
+def regulated_sales_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger's lines after a build that passes its checks, one that fails them, and one more that passes."""
+    root, marts = scratch_dir(spark), _marts(spark, sf_dir)
+    table = PublishedTable(spark, f"{root}/regulated_sales", relation="marts.regulated_sales")
+    rows, checks = marts.regulated_sales(), (NotNull("order_id"), NotNull("potion_sku"))
+    marts.publish_regulated_sales(table, f"{root}/build_ledger", rows, checks)
+    orphaned = rows.withColumn("order_id", F.lit(None).cast(rows.schema["order_id"].dataType))
+    try:
+        marts.publish_regulated_sales(table, f"{root}/build_ledger", orphaned, checks)
+    except RejectedBuild:
+        marts.publish_regulated_sales(table, f"{root}/build_ledger", table.read(), checks)
+    lines = BuildLedger(spark, f"{root}/build_ledger").lines()
+    return lines.select("relation_name", "run_id", "row_count", "outcome", "failed_checks")
+
+
 # Incremental loads
 
 
@@ -169,6 +186,103 @@ def incremental_upsert_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def incremental_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches merged on read, then some payments deleted; the first deletions are folded in."""
+    marts = _marts(spark, sf_dir)
+    table = marts.payment_events_table(scratch_dir(spark))
+    rows = marts.stg_payments()
+    table.replace(rows.filter(BEFORE_CUTOFF))
+    corrected = rows.filter(F.col("payment_status") == "failed").withColumn("amount_copper", F.col("amount_copper") + 7)
+    table.upsert_on_read(corrected)
+    table.compact()
+    table.upsert_on_read(rows.filter(f"NOT ({BEFORE_CUTOFF})"))
+    table.delete_on_read(rows.filter("payment_id % 50 = 7"))
+    return table.read()
+
+
+def order_payments_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments per order, refreshed from the changes of a correction, a newer batch and deletions."""
+    marts, root = _marts(spark, sf_dir), scratch_dir(spark)
+    table = marts.payment_events_table(f"{root}/payments")
+    rollup = marts.order_payments_rollup(table, f"{root}/rollup")
+    rows = marts.stg_payments()
+    table.replace(rows.filter(BEFORE_CUTOFF))
+    rollup.refresh()
+    corrected = rows.filter(F.col("payment_status") == "failed").withColumn("amount_copper", F.col("amount_copper") + 7)
+    table.upsert(corrected, ["payment_id"])
+    table.upsert_on_read(rows.filter(f"NOT ({BEFORE_CUTOFF})"))
+    rollup.refresh()
+    table.delete_on_read(rows.filter("payment_id % 50 = 7"))
+    rollup.refresh()
+    counted = rollup.read().withColumnRenamed("rollup_rows", "payment_attempt_count")
+    return facts.with_payment_gold(counted, marts.settings)
+
+
+def checks_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payment checks after a batch of repeated payments with an unlisted method."""
+    marts, root = _marts(spark, sf_dir), scratch_dir(spark)
+    table = marts.payment_events_table(f"{root}/payments")
+    checks = marts.payment_checks(table, f"{root}/checks")
+    rows = marts.stg_payments()
+    table.replace(rows)
+    checks.refresh()
+    table.append(rows.filter("payment_id % 40 = 1").withColumn("payment_method", F.lit("shells")))
+    checks.refresh()
+    return checks.read()
+
+
+def payments_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments landing in three drops, each merged by a run of the file stream."""
+    marts, root = _marts(spark, sf_dir), scratch_dir(spark)
+    table = marts.payment_events_table(f"{root}/payments")
+    raw = marts.raw.table("raw_payments")
+    for drop in range(3):
+        raw.filter(F.col("payment_id") % 3 == drop).write.mode("append").parquet(f"{root}/landing")
+        marts.load_payment_drops(table, f"{root}/landing", f"{root}/checkpoint", on_read=drop == 2)
+    return table.read()
+
+
+DAMAGE = """CASE order_id % 50 WHEN 1 THEN substring_index(line, ',', 6) WHEN 2 THEN concat(line, ',more')
+    WHEN 3 THEN concat(substring_index(line, ',', 6), ',much') ELSE line END"""
+
+
+def _damaged_orders(spark: SparkSession, sf_dir: str) -> SplitExtract:
+    """Orders landed as CSV, some lines short, some long, some with text for a number."""
+    raw, path = DriverTables(spark, sf_dir).raw_orders(), scratch_dir(spark)
+    fields = (F.coalesce(F.col(name).cast("string"), F.lit("")) for name in raw.columns)
+    lines = raw.select("order_id", F.concat_ws(",", *fields).alias("line"))
+    # A separator that no line holds, so that each is written as it is, below a header.
+    text = lines.select(F.expr(DAMAGE).alias(",".join(raw.columns)))
+    text.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    return split_csv(spark, path, raw.schema)
+
+
+def quarantined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aside = _damaged_orders(spark, sf_dir).quarantine
+    return aside.select(F.substring_index("line_text", ",", 1).cast("bigint").alias("order_id"), "reason")
+
+
+def extract_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _damaged_orders(spark, sf_dir).balance()
+
+
+def staged_undamaged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.orders(_damaged_orders(spark, sf_dir).rows, Settings())
+
+
+def customers_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers by region and quarter from monthly bitmaps, stored in two loads."""
+    marts = _marts(spark, sf_dir)
+    table = PublishedTable(spark, scratch_dir(spark))
+    month = period_start(F.col("ordered_at"), "month").alias("order_month")
+    orders = marts.orders_enriched().select("order_id", "customer_id", "shop_region", month)
+    for half in (0, 1):
+        some = orders.filter(F.col("order_id") % 2 == half)
+        table.append(distinct_bitmaps(some, ["shop_region", "order_month"], "customer_id"))
+    groups = {"shop_region": F.col("shop_region"), "order_quarter": period_start(F.col("order_month"), "quarter")}
+    return distinct_counts(table.read(), groups, "customer_count")
+
+
 def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payments after refunds land late and a run looks two days behind the mark."""
     marts = _marts(spark, sf_dir)
@@ -241,6 +355,19 @@ def _membership_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def scd2_late_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership versions of three extracts, of which the middle one lands last."""
+    raw = DriverTables(spark, sf_dir)
+    marts = RetailMarts(raw)
+    table = marts.memberships_history_table(scratch_dir(spark))
+    marts.snapshot_memberships(table, FIRST_SNAPSHOT)
+    marts.snapshot_memberships(table, SECOND_SNAPSHOT, staging.guild_memberships(raw.raw_guild_memberships_later()))
+    middle = marts.stg_guild_memberships().filter("membership_id % 13 <> 0")
+    middle = middle.withColumn("tier", F.expr("if(membership_id % 7 = 0, 'archmage', tier)"))
+    marts.insert_membership_snapshot(table, BETWEEN_SNAPSHOTS, middle)
+    return table.read()
+
+
 def scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions closed because their key left the source: closed, with no successor."""
     history = _membership_history(spark, sf_dir)
@@ -402,6 +529,17 @@ REGISTERED: dict[str, Query] = {
     "built_channel_mix": _built("agg_shop_channel_mix"),
     "scd2_check": _membership_history,
     "scd2_deletes": scd2_deletes,
+    "scd2_late_extract": scd2_late_extract,
+    "regulated_sales_rejected": regulated_sales_rejected,
+    "incremental_merge_on_read": incremental_merge_on_read,
+    "order_payments_maintained": order_payments_maintained,
+    "checks_followed": checks_followed,
+    "payments_stream": payments_stream,
+    "quarantined_orders": quarantined_orders,
+    "extract_balance": extract_balance,
+    "staged_undamaged_orders": staged_undamaged_orders,
+    "customers_by_quarter": customers_by_quarter,
+    "payment_method_mix_rows": _model("payment_method_mix_rows"),
     "stg_orders": _model("stg_orders"),
     "stg_order_items": _model("stg_order_items"),
     "stg_payments": _model("stg_payments"),

@@ -368,6 +368,46 @@ MODELS: dict[str, str] = {
         FROM stg_memberships_later n LEFT JOIN stg_memberships p ON n.membership_id = p.membership_id
         WHERE p.membership_id IS NULL OR p.tier IS DISTINCT FROM n.tier
             OR p.guild_id IS DISTINCT FROM n.guild_id OR p.valid_to IS DISTINCT FROM n.valid_to""",
+    "extracts_in_order": """
+        SELECT *, 1 AS place FROM stg_memberships
+        UNION ALL
+        SELECT * REPLACE (CASE WHEN membership_id % 7 = 0 THEN 'archmage' ELSE tier END AS tier), 2
+        FROM stg_memberships WHERE membership_id % 13 <> 0
+        UNION ALL
+        SELECT *, 3 FROM stg_memberships_later""",
+    "extract_versions": """
+        SELECT *, sum(opens) OVER (PARTITION BY membership_id ORDER BY place) AS version FROM (
+            SELECT *, CASE WHEN lag(place) OVER w = place - 1 AND tier IS NOT DISTINCT FROM lag(tier) OVER w
+                AND guild_id IS NOT DISTINCT FROM lag(guild_id) OVER w
+                AND valid_to IS NOT DISTINCT FROM lag(valid_to) OVER w THEN 0 ELSE 1 END AS opens
+            FROM extracts_in_order WINDOW w AS (PARTITION BY membership_id ORDER BY place))""",
+    "scd2_late_extract": """
+        SELECT f.membership_id, f.customer_id, f.guild_id, f.tier, f.valid_from, f.valid_to, f.is_current_membership,
+            version_from, version_to, coalesce(version_to, version_from) AS version_updated_at,
+            md5(f.membership_id || '|' || strftime(version_from, '%Y-%m-%d %H:%M:%S')) AS version_id
+        FROM (SELECT membership_id, version, min(place) AS first_place,
+                CASE min(place) WHEN 1 THEN TIMESTAMP '2024-01-01' WHEN 2 THEN TIMESTAMP '2024-01-15'
+                    ELSE TIMESTAMP '2024-02-01' END AS version_from,
+                CASE max(place) WHEN 1 THEN TIMESTAMP '2024-01-15' WHEN 2 THEN TIMESTAMP '2024-02-01' END AS version_to
+            FROM extract_versions GROUP BY ALL) v
+        JOIN extract_versions f ON f.membership_id = v.membership_id AND f.place = v.first_place""",
+    "merged_payments": """
+        SELECT * REPLACE (CASE WHEN payment_status = 'failed' AND paid_at < TIMESTAMP '2024-01-16'
+            THEN amount_copper + 7 ELSE amount_copper END AS amount_copper)
+        FROM stg_payments WHERE payment_id % 50 <> 7""",
+    "order_payments_maintained": f"""
+        SELECT *, {_gold("collected_copper")} AS collected_gold, {_gold("refunded_copper")} AS refunded_gold
+        FROM (SELECT order_id,
+            CAST(sum(CASE WHEN payment_status = 'success' THEN amount_copper ELSE 0 END) AS BIGINT) AS collected_copper,
+            CAST(sum(CASE WHEN payment_status = 'refunded' THEN amount_copper ELSE 0 END) AS BIGINT) AS refunded_copper,
+            count(*) AS payment_attempt_count, count(*) FILTER (WHERE payment_status = 'failed') AS failed_payment_count,
+            max(paid_at) AS last_payment_at,
+            min(CASE WHEN payment_status = 'success' THEN payment_method END) AS primary_payment_method
+        FROM merged_payments GROUP BY order_id)""",
+    "followed_payments": """
+        SELECT payment_id, order_id, payment_method, payment_status FROM stg_payments
+        UNION ALL
+        SELECT payment_id, order_id, 'shells', payment_status FROM stg_payments WHERE payment_id % 40 = 1""",
     "three_runs": """
         SELECT run, total + (run - 1) * CAST(ties AS BIGINT) AS appended, total AS upserted, ids
         FROM (SELECT count(*) AS total, count(DISTINCT payment_id) AS ids FROM stg_payments),
@@ -481,6 +521,37 @@ OUTPUTS: dict[str, tuple[str, str]] = {
             'guild-audit-team' AS compliance_owner
             FROM (SELECT count(*) AS n FROM regulated_sales), (SELECT unnest([1, 2])))""",
         "relation_name run_id row_count:b compliance_owner"),
+    "regulated_sales_rejected": (
+        """(SELECT 'marts.regulated_sales' AS relation_name, 'registered-query' AS run_id, n AS row_count, outcome,
+            failed_checks FROM (SELECT count(*) AS n FROM regulated_sales),
+            (VALUES ('published', NULL), ('rejected', 'not_null(order_id)'), ('published', NULL)) AS t(outcome, failed_checks))""",
+        "relation_name run_id row_count:b outcome failed_checks"),
+    "incremental_merge_on_read": ("merged_payments", PAYMENT),
+    "payments_stream": ("stg_payments", PAYMENT),
+    "quarantined_orders": (
+        """(SELECT order_id, CASE order_id % 50 WHEN 1 THEN 'too few fields' WHEN 2 THEN 'too many fields'
+            ELSE 'value of another type' END AS reason FROM raw_orders WHERE order_id % 50 IN (1, 2, 3))""",
+        "order_id:b reason"),
+    "extract_balance": (
+        """(SELECT count(*) AS lines_read, count(*) FILTER (WHERE order_id % 50 NOT IN (1, 2, 3)) AS staged,
+            count(*) FILTER (WHERE order_id % 50 IN (1, 2, 3)) AS quarantined FROM raw_orders)""",
+        "lines_read:b staged:b quarantined:b"),
+    "staged_undamaged_orders": ("(SELECT * FROM stg_orders WHERE order_id % 50 NOT IN (1, 2, 3))", STAGED_ORDER),
+    "customers_by_quarter": (
+        """(SELECT shop_region, CAST(date_trunc('quarter', ordered_at) AS TIMESTAMP) AS order_quarter,
+            count(DISTINCT customer_id) AS customer_count FROM orders_enriched GROUP BY ALL)""",
+        "shop_region order_quarter customer_count:b"),
+    "payment_method_mix_rows": (
+        """(SELECT shop_region, primary_payment_method, sum(collected_gold) AS collected_gold FROM fct_orders
+            WHERE order_status = 'completed' AND primary_payment_method IS NOT NULL GROUP BY ALL)""",
+        "shop_region primary_payment_method collected_gold:d"),
+    "checks_followed": (
+        "(" + " UNION ALL ".join([
+            *_key("fct_payment_events", "payment_id", "followed_payments"),
+            _not_null("fct_payment_events", "order_id", "followed_payments"),
+            _accepted("fct_payment_events", "payment_method", METHODS, "followed_payments"),
+            _accepted("fct_payment_events", "payment_status", ["success", "failed", "refunded"], "followed_payments"),
+        ]) + ")", CHECK),
     "incremental_full": ("stg_payments", PAYMENT),
     "incremental_delta": (
         """(SELECT * FROM stg_payments WHERE paid_at >=
@@ -510,6 +581,8 @@ OUTPUTS: dict[str, tuple[str, str]] = {
                 WHERE paid_at < TIMESTAMP '2024-01-16' AND payment_status <> 'refunded'))""", PAYMENT),
     "scd2_check": ("scd2_check", """membership_id:b customer_id:b guild_id:b tier valid_from valid_to
         is_current_membership version_from version_to version_updated_at version_id"""),
+    "scd2_late_extract": ("scd2_late_extract", """membership_id:b customer_id:b guild_id:b tier valid_from valid_to
+        is_current_membership version_from version_to version_updated_at version_id"""),
     "scd2_deletes": (
         """(SELECT membership_id, 1 AS versions, TIMESTAMP '2024-02-01' AS closed_at FROM stg_memberships
             WHERE membership_id NOT IN (SELECT membership_id FROM stg_memberships_later))""",
@@ -663,6 +736,7 @@ OUTPUTS |= {
     "spread_order_items": OUTPUTS["fct_order_items"],
     "built_backfill": OUTPUTS["orders_backfill_stored"],
     "built_channel_mix": OUTPUTS["channel_mix"],
+    "order_payments_maintained": ("order_payments_maintained", OUTPUTS["order_payments"][1]),
 }
 
 CTES = {**RAW, **MODELS}
