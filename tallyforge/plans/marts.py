@@ -21,6 +21,7 @@ from tallyforge.operators.skew import HotKeys, hot_keys, spread_join
 from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
+from tallyforge.sources.colocated import ColocatedTables
 from tallyforge.sources.published import PublishedTable, audited_publish, month_partition
 from tallyforge.sources.storage import materialize, tree_bytes
 from tallyforge.streaming.drops import load_drops
@@ -197,6 +198,22 @@ class RetailMarts:
             lines, self.orders_with_shops(), potions, self.settings, hot_orders, hot_potions, spread
         )
 
+    def publish_order_grain(self, tables: ColocatedTables) -> None:
+        """Store what joins on the order bucketed by it: enriched orders, both rollups, and the lines."""
+        tables.publish("orders", self.orders_enriched())
+        tables.publish("item_totals", self.order_item_totals())
+        tables.publish("payments", self.order_payments())
+        tables.publish("lines", self.stg_order_items())
+
+    def fct_orders_colocated(self, tables: ColocatedTables) -> DataFrame:
+        """The order fact from stored tables, without moving a row."""
+        return facts.fct_orders(tables.read("orders"), tables.read("item_totals"), tables.read("payments"), self.settings)
+
+    def fct_order_items_colocated(self, tables: ColocatedTables) -> DataFrame:
+        """The line fact from stored tables; only the join with the potions may move rows."""
+        potions = self._lookup("raw_potions", self.stg_potions())
+        return facts.fct_order_items(tables.read("lines"), tables.read("orders"), potions, self.settings)
+
     def orders_backfill(self) -> DataFrame:
         return facts.orders_backfill(self.orders_with_shops(), self.order_item_totals(), self.settings)
 
