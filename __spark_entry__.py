@@ -38,6 +38,7 @@ from tallyforge.plans.build import build, check_build
 from tallyforge.plans.marts import RetailMarts
 from tallyforge.plans.quality import ORDER_STATUSES
 from tallyforge.settings import Settings
+from tallyforge.sources.colocated import ColocatedTables
 from tallyforge.sources.driver_tables import DriverTables
 from tallyforge.sources.extracts import SplitExtract, read_csv, split_csv
 from tallyforge.sources.published import BuildLedger, PublishedTable, RejectedBuild
@@ -104,6 +105,23 @@ def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _order_grain(spark: SparkSession, sf_dir: str) -> tuple[RetailMarts, ColocatedTables]:
+    marts, root = _marts(spark, sf_dir), scratch_dir(spark)
+    tables = ColocatedTables(spark, root.rpartition("-")[2], "order_id", 8, root)
+    marts.publish_order_grain(tables)
+    return marts, tables
+
+
+def fct_orders_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts, tables = _order_grain(spark, sf_dir)
+    return marts.fct_orders_colocated(tables)
+
+
+def fct_order_items_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts, tables = _order_grain(spark, sf_dir)
+    return marts.fct_order_items_colocated(tables)
+
+
 def orders_backfill_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marts(spark, sf_dir).publish_orders_backfill(PublishedTable(spark, scratch_dir(spark)))
 
@@ -539,6 +557,8 @@ REGISTERED: dict[str, Query] = {
     "extract_balance": extract_balance,
     "staged_undamaged_orders": staged_undamaged_orders,
     "customers_by_quarter": customers_by_quarter,
+    "fct_orders_colocated": fct_orders_colocated,
+    "fct_order_items_colocated": fct_order_items_colocated,
     "payment_method_mix_rows": _model("payment_method_mix_rows"),
     "stg_orders": _model("stg_orders"),
     "stg_order_items": _model("stg_order_items"),

@@ -734,6 +734,8 @@ OUTPUTS: dict[str, tuple[str, str]] = {
 OUTPUTS |= {
     "built_order_items": OUTPUTS["fct_order_items"],
     "spread_order_items": OUTPUTS["fct_order_items"],
+    "fct_orders_colocated": OUTPUTS["fct_orders"],
+    "fct_order_items_colocated": OUTPUTS["fct_order_items"],
     "built_backfill": OUTPUTS["orders_backfill_stored"],
     "built_channel_mix": OUTPUTS["channel_mix"],
     "order_payments_maintained": ("order_payments_maintained", OUTPUTS["order_payments"][1]),
