@@ -3,13 +3,17 @@
 Texts and templates become lower-cased words of letters and digits. Of every ``WINDOW``
 consecutive hashes of ``GRAM`` words the smallest is a fingerprint, so any stretch of
 GRAM + WINDOW - 1 shared words shares one. An inverted index maps template fingerprints to
-templates and places. Where a document's fingerprint is found, the template is aligned with the
-words around, within a band of the diagonal through the common place; the alignment's matched
-words over the template's words are its coverage. Of overlapping finds the one with most matched
-words stays.
-
-The templates are a parameter and small; they travel with the tasks. A NULL text has no words.
-Templates shorter than a fingerprint's reach are aligned at every place their first word occurs.
+templates and places. A document's fingerprints that are found vote for a template and a place of
+its first word; with enough votes close together, one for a short template and one for every
+VOTE_WORDS words of a long one, the template is aligned with the words there, within a band of the diagonal.
+The alignment's matched words over the template's words are its coverage. Of overlapping finds the one
+with most matched words stays, of equal ones that with the higher coverage: a text with two clauses is no
+license with three.
+
+The templates are the whole texts of common licenses (``license_texts``) and the notices that refer
+to them; they are a parameter, and travel with the tasks. A NULL text has no words.
+Templates too short for their coverage to leave a shared stretch are aligned at every place where one of
+their words occurs; longer ones can be missed if nearly every fourth word differs.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,23 +32,57 @@ from tallyforge.llm.hashing import scramble
 from tallyforge.llm.words import WordHashes, lower_ascii
 
 GRAM, WINDOW = 3, 2
-#: Words by which an alignment may leave the diagonal, and the coverage from which it is reported.
-BAND, MIN_COVERAGE = 6, 0.8
-
-#: Common license notices.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "MIT": "Released under the MIT License",
-    "MIT (permission notice)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-    "software and associated documentation files",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+#: Words by which an alignment may leave the diagonal: this, and one more for so many template words, at most so many.
+BAND, BAND_WORDS, WIDEST = 6, 100, 24
+#: The coverage from which a find is reported, and template words for which one vote is asked.
+MIN_COVERAGE, VOTE_WORDS = 0.8, 20
+#: Words up to which a template is aligned wherever one of its words occurs.
+SHORT = 8
+
+#: Notices by which files refer to a license.
+NOTICES = {
+    "AGPL-3.0 (notice)": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+    "(at your option) any later version.",
+    "Apache-2.0 (reference)": "Licensed under the Apache License, Version 2.0",
+    "Apache-2.0 (notice)": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+    "in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+    "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+    "specific language governing permissions and limitations under the License.",
+    "BSD (reference)": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+    "CC-BY-4.0 (reference)": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-NC-4.0 (reference)": "Licensed under CC BY-NC 4.0",
+    "CC-BY-SA-4.0 (reference)": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC0-1.0 (reference)": "To the extent possible under law, the author has waived all copyright and related or neighboring "
+    "rights to this work",
+    "EPL-2.0 (notice)": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "GPL-2.0 (notice)": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+    "option) any later version.",
+    "GPL-3.0 (notice)": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+    "option) any later version.",
+    "GPL-3.0 (reference)": "This work is licensed under the GNU General Public License, version 3",
+    "LGPL-2.1 (notice)": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+    "your option) any later version.",
+    "MIT (reference)": "Released under the MIT License",
+    "MPL-2.0 (notice)": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+    "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "MPL-2.0 (reference)": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+
+def _whole_texts() -> dict[str, str]:
+    """The license texts beside this module, by their usual short names."""
+    folder = Path(__file__).parent / "license_texts"
+    return {path.stem: path.read_text(encoding="utf-8") for path in sorted(folder.glob("*.txt"))}
+
+
+TEMPLATES = {**_whole_texts(), **NOTICES}
+
 _WORDS = re.compile(r"[0-9A-Za-z]+")
 
 
@@ -84,40 +123,81 @@ class LicenseIndex:
     def __init__(self, templates: Mapping[str, str]) -> None:
         codes = WordHashes()
         self.words = {name: license_words(text) for name, text in templates.items()}
-        self.places: dict[int, list[tuple[str, int]]] = defaultdict(list)
-        self.short: dict[str, list[str]] = defaultdict(list)
-        for name, words in self.words.items():
-            if 0 < len(words) < GRAM + WINDOW - 1:
-                self.short[words[0]].append(name)
-            for code, place in zip(*winnow(words, codes)):
-                self.places[int(code)].append((name, int(place)))
-        self.fingerprints = np.array(sorted(self.places), np.uint64)
-
-    def candidates(self, words: list[str], codes: WordHashes) -> set[tuple[str, int]]:
-        """Templates with the place in ``words`` where their first word would be."""
-        found = set()
+        self.names = [name for name, words in self.words.items() if words]
+        #: Word -> templates and places, of short templates.
+        self.short: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        postings: list[tuple[int, int, int]] = []
+        for number, name in enumerate(self.names):
+            words = self.words[name]
+            if len(words) <= SHORT:
+                for place, word in enumerate(words):
+                    self.short[word].append((number, place))
+            else:
+                postings += [(int(code), number, int(place)) for code, place in zip(*winnow(words, codes))]
+        postings.sort()
+        codes_, numbers, places = zip(*postings) if postings else ((), (), ())
+        every = np.array(codes_, np.uint64)
+        self.fingerprints, self.begin = np.unique(every, return_index=True)
+        self.begin = np.append(self.begin, len(every))
+        self.numbers, self.places = np.array(numbers, np.int64), np.array(places, np.int64)
+        sizes = np.array([len(self.words[name]) for name in self.names], np.int64)
+        self.needed = np.maximum(1, sizes // VOTE_WORDS - 1)
+
+    def votes(self, words: list[str], codes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Templates, places in ``words`` of their first word, and how many fingerprints say so."""
         hashes, places = winnow(words, codes)
-        for k in np.flatnonzero(np.isin(hashes, self.fingerprints)).tolist():
-            for name, place in self.places[int(hashes[k])]:
-                found.add((name, int(places[k]) - place))
+        at = np.searchsorted(self.fingerprints, hashes)
+        known = at < len(self.fingerprints)
+        known[known] = self.fingerprints[at[known]] == hashes[known]
+        at, places = at[known], places[known]
+        counts = self.begin[at + 1] - self.begin[at] if len(at) else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(at)), counts)
+        entry = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + self.begin[at][owner]
+        pairs = np.stack([self.numbers[entry], places[owner] - self.places[entry]])
+        unique, times = np.unique(pairs, axis=1, return_counts=True)
+        return unique[0], unique[1], times
+
+    def candidates(self, words: list[str], codes: WordHashes, band: int = BAND) -> set[tuple[str, int]]:
+        """Templates with the place in ``words`` where their first word would be.
+
+        Of places within a band of one another the one with most votes stands for all.
+        """
+        found = set()
+        numbers, diagonals, times = self.votes(words, codes)
+        for number in np.unique(numbers).tolist():
+            own = numbers == number
+            lines, votes = diagonals[own], times[own]
+            reach = self.band_of(self.names[number], band)
+            sums = np.append(0, np.cumsum(votes))
+            near = sums[np.searchsorted(lines, lines + reach, "right")] - sums[np.searchsorted(lines, lines - reach)]
+            taken: list[int] = []
+            for k in np.lexsort((lines, -votes, -near)).tolist():
+                if near[k] < self.needed[number]:
+                    break
+                if all(abs(lines[k] - other) > reach for other in taken):
+                    taken.append(int(lines[k]))
+            found |= {(self.names[number], line) for line in taken}
         if not self.short.keys().isdisjoint(words):
             for at, word in enumerate(words):
-                for name in self.short.get(word, ()):
-                    found.add((name, at))
+                for number, place in self.short.get(word, ()):
+                    found.add((self.names[number], at - place))
         return found
 
+    def band_of(self, name: str, band: int) -> int:
+        return min(max(WIDEST, band), band + len(self.words[name]) // BAND_WORDS)
+
     def scan(
         self, words: list[str], codes: WordHashes, band: int = BAND, min_coverage: float = MIN_COVERAGE
     ) -> list[Found]:
         """The licenses found, in order, none overlapping another."""
         aligned = set()
-        for name, diagonal in self.candidates(words, codes):
-            matched, first, last = align(self.words[name], words, diagonal, band)
+        for name, diagonal in self.candidates(words, codes, band):
+            matched, first, last = align(self.words[name], words, diagonal, self.band_of(name, band))
             coverage = matched / len(self.words[name])
             if coverage >= min_coverage:
                 aligned.add(Found(name, matched, coverage, first, last))
         kept: list[Found] = []
-        for found in sorted(aligned, key=lambda f: (-f.matched, -f.coverage, f.first, f.last, f.license)):
+        for found in sorted(aligned, key=lambda f: (-f.matched, -f.coverage, f.last - f.first, f.first, f.license)):
             if all(found.last < other.first or found.first > other.last for other in kept):
                 kept.append(found)
         return sorted(kept, key=lambda f: f.first)
