@@ -6,7 +6,8 @@ block. Unknown blocks move it by almost its length, so clean text is mostly skip
 shift is 0, the strings that end in this block are looked up and compared word by word.
 
 The strings are broadcast in blocks of bounded size; a larger benchmark takes several passes
-over the same rows in one task, each adding to the words hit so far.
+over the same rows in one task, each adding to the words hit so far. Of a block's text a worker
+holds the words in one list and the tables as arrays of places in it.
 
 NULL texts have no words. Items without words match nothing. An item with fewer words than the
 window is one string of its own length. Items that share an id count once; the words of items
@@ -18,8 +19,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from tallyforge.llm.words import lower_ascii
 
 WINDOW = 13
-#: Text of benchmark items that is broadcast at once.
-BLOCK_BYTES = 16 << 20
+#: Multiplier of the first word's code in a block's slot.
+MIX = 31
+#: Text of benchmark items that is broadcast at once; its tables take about ten times as much of a worker's memory.
+BLOCK_BYTES = 8 << 20
 
 _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -39,56 +42,72 @@ def bench_words(text: str | None) -> list[str]:
     return _WORDS.findall(lower_ascii(text)) if text else []
 
 
-@dataclass
 class Strings:
-    """Search tables for strings of one length."""
-
-    length: int
-    shifts: dict = field(default_factory=dict)
-    #: last block -> the strings that end in it, with their items
-    ending: dict = field(default_factory=lambda: defaultdict(lambda: defaultdict(set)))
-
-    @property
-    def block(self) -> int:
-        return min(2, self.length)
-
-    def add(self, string: tuple[str, ...], item: str | None) -> None:
-        size = self.block
-        for end in range(size, self.length + 1):
-            key = string[end - size : end]
-            self.shifts[key] = min(self.shifts.get(key, self.length), self.length - end)
-        self.ending[string[-size:]][string].add(item)
+    """Search tables for strings of one length, all arrays; strings are places in one list of words.
+
+    ``shifts`` has a byte per hash of a block, the least shift of the blocks that share it, so a
+    collision only shortens a move. ``slots`` and ``ends`` list where strings end, by the hash of their last block.
+    """
+
+    def __init__(self, length: int, words: list[str], spans: Sequence[tuple[int, int, str | None]]) -> None:
+        self.length, self.words, self.block = length, words, min(2, length)
+        self.longest = length - self.block + 1
+        self.starts = np.array([start for start, _, _ in spans], np.int64)
+        self.items = [item for _, _, item in spans]
+        sizes = np.array([end - start - self.block + 1 for start, end, _ in spans], np.int64)
+        self.mask = (1 << max(8, (8 * int(sizes.sum())).bit_length())) - 1
+        # Ends of the blocks, and how far into its item each reaches.
+        reach = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + self.block
+        ends = np.repeat(self.starts, sizes) + reach
+        codes = np.fromiter(map(hash, words), np.int64, len(words))
+        slots = codes[ends - 1] + (MIX * codes[ends - 2] if self.block == 2 else 0) & self.mask
+        # A block that ends a string moves nothing; one nearer its item's start lies in the item's first string.
+        shifts = np.full(self.mask + 1, min(255, self.longest), np.uint8)
+        np.minimum.at(shifts, slots, np.clip(length - reach, 0, 255).astype(np.uint8))
+        self.shifts = bytes(shifts)
+        last = reach >= length
+        order = np.argsort(slots[last], kind="stable")
+        self.slots, self.ends = slots[last][order], ends[last][order]
 
     def occurrences(self, words: Sequence[str]) -> Iterator[tuple[int, set]]:
         """Start and items of each occurrence."""
-        size, length, shifts = self.block, self.length, self.shifts
-        longest = length - size + 1
+        length, shifts, pairs, mask = self.length, self.shifts, self.block == 2, self.mask
         end, n = length, len(words)
         while end <= n:
-            key = tuple(words[end - size : end])
-            shift = shifts.get(key, longest)
+            key = hash(words[end - 1]) + (MIX * hash(words[end - 2]) if pairs else 0) & mask
+            shift = shifts[key]
             if shift:
                 end += shift
                 continue
-            start = end - length
-            items = self.ending[key].get(tuple(words[start:end])) if key in self.ending else None
-            if items:
-                yield start, items
+            found = self.ending(key, words[end - length : end])
+            if found:
+                yield end - length, found
             end += 1
 
+    def ending(self, slot: int, string: list[str]) -> set:
+        """Items with this string, compared word by word with the strings whose last block has the slot."""
+        first, last = np.searchsorted(self.slots, [slot, slot + 1]).tolist()
+        found = set()
+        for end in self.ends[first:last].tolist():
+            if self.words[end - self.length : end] == string:
+                found.add(self.items[int(np.searchsorted(self.starts, end, side="left")) - 1])
+        return found
+
 
 def build_tables(items: Iterable[tuple[str | None, str | None]], window: int = WINDOW) -> list[Strings]:
     """Search tables of ``(item id, text)`` pairs, one per string length."""
-    tables: dict[int, Strings] = {}
+    words: dict[int, list[str]] = defaultdict(list)
+    spans: dict[int, list[tuple[int, int, str | None]]] = defaultdict(list)
+    known: dict[str, str] = {}
     for item, text in items:
-        words = bench_words(text)
-        if not words:
-            continue
-        length = min(window, len(words))
-        table = tables.setdefault(length, Strings(length))
-        for start in range(len(words) - length + 1):
-            table.add(tuple(words[start : start + length]), item)
-    return list(tables.values())
+        own = bench_words(text)
+        if own:
+            length = min(window, len(own))
+            begin = len(words[length])
+            # Every distinct word is held once.
+            words[length] += [known.setdefault(word, word) for word in own]
+            spans[length].append((begin, begin + len(own), item))
+    return [Strings(length, words[length], spans[length]) for length in words]
 
 
 def hits(words: Sequence[str], tables: Sequence[Strings]) -> tuple[list[tuple[int, int]], set]:
