@@ -7,9 +7,10 @@ writer adds the second of them; any store Spark can write will do.
 
 The index has a line per capture, sorted by key: the URL with its host reversed, then the record
 id. Blocks of lines are compressed; a sparse directory holds each block's first key. A lookup
-finds its block in the directory by binary search, then its line within the block, and reads that
-range of the archive. A batch of lookups does so for all keys at once, opening each block and each
-archive file once. The directory is shared in slices of bounded size.
+finds its block in the directory by binary search, then its line within the block, and cuts that
+range out of the archive file. A batch of lookups does so for all keys at once, opening each block once and only
+the archive files that it needs. Spark loads a file whole, so files are kept small; a record of
+2 GB, which no Spark text reaches with its headers, could not be read back. The directory is shared in slices of bounded size.
 
 A NULL payload is empty. Of equal payloads the page with the largest id is the response; pages
 that share that id and payload are all responses, and so are all if none has an id. Pages without
@@ -35,6 +36,10 @@ from tallyforge.sources.storage import materialize, scratch_dir
 REVISIT_BYTES = 1000
 #: Archive bytes per file, lines per index block, and directory rows that are shared at once.
 FILE_BYTES, BLOCK_LINES, DIRECTORY_ROWS = 16 << 20, 2048, 1 << 18
+#: Bytes from which a record goes to a file of large ones; and of a file at most, unless one record has more.
+LARGE, MOST_BYTES = 128 << 10, 1 << 30
+#: Files up to which a lookup opens them by name.
+LISTED_FILES = 1 << 14
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n"
 
@@ -100,10 +105,25 @@ def records(pages: DataFrame, date: str, key: str = "page_id", url: str = "url",
 
 
 def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """Write records under ``path``, each task's in files of about ``file_bytes``."""
-    rows, total = records.agg(F.count(F.lit(1)), F.sum(F.octet_length("record"))).first()
-    per_file = max(1, rows * file_bytes // max(1, total or 0))
-    records.write.option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
+    """Write records under ``path``, each task's in files of about ``file_bytes``.
+
+    Records of ``LARGE`` bytes and more go to files of their own. A file's number of records is such
+    that it stays within ``MOST_BYTES`` whatever their sizes, or holds one record.
+    """
+    size = F.octet_length("record")
+    small = size < LARGE
+    rows, total, largest = records.agg(
+        F.count_if(small), F.sum(F.when(small, size)), F.max(F.when(~small, size))
+    ).first()
+    per_file = rows * file_bytes // max(1, total or 0)
+    _write_text(records.filter(small) if largest else records, path, min(per_file, MOST_BYTES // LARGE))
+    if largest:
+        _write_text(records.filter(~small), path, min(file_bytes // LARGE, MOST_BYTES // largest))
+
+
+def _write_text(records: DataFrame, path: str, per_file: int) -> None:
+    writer = records.write.mode("append").option("lineSep", _END).option("maxRecordsPerFile", max(1, per_file))
+    writer.text(path)
 
 
 def _headers(text: bytes) -> dict[str, str]:
@@ -138,8 +158,16 @@ def capture_key(uri: str, record: str) -> str:
     return f"{host}){rest[cut:]}\t{record}"
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(paths).select("path", "content")
+
+
+def wanted_files(index: CaptureIndex, by_file: DataFrame, files: int) -> DataFrame:
+    """The archive files that ``by_file`` lists: up to LISTED_FILES by name, more by a scan of all."""
+    spark = by_file.sparkSession
+    if 0 < files <= LISTED_FILES:
+        return _files(spark, [row["path"] for row in by_file.select("path").collect()])
+    return _files(spark, index.archives)
 
 
 @dataclass(frozen=True)
@@ -250,7 +278,9 @@ def read_records(index: CaptureIndex, places: DataFrame) -> DataFrame:
         places.groupBy("path").agg(F.collect_list(F.struct("at", "size")).alias("ranges"), F.count(F.lit(1)).alias("n"))
     )
     # The files are what must not be shuffled, as long as the list of places is short.
-    by_file = bounded(by_file, by_file.agg(F.sum("n")).first()[0] or 0)
+    files, listed = by_file.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    contents = wanted_files(index, by_file, files)
+    by_file = bounded(by_file, listed)
     names = ["page", "record_type", "payload_bytes", "payload_digest", "refers_to"]
 
     def page_of(record: str) -> str:
@@ -280,7 +310,7 @@ def read_records(index: CaptureIndex, places: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     schema = "page string, record_type string, payload_bytes long, payload_digest string, refers_to string"
-    return _files(places.sparkSession, index.archives).join(by_file, "path").select("content", "ranges").mapInArrow(read, schema)
+    return contents.join(by_file, "path").select("content", "ranges").mapInArrow(read, schema)
 
 
 def capture_keys(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:

@@ -76,6 +76,34 @@ def test_lookup_in_small_blocks_and_directory_slices(spark, tmp_path):
         assert pages_read == sorted(row[0] for row in rows if row[0] % 3 == 0)
 
 
+def test_a_lookup_opens_only_the_files_it_needs(spark, tmp_path):
+    rows = [(k, f"http://h{k}.example.com/", f"page {k} " * 50) for k in range(300)]
+    archives = str(tmp_path / "archives")
+    warc.write_archives(warc.records(frame(spark, rows), "2024-01-01T00:00:00Z"), archives, file_bytes=4000)
+    index = warc.build_index(spark, archives, block_lines=8)
+    assert len(list((tmp_path / "archives").glob("*.txt"))) > 20
+    keys = fixtures.scanned(spark, warc.capture_keys(frame(spark, rows[7:8])))
+    places = fixtures.scanned(spark, warc.locate(index, keys))
+    by_file = places.groupBy("path").count()
+    assert len(warc.wanted_files(index, by_file, 1).inputFiles()) == 1
+    (row,) = warc.read_records(index, places).collect()
+    assert row.page == "7" and row.payload_bytes == len(rows[7][2])
+
+
+def test_large_pages_among_small_ones(spark, tmp_path, monkeypatch):
+    """Pages of many megabytes make no large file of the small ones around them."""
+    rows = [(k, f"http://a.com/{k}", f"page {k}") for k in range(400)]
+    rows += [(1000 + k, f"http://b.com/{k}", chr(97 + k) * (6 << 20)) for k in range(5)]
+    archives = tmp_path / "archives"
+    monkeypatch.setattr(warc, "MOST_BYTES", 16 << 20)
+    warc.write_archives(warc.records(frame(spark, rows).coalesce(1), "2024-01-01T00:00:00Z"), str(archives), file_bytes=1 << 20)
+    sizes = sorted(path.stat().st_size for path in archives.glob("*.txt"))
+    assert sizes[-1] < 16 << 20 and sum(size > 1 << 20 for size in sizes) == 3 and len(sizes) < 20
+    got = warc.archive_report(frame(spark, rows)).collect()
+    named = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(row[n] for n in named) for row in got), key=repr) == expected(rows)
+
+
 def test_archives_are_valid_records(spark, tmp_path):
     archives = tmp_path / "archives"
     warc.write_archives(warc.records(frame(spark, page_rows()), "2024-01-01T00:00:00Z"), str(archives))
