@@ -149,10 +149,39 @@ _RESAMPLING = f"""
     FROM scored LEFT JOIN places USING (doc_id)
 """
 
+_REPEATS = """
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n
+        FROM documents
+    ),
+    windows AS (
+        SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS w FROM d, unnest(range(0, greatest(n - 199, 0))) AS u(p)
+    ),
+    again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+    starts AS (SELECT r, p FROM windows JOIN again USING (w)),
+    marked AS (SELECT r, p, CASE WHEN lag(p) OVER (PARTITION BY r ORDER BY p) >= p - 200 THEN 0 ELSE 1 END AS opens FROM starts),
+    numbered AS (SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS run FROM marked),
+    runs AS (SELECT r, run, min(p) AS first, max(p) + 200 AS last FROM numbered GROUP BY ALL),
+    gaps AS (
+        SELECT r, coalesce(lag(last) OVER (PARTITION BY r ORDER BY first), 0) AS first, first AS last FROM runs
+        UNION ALL
+        SELECT r, max(last), NULL FROM runs GROUP BY r
+    ),
+    kept AS (
+        SELECT r, string_agg(substr(h, 2 * first + 1, 2 * (coalesce(last, n) - first)), '' ORDER BY first) AS k
+        FROM gaps JOIN d USING (r) GROUP BY r
+    ),
+    removed AS (SELECT r, sum(last - first) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+        sha256(unhex(coalesce(k, h))) AS kept_sha256
+    FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_cascade": _QUALITY,
     "op3_hyperminhash": _NEAR,
     "op5_wu_manber": _CONTAMINATION,
     "op6_capture_index": _ARCHIVE,
+    "op9_run_length_index": _REPEATS,
     "op11_importance_resampling": _RESAMPLING,
 }
