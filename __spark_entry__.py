@@ -621,9 +621,9 @@ REGISTERED: dict[str, Query] = {
 }
 
 
-def entry(spark: SparkSession) -> DataFrame:
-    """The order fact over the smallest driver tables."""
-    return queries()["fct_orders"](spark, "/root/testdata/sf0.001")
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
+    """The order fact, over the smallest driver tables unless others are named."""
+    return queries()["fct_orders"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:

@@ -32,6 +32,9 @@ def _pick(index: str, values: list[str]) -> str:
     return f"([{listed}])[CAST({index} AS INTEGER) + 1]"
 
 
+# Fixed values in the SQL below: accepted spellings, statuses, channels, methods, regions and tiers.
+
+
 def _boolean(text: str) -> str:
     return (
         f"CASE WHEN lower(trim({text})) IN ('y','yes','true','t','1') THEN true "

@@ -26,7 +26,7 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
-# Canonical region names and two-letter codes, by region key.
+# Canonical region names and two-letter codes, by region key, and the listed methods and tiers.
 REGIONS = "array('Northern Reaches', 'Crystal Vale', 'The Marshlands', 'Ember Coast', 'Silverwood')"
 REGION_CODES = "array('NR', 'CV', 'ML', 'EC', 'SW')"
 PAYMENT_METHODS = "array('coin', 'guild_credit', 'crystal_transfer', 'barter')"
