@@ -1,12 +1,12 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a row of slots, each of one block of words. Every source has slots for its whole target,
-at least one, and its target is cut into as many blocks, equal within a word. Slot r of n of a source
-gets the point (r + offset) / n, where the offset is frac(number * golden ratio): each source is
-spread evenly over the mix, sources of few slots lie apart, and the mix follows the targets closely
-everywhere. Slots are numbered by their points; slot r takes block r of that source's documents, laid
-end to end in shuffled order, twice over at most. So every source gets its target, to the nearest
-word, however small it is beside the others. The number of slots grows with the number of sources.
+The mix is a row of slots. Slot i has the point frac(i * golden ratio), and the points, mapped through
+the sources' cumulative targets, say whose slot it is: every stretch of the mix holds every source in
+proportion to its target, up to a few slots. A source that no point falls on gets one slot, at the place
+frac(number * golden ratio) of the mix. A source's target is cut into as many blocks as it has slots,
+equal within a word, and its r-th slot takes block r of its documents, laid end to end in shuffled
+order, twice over at most. So every source gets its target, to the nearest word, however
+small it is beside the others. The number of slots grows with the number of sources.
 
 A source without a name is the last one. Documents without words (NULL text included) have size
 0 and nothing is taken of them. Sources without words have target 0. Rows that are equal are
@@ -18,11 +18,12 @@ DataFrame operations only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.rows import CHUNK_ROWS, ROW, attach, hash_chunk, numbered, scan_row, total_before
+from tallyforge.llm.rows import CHUNK_ROWS, ROW, attach, bounded, hash_chunk, located, scan_row, total_before
 from tallyforge.llm.words import WORD
 from tallyforge.sources.storage import materialize
 
@@ -32,6 +33,8 @@ WEIGHTS = (5, 2, 1)
 SHARE, EPOCHS = 1.5, 2
 MIN_SLOTS, SLOTS_PER_SOURCE = 1 << 16, 1 << 12
 GOLDEN = (math.sqrt(5) - 1) / 2
+#: frac(2**16 * golden ratio), exact to a double: isqrt gives the digits.
+HIGH_GOLDEN = ((math.isqrt(5 << 200) - (1 << 100)) << 15) % (1 << 100) / (1 << 100)
 
 
 def word_count(text: str) -> Column:
@@ -83,46 +86,60 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
 
 
 def slot_count(targets: DataFrame) -> int:
-    """Number of slots, without those that round a source's last block up."""
+    """Number of points."""
     sources, wanted = targets.agg(F.count(F.lit(1)), F.sum("target")).first()
     return min(max(MIN_SLOTS, SLOTS_PER_SOURCE * sources), math.ceil(wanted or 0))
 
 
-def source_slots(targets: DataFrame, slots: int) -> DataFrame:
-    """``targets`` of a word and more with the target in ``whole`` words and the source's ``slots``."""
-    total = F.sum("target").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    count = F.ceil(F.col("target") * slots / F.nullif(total, F.lit(0.0)))
-    return targets.select("*", F.round("target").cast("long").alias("whole"), count.alias("slots")).filter("whole > 0")
+def golden_point(number: Column) -> Column:
+    """frac(number * golden ratio); the number in two parts, so that the product stays exact enough."""
+    high, low = F.shiftright(number, 16), number.bitwiseAND(F.lit((1 << 16) - 1))
+    point = high * HIGH_GOLDEN + low * GOLDEN
+    return point - F.floor(point)
 
 
-def schedule(spark: SparkSession, targets: DataFrame, slots: int) -> DataFrame:
-    """Slot, source number and rank of the slot among its source's slots, from 0.
+def schedule(spark: SparkSession, targets: DataFrame, slots: int, point: Callable[[Column], Column] = golden_point) -> DataFrame:
+    """Slot, source number and rank of the slot among its source's slots, all from 0.
 
-    There are ``slots`` of them, and at most one more per source.
+    There are ``slots`` of them, and one more for every source with a target of a word that no point falls on.
     """
-    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK_ROWS))
-    first = F.col("part") * CHUNK_ROWS
-    ranks = F.sequence(first, F.least(first + CHUNK_ROWS, F.col("slots")) - 1)
-    offset = F.col("number") * GOLDEN
-    point = (F.col("rank") + offset - F.floor(offset)) / F.col("slots")
-    dealt = materialize(
-        source_slots(targets, slots)
-        .select("number", "slots", F.explode(parts).alias("part"))
-        .repartition("number", "part")
-        .select("number", "slots", F.explode(ranks).alias("rank"))
-        .select("number", "rank", point.alias("point"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("mix"))
-    )
-    chunk = F.floor(F.col("point") * math.ceil((slots + 1) / CHUNK_ROWS))
-    order = [F.col("point"), F.col("number"), F.col("rank")]
-    return total_before(dealt, ["mix"], chunk, order, "one", "slot").select("slot", "number", "rank")
-
-
-def blocks(sized: DataFrame, targets: DataFrame, slots: int, epochs: int = EPOCHS) -> DataFrame:
+    along = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("target").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    upto, total = F.sum("target").over(along), F.nullif(total, F.lit(0.0))
+    shares = targets.select(
+        "number", "target", ((upto - F.col("target")) / total).alias("low"), (upto / total).alias("high")
+    ).filter("target > 0")
+    # The last source's end is 1 up to rounding. Points and sources meet in cells, a few sources to each.
+    ends = Window.orderBy(F.desc("number"))
+    shares = materialize(shares.withColumn("high", F.when(F.row_number().over(ends) == 1, 2.0).otherwise(F.col("high"))))
+    cells = 1 << max(10, math.ceil(math.log2(max(1, shares.count()))))
+    reach = F.sequence(F.floor(F.col("low") * cells), F.floor(F.least("high", F.lit(1.0)) * cells))
+    celled = shares.select("number", "low", "high", F.explode(reach).alias("cell"))
+    points = spark.range(slots).select(F.col("id").alias("place"), point(F.col("id")).alias("point"))
+    points = points.withColumn("cell", F.floor(F.col("point") * cells))
+    inside = (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
+    dealt = materialize(points.join(bounded(celled), "cell").filter(inside).select("number", F.col("place").cast("double").alias("place")))
+    missed = shares.filter(F.round("target") >= 1).join(dealt.select("number").distinct(), "number", "left_anti")
+    between = F.floor(golden_point(F.col("number").cast("long")) * slots) + 0.5
+    whole = dealt.unionByName(missed.select("number", between.alias("place")))
+    whole = materialize(whole.select("number", "place", F.lit(1).cast("long").alias("one"), F.lit(0).alias("mix")))
+    chunk = F.floor(F.col("place") / CHUNK_ROWS)
+    order = [F.col("place"), F.col("number")]
+    ranked = materialize(total_before(whole, ["number"], chunk, order, "one", "rank"))
+    return total_before(ranked, ["mix"], chunk, order, "one", "slot").select("slot", "number", "rank")
+
+
+def blocks(sized: DataFrame, targets: DataFrame, planned: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """Which words of which rows make up block ``rank`` of each source's shuffled documents.
 
-    Block r of n takes the words from ceil(r * whole / n) on, up to the next block's.
+    A source's target, in words, is cut into as many blocks as ``planned`` has slots for it; the first ones
+    have a word more where it does not divide.
     """
-    known = source_slots(targets, slots).select(F.col("source").alias("_source"), "number", "source_size", "whole", "slots")
+    counted = planned.groupBy("number").agg(F.count(F.lit(1)).alias("slots"))
+    whole = F.round("target").cast("long")
+    known = targets.join(counted, "number").select(
+        F.col("source").alias("_source"), "number", "source_size", whole.alias("whole"), "slots"
+    )
     rows = sized.filter("size > 0").join(known, F.col("source").eqNullSafe(F.col("_source")))
     passes = rows.select(
         ROW,
@@ -142,37 +159,41 @@ def blocks(sized: DataFrame, targets: DataFrame, slots: int, epochs: int = EPOCH
     laid = total_before(passes, ["number", "epoch"], chunk, order, "size", "before")
     used = laid.withColumn("start", F.col("epoch") * F.col("source_size") + F.col("before")).filter("start < whole")
     used = used.withColumn("end", F.least(F.col("start") + F.col("size"), F.col("whole")))
-    ranks = F.sequence(F.expr("start * slots div whole"), F.expr("(end - 1) * slots div whole"))
-    words = F.expr(
-        "least(end, ((rank + 1) * whole + slots - 1) div slots) - greatest(start, (rank * whole + slots - 1) div slots)"
+    used = used.withColumns({"words": F.expr("whole div slots"), "longer": F.expr("whole % slots")})
+    block = (
+        "if({0} < longer * (words + 1), {0} div (words + 1), longer + ({0} - longer * (words + 1)) div greatest(words, 1))"
     )
-    return used.select(ROW, "number", "start", "end", "whole", "slots", F.explode(ranks).alias("rank")).select(
-        ROW, "number", "rank", words.alias("words")
+    ranks = F.sequence(F.expr(block.format("start")), F.expr(block.format("(end - 1)")))
+    begin = "({0} * words + least({0}, longer))"
+    taken = F.expr(f"least(end, {begin.format('(rank + 1)')}) - greatest(start, {begin.format('rank')})")
+    return used.select(ROW, "number", "start", "end", "words", "longer", F.explode(ranks).alias("rank")).select(
+        ROW, "number", "rank", taken.alias("words")
     )
 
 
 def mix(sized: DataFrame) -> DataFrame:
-    """Per row of ``sized`` its source's words and target, and the words the mix takes of it."""
+    """Per row of ``sized`` its source's words and target, the words the mix takes of it, and its first slot."""
     targets = materialize(source_targets(sized))
-    slots = slot_count(targets)
-    planned = schedule(sized.sparkSession, targets, slots)
+    planned = materialize(schedule(sized.sparkSession, targets, slot_count(targets)))
     taken = (
-        blocks(sized, targets, slots)
-        .join(planned.select("number", "rank"), ["number", "rank"])
+        blocks(sized, targets, planned)
+        .join(planned, ["number", "rank"])
         .groupBy(ROW)
-        .agg(F.sum("words").alias("taken"))
+        .agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     )
     known = targets.withColumnRenamed("source", "_source")
     return (
         sized.join(taken, ROW, "left")
         .join(known, F.col("source").eqNullSafe(F.col("_source")))
-        .select(ROW, "key", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        .select(
+            ROW, "key", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot"
+        )
     )
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     mixed = mix(sized_rows(docs))
-    return mixed.select(F.col("key").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+    return mixed.select(F.col("key").alias("doc_id"), "source", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -180,7 +201,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A document at the end of its source's last block, of which the mix needs a part, comes whole.
     """
-    whole = numbered(docs)
+    whole = located(docs)
     used = mix(sized_rows(whole, "row.text", "row.source", "row.doc_id", F.col(ROW))).filter("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     repeated = attach(whole, used.select(ROW, copies.alias("copies")))

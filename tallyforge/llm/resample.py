@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from tallyforge.llm.rows import ROW, attach, numbered, scan_row
+from tallyforge.llm.rows import ROW, attach, located, scan_row
 from tallyforge.llm.words import map_column
 from tallyforge.sources.storage import materialize
 
@@ -224,7 +224,7 @@ def resampling_report(docs: DataFrame, target: DataFrame, rule: Resampling = Res
 
 def resampled_documents(docs: DataFrame, target: DataFrame, rule: Resampling = Resampling()) -> DataFrame:
     """The drawn documents, whole, in no order."""
-    whole = numbered(docs)
+    whole = located(docs)
     scored = scored_rows(whole, target, rule, "row.text", "row.doc_id", F.col(ROW))
     chosen = drawn(scored, rule)
     kept = scored.filter(F.lit(False) if chosen is None else chosen)

@@ -1,15 +1,17 @@
 """Row numbers and running totals without a task that sees a whole group.
 
-A row is named by its position in a scan (``ROW``). Another scan of the same files may cut and
-pack them otherwise, as when an executor joins or leaves, so positions of two scans never meet:
-they are written once, and everything that is joined by ``ROW`` derives from those files. To get
-whole documents back, the documents are written with their positions (``numbered``).
+A row is named by ``ROW``. In narrow tables that is its position in a scan; another scan of the
+same files may cut and pack them otherwise, as when an executor joins or leaves, so positions of two
+scans never meet: they are written once, and everything that is joined by them derives from those
+files. To get whole documents back without writing them again, they are named by where they lie:
+their file and their place in it (``located``), which no cutting changes.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,13 +28,25 @@ def scan_row() -> Column:
     return F.monotonically_increasing_id()
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` written out: ``ROW`` and the document as ``row``."""
-    return materialize(docs.select(scan_row().alias(ROW), F.struct("*").alias("row")))
+def located(docs: DataFrame) -> DataFrame:
+    """``ROW``, 128 bits of hash of where a document lies, and the document as ``row``.
+
+    Parquet files tell a row's place. Where ``docs`` is not a plain scan of such files it is written out first.
+    """
+    try:
+        return _located(docs)
+    except AnalysisException:
+        return _located(materialize(docs))
+
+
+def _located(docs: DataFrame) -> DataFrame:
+    place = docs.metadataColumn("_metadata")
+    name = F.md5(F.concat_ws("#", place["file_path"], place["row_index"]).cast("binary"))
+    return docs.select(F.unhex(name).alias(ROW), F.struct("*").alias("row"))
 
 
 def attach(whole: DataFrame, narrow: DataFrame) -> DataFrame:
-    """The rows of ``whole`` (``numbered``) that ``narrow``, made from it, lists, with its other columns."""
+    """The rows of ``whole`` (``located``) that ``narrow``, made from it, lists, with its other columns."""
     return whole.join(narrow, ROW).drop(ROW)
 
 

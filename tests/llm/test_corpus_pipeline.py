@@ -75,6 +75,23 @@ def test_stages_accept_awkward_and_empty_tables(spark, number):
         assert out.count() > 0 if rows else out.isEmpty()
 
 
+@pytest.mark.parametrize("number", [3, 4])
+def test_documents_are_not_written_again(spark, number, monkeypatch):
+    """Mixing and sharding find whole documents by where they lie; scratch holds narrow rows only."""
+    from tallyforge.llm import mixing, rows, sharding
+
+    written, real = [], rows.materialize
+    for module in (mixing, rows, sharding):
+        monkeypatch.setattr(module, "materialize", lambda df: written.extend(df.dtypes) or real(df))
+    table = [(k, fixtures.prose(k, 30), None, "ab"[k % 2], None) for k in range(60)]
+    docs = fixtures.scanned(spark, fixtures.awkward(spark, table))
+    assert corpus_pipeline.STAGES[number][1](spark, docs, SF_DIR).count() >= 60
+    assert written and not any(name in ("text", "row") for name, _ in written)
+    # A table that is no plain scan is written once.
+    assert corpus_pipeline.STAGES[number][1](spark, docs.withColumn("lang", docs.lang), SF_DIR).count() >= 60
+    assert [name for name, _ in written].count("text") <= 1
+
+
 @pytest.mark.parametrize("number", [3, 4])
 def test_stages_do_not_depend_on_how_files_are_cut(spark, number):
     """Files are cut otherwise once the stage has run its first scan, as when an executor is lost."""

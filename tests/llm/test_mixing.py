@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import fixtures
 from tallyforge.llm import mixing
@@ -108,6 +109,73 @@ def test_sources_smaller_than_a_block_get_their_targets(spark):
     assert {row.source for row in mixing.mixed_documents(docs).select("source").distinct().collect()} == set(wanted)
 
 
+def expected_schedule(table, slots):
+    """Slots by brute force: (source number, rank) in the order of the mix."""
+    golden = (5**0.5 - 1) / 2
+    total, upto, ends = sum(row[3] for row in table), 0.0, []
+    for row in table:
+        ends.append((upto / total, (upto + row[3]) / total, row[1]))
+        upto += row[3]
+    places = [(float(i), n) for i in range(slots) for low, high, n in ends if low <= i * golden % 1 < high]
+    for row in table:
+        if round(row[3]) >= 1 and all(n != row[1] for _, n in places):
+            places.append((row[1] * golden % 1 * slots // 1 + 0.5, row[1]))
+    seen, made = defaultdict(int), []
+    for _, number in sorted(places):
+        made.append((number, seen[number]))
+        seen[number] += 1
+    return made
+
+
+@pytest.mark.parametrize("slots", [1, 7, 300])
+def test_schedule_equals_brute_force(spark, slots):
+    table = [("a", 0, 9, 12.5), ("b", 1, 9, 0.0), ("c", 2, 1, 1.0), ("d", 3, 90, 88.25), ("e", 4, 1, 0.2), ("f", 5, 2, 1.0)]
+    frame = spark.createDataFrame(table, "source string, number int, source_size long, target double")
+    rows = sorted(mixing.schedule(spark, frame, slots).collect(), key=lambda row: row["slot"])
+    assert [(row["number"], row["rank"]) for row in rows] == expected_schedule(table, slots)
+    assert [row["slot"] for row in rows] == list(range(len(rows)))
+
+
+def test_the_mix_comes_through_the_schedule(spark):
+    """Another sequence of points gives other slots, and what is not scheduled is not taken."""
+    sized = mixing.sized_rows(fixtures.scanned(spark, fixtures.awkward(spark, many_rows())))
+    report = mixing.mix(sized).collect()
+    table = mixing.source_targets(sized)
+    slots = mixing.slot_count(table)
+    golden = mixing.schedule(spark, table, slots).collect()
+    corput = mixing.schedule(spark, table, slots, lambda i: F.conv(F.reverse(F.lpad(F.bin(i), 20, "0")), 2, 10).cast("double") / (1 << 20))
+    assert sorted((row.slot, row.number) for row in corput.collect()) != sorted((row.slot, row.number) for row in golden)
+    planned = mixing.schedule(spark, table, slots)
+    found = mixing.blocks(sized, table, planned)
+    whole = found.join(planned, ["number", "rank"]).agg(F.sum("words")).first()[0]
+    half = found.join(planned.filter("slot % 2 = 0"), ["number", "rank"]).agg(F.sum("words")).first()[0]
+    assert whole == sum(row.taken for row in report) and 0.4 * whole < half < 0.6 * whole
+    # Blocks of a source are equal within a word.
+    sizes = defaultdict(set)
+    for row in found.groupBy("number", "rank").agg(F.sum("words").alias("words")).collect():
+        sizes[row.number].add(row.words)
+    assert all(max(found) - min(found) <= 1 for found in sizes.values())
+
+
+def test_first_slots_are_where_the_mix_first_uses_a_document(spark):
+    rows = many_rows()
+    report = mixing.mix_report(fixtures.scanned(spark, fixtures.awkward(spark, rows))).collect()
+    assert all((row.first_slot is None) == (row.taken == 0) for row in report)
+    # Every source comes early, whatever its share.
+    sources = {row.source for row in report if row.taken}
+    early = sorted((row for row in report if row.taken), key=lambda row: row.first_slot)[: len(report) // 4]
+    assert {row.source for row in early} == sources
+
+
+def test_many_words_and_slots_stay_within_64_bits(spark):
+    schema = "scan_row long, key long, source string, size long, shuffle long"
+    sized = mixing.materialize(spark.createDataFrame([(k, k, "ab"[k % 2], 10**15 + k, k) for k in range(6)], schema))
+    targets = mixing.materialize(mixing.source_targets(sized))
+    planned = mixing.materialize(mixing.schedule(spark, targets, 5000))
+    taken = {row.number: row.words for row in mixing.blocks(sized, targets, planned).groupBy("number").agg(F.sum("words").alias("words")).collect()}
+    assert taken == {row.number: round(row.target) for row in targets.collect()}
+
+
 def test_single_slots_lie_apart(spark):
     table = [(f"s{k:02}", k, 1, 1.0) for k in range(32)] + [("big", 32, 100_000, 100_000.0)]
     frame = spark.createDataFrame(table, "source string, number int, source_size long, target double")

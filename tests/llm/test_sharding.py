@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from collections import defaultdict
+import random
+from collections import Counter, defaultdict
 
 import fixtures
 from tallyforge.llm import sharding
@@ -40,10 +41,36 @@ def test_same_as_longest_first_of_all_groups(spark):
     assert sorted(loads.values()) == sorted(best)
 
 
-def test_bundles_keep_groups_together_and_sizes_near(spark):
+def test_runs_equal_longest_first_one_by_one():
+    rng = random.Random(4)
+    for shards in (1, 2, 3, 8):
+        for _ in range(60):
+            sizes = [rng.choice([1, 2, 3, 50, 51, 1000, 2047]) for _ in range(rng.randrange(1, 90))]
+            counted = Counter(sizes)
+            placed = [0] * shards
+            for step, first, ranks, turn in sharding.longest_first(((s, n, s * n) for s, n in counted.items()), shards):
+                for rank in range(ranks):
+                    placed[turn[rank % len(turn)]] += step
+                counted[step] -= ranks
+                assert first + ranks + counted[step] == Counter(sizes)[step]
+            best = [0] * shards
+            for size in sorted(sizes, reverse=True):
+                best[best.index(min(best))] += size
+            assert sorted(placed) == sorted(best) and not any(counted.values())
+
+
+def test_steps_keep_the_order_of_sizes(spark):
+    sizes = sorted({*range(1, 3000, 7), *(1 << k for k in range(45)), *((1 << k) + (1 << k) // 3 for k in range(45))})
+    frame = spark.createDataFrame([(size,) for size in sizes], "bytes long").select("bytes", sharding.size_step("bytes").alias("step"))
+    steps = [row.step for row in frame.orderBy("bytes").collect()]
+    assert steps == sorted(steps) and steps[: len([s for s in sizes if s < 2048])] == [s for s in sizes if s < 2048]
+    assert len({row.step for row in frame.filter("bytes between 1048576 and 2097151").collect()}) <= 1024
+
+
+def test_large_groups_of_like_size_stay_together_and_sizes_come_near(spark):
     rows = [(k, fixtures.prose(k % 200, 20 + k % 7), None, None, None) for k in range(600)]
     sized = sharding.sized_rows(fixtures.scanned(spark, fixtures.awkward(spark, rows)))
-    placed = sharding.shard_rows(sized, shards=4, units=64).collect()
+    placed = sharding.shard_rows(sized, shards=4).collect()
     loads, groups = defaultdict(int), defaultdict(set)
     for row in placed:
         loads[row.shard] += row.size
