@@ -4,7 +4,7 @@ URLs become token sets: scheme, host, domain, subdomain, host labels, first dire
 and their words, file extension, query keys and values, fragment. Single tokens and pairs that go
 with a bad label are counted exactly over all labelled pages, with the same number of pages asked
 for at any size; sets of three and more come from FP-growth. Rules with enough pages and confidence
-stay, without those that only add tokens to a rule at least as sure. A rule is indexed under its rarest token; a URL is compared with the rules
+stay if chance would hardly give so many bad ones, without those that only add tokens to a rule at least as sure. A rule is indexed under its rarest token; a URL is compared with the rules
 listed under its own tokens, and is blocked if it holds all tokens of one.
 
 Fixed rules name a host, with all its subdomains, and a path prefix; the longest that fits wins.
@@ -30,6 +30,9 @@ from tallyforge.sources.storage import materialize
 TRAINING_ROWS = 500_000
 #: A rule of three tokens and more covers this share of the pages; any rule, this many bad ones; so sure must it be.
 MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.002, 20, 0.6
+#: Standard deviations by which a rule's bad pages exceed what the share of bad pages makes likely. So many are
+#: asked for because as many rules are tried as there are tokens and pairs.
+MIN_DEVIATIONS = 5.0
 BAD = "label:bad"
 
 
@@ -129,6 +132,12 @@ def mine_rules(
     if not rows:
         return spark.createDataFrame([], "tokens array<string>, confidence double, support double")
     listed = materialize(labelled.select(F.monotonically_increasing_id().alias(ROW), "bad", "tokens"))
+    share = F.lit(listed.filter("bad").count() / rows)
+
+    def beyond_chance(bad: Column, times: Column) -> Column:
+        """Whether a binomial draw at the share of all bad pages would give clearly fewer."""
+        return bad - times * share >= MIN_DEVIATIONS * F.sqrt(times * share * (1 - share))
+
     each = listed.select(ROW, "bad", F.explode("tokens").alias("token"))
     # Tokens of the same rows have the same times and mark.
     counted = each.groupBy("token").agg(
@@ -139,7 +148,8 @@ def mine_rules(
     counts = materialize(counted.filter(F.col("bad_times") >= min_rows))
     sure = F.col("bad_times") >= min_confidence * F.col("times")
     figures = [(F.col("bad_times") / F.col("times")).alias("confidence"), (F.col("bad_times") / rows).alias("support")]
-    singles = counts.filter(sure).select(F.array("token").alias("tokens"), *figures)
+    lucky = ~beyond_chance(F.col("bad_times"), F.col("times"))
+    singles = counts.filter(sure & ~lucky).select(F.array("token").alias("tokens"), *figures)
     joining = counts.filter(~sure & (F.col("times") < rows))
     first = joining.groupBy("times", "mark").agg(F.min("token").alias("first"))
     joining = materialize(joining.join(first, ["times", "mark"]).select("token", (F.col("token") == F.col("first")).alias("main")))
@@ -161,7 +171,8 @@ def mine_rules(
     good_pairs = combined.filter("NOT bad").select(pair).join(bounded(bad_pairs.select("tokens")), "tokens")
     good_pairs = good_pairs.groupBy("tokens").agg(F.count(F.lit(1)).alias("good_times"))
     times = F.col("bad_times") + F.coalesce("good_times", F.lit(0))
-    pairs = bad_pairs.join(good_pairs, "tokens", "left").withColumn("times", times).filter(sure).select("tokens", *figures)
+    pairs = bad_pairs.join(good_pairs, "tokens", "left").withColumn("times", times)
+    pairs = pairs.filter(sure & ~lucky).select("tokens", *figures)
     marked = F.when(F.col("bad"), F.array_append("mains", F.lit(BAD))).otherwise(F.col("mains"))
     sample = combined
     if rows > training_rows:
@@ -172,6 +183,8 @@ def mine_rules(
     )
     found = miner.fit(sample.select(marked.alias("items"))).associationRules
     longer = found.filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") > 2))
+    bad_rows = F.col("support") * rows
+    longer = longer.filter(beyond_chance(bad_rows, bad_rows / F.col("confidence")))
     longer = longer.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
     rules = materialize(singles.unionByName(pairs).unionByName(longer))
     # A longer rule that is no surer than a rule it contains says nothing new. Each rule meets the

@@ -98,3 +98,11 @@ def test_rare_tokens_and_pairs_are_learned_at_any_size(spark):
     got = urls.url_report(pages(spark, rows + good + unseen), labels(spark, marks)).collect()
     blocked = {row.page_id for row in got if row.verdict == "block"}
     assert blocked == {key for key, _ in rows + unseen}
+
+
+def test_luck_makes_no_rule(spark):
+    """Where most pages are bad, a host of which as many are bad says nothing; one of which all are does."""
+    rows = [(k, f"http://h{k % 40}.com/{k}") for k in range(4000)] + [(9000 + k, f"http://bad.com/{k}") for k in range(60)]
+    marks = [(k, 0 if k * 7919 % 100 < 62 else 1, 0) for k, _ in rows if k < 9000] + [(9000 + k, 0, 0) for k in range(60)]
+    got = urls.url_report(pages(spark, rows), labels(spark, marks)).collect()
+    assert {row.host for row in got if row.verdict == "block"} == {"bad.com"}
