@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.rows import CHUNK_ROWS, ROW, attach, bounded, hash_chunk, located, scan_row, total_before
+from tallyforge.llm.rows import ROW, attach, bounded, hash_chunk, located, scan_row, total_before
 from tallyforge.llm.words import WORD
 from tallyforge.sources.storage import materialize
 
@@ -32,6 +32,8 @@ WEIGHTS = (5, 2, 1)
 #: Words of the mix as a share of all words, and how often a document may be used.
 SHARE, EPOCHS = 1.5, 2
 MIN_SLOTS, SLOTS_PER_SOURCE = 1 << 16, 1 << 12
+#: Slots that one task numbers.
+SLOT_CHUNK = 1 << 12
 GOLDEN = (math.sqrt(5) - 1) / 2
 #: frac(2**16 * golden ratio), exact to a double: isqrt gives the digits.
 HIGH_GOLDEN = ((math.isqrt(5 << 200) - (1 << 100)) << 15) % (1 << 100) / (1 << 100)
@@ -123,7 +125,7 @@ def schedule(spark: SparkSession, targets: DataFrame, slots: int, point: Callabl
     between = F.floor(golden_point(F.col("number").cast("long")) * slots) + 0.5
     whole = dealt.unionByName(missed.select("number", between.alias("place")))
     whole = materialize(whole.select("number", "place", F.lit(1).cast("long").alias("one"), F.lit(0).alias("mix")))
-    chunk = F.floor(F.col("place") / CHUNK_ROWS)
+    chunk = F.floor(F.col("place") / SLOT_CHUNK)
     order = [F.col("place"), F.col("number")]
     ranked = materialize(total_before(whole, ["number"], chunk, order, "one", "rank"))
     return total_before(ranked, ["mix"], chunk, order, "one", "slot").select("slot", "number", "rank")
