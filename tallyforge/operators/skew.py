@@ -20,6 +20,8 @@ SALT = "_salt"
 COPIES = "_copies"
 #: Sampled rows that a key of two tasks can expect, and how many of them make it a hot key.
 EXPECTED, SEEN = 128, 64
+#: Share of the rows from which on all of them are counted.
+WHOLE = 0.05
 #: Bytes of a row where the size of a table is unknown.
 ROW_BYTES = 100
 
@@ -50,7 +52,9 @@ def hot_keys(df: DataFrame, columns: Sequence[str], total_bytes: float, task_byt
         total_bytes = rows * ROW_BYTES
     if rows == 0 or total_bytes < 2 * task_bytes:
         return [HotKeys(column, {}) for column in columns]
-    share = min(1.0, EXPECTED * total_bytes / (2 * task_bytes) / rows)
+    share = EXPECTED * total_bytes / (2 * task_bytes) / rows
+    # Where a sample would be a good part of the table, all of it gives exact shares.
+    share = 1.0 if share > WHOLE else share
     sampled = df.select(*columns) if share == 1 else df.select(*columns).sample(share, seed=1)
     named = F.explode(
         F.array(*(F.struct(F.lit(k).alias("column"), F.col(c).cast("string").alias("key")) for k, c in enumerate(columns)))

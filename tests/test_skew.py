@@ -111,6 +111,13 @@ def test_small_shares_of_large_tables_are_found(spark):
     assert set(hot.copies) == {-7} and 10 <= hot.copies[-7] <= 11
 
 
+def test_hot_keys_of_a_sampled_table(spark):
+    """Of 1,000 tasks one key fills five, in a table of which two rows in a hundred are looked at."""
+    key = F.when(F.col("id") % 200 == 3, -7).otherwise(F.col("id") % 1_000_003)
+    (hot,) = hot_keys(spark.range(3_000_000).select(key.alias("k")), ["k"], 1000, 1)
+    assert set(hot.copies) == {-7} and 4 <= hot.copies[-7] <= 7
+
+
 def test_rows_are_counted_where_the_size_is_unknown(many):
     (hot,) = hot_keys(many, ["k"], float("inf"), 6000 * ROW_BYTES // 30)
     assert hot.copies[7] == 11
