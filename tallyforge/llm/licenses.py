@@ -12,8 +12,8 @@ license with three.
 
 The templates are the whole texts of common licenses (``license_texts``) and the notices that refer
 to them; they are a parameter, and travel with the tasks. A NULL text has no words.
-Templates too short for their coverage to leave a shared stretch are aligned at every place where one of
-their words occurs; longer ones can be missed if nearly every fourth word differs.
+Templates too short for their coverage to leave a shared stretch are aligned wherever one of
+so many of their words occurs that they cannot all be missing; longer ones can be missed if nearly every fourth word differs.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ GRAM, WINDOW = 3, 2
 BAND, BAND_WORDS, WIDEST = 6, 100, 24
 #: The coverage from which a find is reported, and template words for which one vote is asked.
 MIN_COVERAGE, VOTE_WORDS = 0.8, 20
-#: Words up to which a template is aligned wherever one of its words occurs.
+#: Words up to which a template is aligned wherever one of its words for that occurs.
 SHORT = 8
 
 #: Notices by which files refer to a license.
@@ -130,8 +130,10 @@ class LicenseIndex:
         for number, name in enumerate(self.names):
             words = self.words[name]
             if len(words) <= SHORT:
-                for place, word in enumerate(words):
-                    self.short[word].append((number, place))
+                # So many may be missing that any one more than that holds a word that is there; long words are rarer.
+                missing = int((1 - MIN_COVERAGE) * len(words) + 1e-9)
+                for place in sorted(range(len(words)), key=lambda k: (-len(words[k]), k))[: missing + 1]:
+                    self.short[words[place]].append((number, place))
             else:
                 postings += [(int(code), number, int(place)) for code, place in zip(*winnow(words, codes))]
         postings.sort()
@@ -149,13 +151,16 @@ class LicenseIndex:
         at = np.searchsorted(self.fingerprints, hashes)
         known = at < len(self.fingerprints)
         known[known] = self.fingerprints[at[known]] == hashes[known]
+        if not known.any():
+            return places[:0], places[:0], places[:0]
         at, places = at[known], places[known]
-        counts = self.begin[at + 1] - self.begin[at] if len(at) else np.zeros(0, np.int64)
+        counts = self.begin[at + 1] - self.begin[at]
         owner = np.repeat(np.arange(len(at)), counts)
         entry = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + self.begin[at][owner]
-        pairs = np.stack([self.numbers[entry], places[owner] - self.places[entry]])
-        unique, times = np.unique(pairs, axis=1, return_counts=True)
-        return unique[0], unique[1], times
+        # Both in one number; places lie far within 40 bits.
+        pairs = (self.numbers[entry] << 41) + (places[owner] - self.places[entry] + (1 << 40))
+        unique, times = np.unique(pairs, return_counts=True)
+        return unique >> 41, (unique & ((1 << 41) - 1)) - (1 << 40), times
 
     def candidates(self, words: list[str], codes: WordHashes, band: int = BAND) -> set[tuple[str, int]]:
         """Templates with the place in ``words`` where their first word would be.
@@ -164,6 +169,9 @@ class LicenseIndex:
         """
         found = set()
         numbers, diagonals, times = self.votes(words, codes)
+        # A template whose votes do not suffice all together needs no closer look.
+        enough = np.bincount(numbers, times, len(self.names)) >= self.needed
+        numbers, diagonals, times = (each[enough[numbers]] for each in (numbers, diagonals, times))
         for number in np.unique(numbers).tolist():
             own = numbers == number
             lines, votes = diagonals[own], times[own]
