@@ -6,11 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folder that scratch goes to while somebody owns it.
+_OWNER: ContextVar[str | None] = ContextVar("scratch_owner", default=None)
+
+
 def _locate(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -87,6 +92,9 @@ def scratch_dir(spark: SparkSession) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. Only a local session may do
     without it, because there driver and executors are one machine.
     """
+    owner = _OWNER.get()
+    if owner is not None:
+        return f"{owner}/{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
@@ -95,6 +103,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tallyforge-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """Everything that goes to scratch inside is deleted at the end, also after an error.
+
+    Only for work whose result has been written elsewhere by then.
+    """
+    root = scratch_dir(spark)
+    token = _OWNER.set(root)
+    try:
+        yield root
+    finally:
+        _OWNER.reset(token)
+        delete_tree(spark, root)
+
+
 @contextmanager
 def scratch_space(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A ``materialize`` whose copies are deleted at the end, also after an error.
