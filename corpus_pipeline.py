@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import decontaminate, mixing, neardup, quality, sharding
-from tallyforge.sources.storage import materialize
+from tallyforge.sources.storage import delete_tree, owned_scratch, scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,8 +49,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage is written out before the next one reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; every stage is written out before the next one reads it.
+
+    A stage's scratch goes when its documents are written, and those when the next stage's are.
+    """
+    docs, former = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        path = scratch_dir(spark)
+        with owned_scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if former:
+            delete_tree(spark, former)
+        former = path
     return STAGES[-1][1](spark, docs, sf_dir)
