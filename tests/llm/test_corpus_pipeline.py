@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pathlib
+
 import pytest
 
 import __spark_entry__ as registered
@@ -7,6 +9,7 @@ import corpus_pipeline
 import fixtures
 import oracle_compare
 from tallyforge.llm import quality, queries
+from tallyforge.sources import storage
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -75,6 +78,16 @@ def test_stages_accept_awkward_and_empty_tables(spark, number):
         assert out.count() > 0 if rows else out.isEmpty()
 
 
+def test_scratch_holds_one_copy_of_the_documents_after_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    root = pathlib.Path(storage.scratch_dir(spark).removeprefix("file:")).parent
+    before = set(root.iterdir())
+    rows = corpus_pipeline.run(spark, SF_DIR).count()
+    made = set(root.iterdir()) - before
+    copies = [path for path in made if "text" in spark.read.parquet(str(path)).columns]
+    assert rows > 0 and len(copies) == 1
+
+
 @pytest.mark.parametrize("number", [3, 4])
 def test_documents_are_not_written_again(spark, number, monkeypatch):
     """Mixing and sharding find whole documents by where they lie; scratch holds narrow rows only."""
