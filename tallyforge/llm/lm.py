@@ -6,13 +6,23 @@ up their context, the last one to three symbols or the word so far, and the plac
 how often it went either way in the training texts. Their log odds are mixed with weights that a
 gate picks by how well the two longest contexts are known; the weights are trained online,
 decision after decision, each left out of the counts that predict it. There are several such
-mixers, over short or long contexts. Along a text their shares adapt: after every block of bytes
-a mixer's share grows with the probability it gave the block, and a part is dealt out evenly, so
-that the mixture can change its mind. The probability of a text is that of its blocks under the
-shares held before each; bits per byte follow.
+mixers, over short or long contexts.
+
+Beside the mixers stands a predictor of whole blocks, whose table grows with the corpus. Texts are
+cut into blocks of about BLOCK_WORDS words where their content says so, so that equal passages are
+cut alike wherever they stand. All blocks of the training texts are counted under their hashes; the
+next block is predicted in proportion to its count, and what the mixers say stands for a block not
+seen. A training text's own blocks are left out of the counts that predict it, so it
+gains from a passage only if another training text has it too.
+
+Along a text the shares of mixers and block predictor adapt: after every block a share grows with
+the probability given to the block, and a part is dealt out evenly, so that the mixture can change
+its mind. The probability of a text is that of its blocks under the shares held before each; bits
+per byte follow.
 
 The counts cover all training texts: byte strings are counted in the tasks, summed by a shuffle,
-and folded into tables of fixed size, which alone are sent to all tasks.
+and folded into tables of fixed size, which alone are sent to all tasks. Block counts stay in a
+table that is joined: the most frequent ones, a fixed number, by broadcast, the others by a shuffle.
 
 The base score needs the count of every word. The most frequent words, a fixed number, go to all
 tasks; the others are joined by a shuffle.
@@ -25,19 +35,18 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.hashing import ODD, powers, scramble
 from tallyforge.llm.rows import ROW
-from tallyforge.llm.words import find_words, lower_ascii
 from tallyforge.sources.storage import materialize
 
 #: Contexts: the last one to ORDERS symbols, and a hash of the word so far.
@@ -52,11 +61,21 @@ MIXERS = ((1, 1, 1, 0), (0, 1, 1, 1))
 #: Levels of how often a context was seen, for the two longest contexts.
 LEVELS = 4
 GATES = LEVELS * LEVELS
-#: Bytes after which the mixers' shares adapt, and the part dealt out evenly.
-BLOCK, EVEN_PART = 64, 0.02
+#: Words that a block has on average, and bytes that it has at most.
+BLOCK_WORDS, BLOCK_BYTES = 16, 512
+#: Bytes before a space that decide whether a block ends there.
+CUT_BYTES = 8
+#: The part of the shares dealt out evenly after every block.
+EVEN_PART = 0.02
+#: Bytes before a part of a long text that its contexts can see.
+LOOK_BACK = 64
+#: Blocks whose counts are joined by broadcast.
+HEAD_BLOCKS = 1 << 18
 DELTA = 0.4
 #: Bytes handled at once, and distinct strings held before they are passed on.
 CHUNK_BYTES, HELD = 4 << 20, 1 << 20
+#: Bytes whose strings are made at once, few enough for the processor's caches.
+CACHED_BYTES = 1 << 17
 #: Strings whose decisions are worked out at once, and strings that one task folds into tables.
 STRINGS_AT_ONCE, FOLDED = 1 << 17, 1 << 22
 #: Frequent words that every task holds.
@@ -112,14 +131,30 @@ def _chunks(texts: list[bytes]) -> Iterator[list[Part]]:
     """The texts in order, long ones cut at block ends, some megabytes at a time."""
     held, size = [], 0
     for text in texts:
-        for begin in range(0, max(1, len(text)), CHUNK_BYTES):
-            end = begin + CHUNK_BYTES
-            part = Part(text[max(0, begin - BLOCK) : begin], text[begin:end], end >= len(text))
+        begin, last = 0, False
+        while not last:
+            last = len(text) - begin <= CHUNK_BYTES
+            end = len(text) if last else begin + _last_block(text, begin)
+            part = Part(text[max(0, begin - LOOK_BACK) : begin], text[begin:end], last)
             if held and size + len(part.data) > CHUNK_BYTES:
                 yield held
                 held, size = [], 0
             held.append(part)
             size += len(part.data)
+            begin = end
+    if held:
+        yield held
+
+
+def _groups(parts: list[Part]) -> Iterator[list[Part]]:
+    """The parts in order, few bytes at a time."""
+    held, size = [], 0
+    for part in parts:
+        if held and size + len(part.data) > CACHED_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(part)
+        size += len(part.data)
     if held:
         yield held
 
@@ -127,29 +162,74 @@ def _chunks(texts: list[bytes]) -> Iterator[list[Part]]:
 _CODES = scramble(np.arange(256, dtype=np.uint64))
 
 
-def _word_so_far(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def _spaces(data: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
+
+
+def _cuts(data: np.ndarray, begin: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+    """Places behind the spaces where the bytes before, back to the part's begin, end a block."""
+    first = begin[np.searchsorted(begin, spaces, side="right") - 1]
+    window = np.zeros(len(spaces), np.uint64)
+    for back in range(1, CUT_BYTES + 1):
+        at = spaces - back
+        window = (window << np.uint64(8)) | np.where(at >= first, data[at], 0).astype(np.uint64)
+    return spaces[scramble(window) % np.uint64(BLOCK_WORDS) == 0] + 1
+
+
+def _block_begins(data: np.ndarray, begin: np.ndarray, spaces: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where blocks begin in ``data``, of which the parts' own symbols are at ``first`` to ``end``."""
+    cuts = _cuts(data, begin, spaces)
+    part = np.searchsorted(begin, cuts, side="right") - 1
+    cuts = cuts[(cuts > first[part]) & (cuts < end[part])]
+    begins = np.sort(np.concatenate([first[first < end], cuts]))
+    ends = np.append(begins[1:], len(data))
+    ends = np.minimum(ends, end[np.searchsorted(begin, begins, side="right") - 1])
+    pieces = -(-(ends - begins) // BLOCK_BYTES)
+    within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(begins, pieces) + BLOCK_BYTES * within
+
+
+def _last_block(text: bytes, begin: int) -> int:
+    """Bytes from ``begin`` to where the last block that begins within CHUNK_BYTES begins."""
+    before = min(begin, LOOK_BACK)
+    data = np.frombuffer(text[begin - before : begin + CHUNK_BYTES], np.uint8)
+    begins = _block_begins(data, np.array([0]), _spaces(data), np.array([before]), np.array([len(data)]))
+    return int(begins[-1]) - before
+
+
+def _word_so_far(sums: np.ndarray, down: np.ndarray, begin: np.ndarray, spaces: np.ndarray) -> np.ndarray:
     """Per position a hash of the bytes after the last space before it, back to the part's begin."""
-    n = len(data)
+    n = len(sums) - 1
     start = np.zeros(n, np.int64)
-    spaces = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13))) + 1
-    start[spaces[spaces < n]] = spaces[spaces < n]
+    after = spaces + 1
+    start[after[after < n]] = after[after < n]
     start[begin] = begin
     np.maximum.accumulate(start, out=start)
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_CODES[data] * up[:n], out=sums[1:])
     hashes = (sums[:n] - sums[start]) * down[start]
     return ((hashes * np.uint64(ODD)) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
-def symbol_strings(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
-    """Every symbol with its contexts, packed in one integer, and the parts' sizes."""
+@dataclass(frozen=True)
+class Symbols:
+    """Symbols of some parts: each with its contexts packed in one integer, and the blocks of them."""
+
+    strings: np.ndarray
+    sizes: np.ndarray
+    block_begin: np.ndarray
+    block_key: np.ndarray
+
+
+def _symbols(parts: list[Part], with_blocks: bool) -> Symbols:
     spans = np.array([len(part.before) + len(part.data) + 1 for part in parts])
     begin = np.cumsum(spans) - spans
     data = np.frombuffer(b"".join(part.before + part.data + b"\0" for part in parts), np.uint8)
+    spaces = _spaces(data)
+    up, down = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_CODES[data] * up[:-1], out=sums[1:])
     symbols = data.astype(np.int64)
     symbols[begin + spans - 1] = END
-    packed = _word_so_far(data, begin) << (SYMBOL_BITS * CONTEXTS)
+    packed = _word_so_far(sums, down, begin, spaces) << (SYMBOL_BITS * CONTEXTS)
     packed |= symbols
     for back in range(1, ORDERS + 1):
         before = np.empty_like(symbols)
@@ -159,13 +239,31 @@ def symbol_strings(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
         before <<= SYMBOL_BITS * back
         packed |= before
     sizes = np.array([len(part.data) + part.last for part in parts])
+    first = begin + np.array([len(part.before) for part in parts])
+    block_begin, block_key = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if with_blocks:
+        block_begin = _block_begins(data, begin, spaces, first, first + sizes)
+        part = np.searchsorted(begin, block_begin, side="right") - 1
+        end = np.minimum(np.append(block_begin[1:], len(data)), (first + sizes)[part])
+        # The block with the end symbol has it in its key, not in its bytes.
+        ended = (end == (first + sizes)[part]) & np.array([p.last for p in parts])[part]
+        size = (end - block_begin - ended).astype(np.uint64)
+        own = (sums[end - ended] - sums[block_begin]) * down[block_begin]
+        block_key = scramble(own ^ (size << np.uint64(1) | ended.astype(np.uint64)) * np.uint64(ODD)).view(np.int64)
+        block_begin = block_begin - first[part] + (np.cumsum(sizes) - sizes)[part]
     if len(packed) > sizes.sum():  # cut texts: without the bytes before, and the end of parts that go on
         wanted = np.ones(len(packed), bool)
-        for part, first, span in zip(parts, begin, spans):
-            wanted[first : first + len(part.before)] = False
-            wanted[first + span - 1] = part.last
+        for part, start, span in zip(parts, begin, spans):
+            wanted[start : start + len(part.before)] = False
+            wanted[start + span - 1] = part.last
         packed = packed[wanted]
-    return packed, sizes
+    return Symbols(packed, sizes, block_begin, block_key)
+
+
+def symbol_strings(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
+    """Every symbol with its contexts, packed in one integer, and the parts' sizes."""
+    made = [_symbols(group, False) for group in _groups(parts)]
+    return np.concatenate([m.strings for m in made]), np.concatenate([m.sizes for m in made])
 
 
 def _bytes(batch: pa.RecordBatch) -> list[bytes]:
@@ -198,24 +296,54 @@ def count_strings(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "string long, times long").groupBy("string").agg(F.sum("times").alias("times"))
 
 
+def _few_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in order, some megabytes of text at a time."""
+    sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+    chunk = np.cumsum(sizes, dtype=np.int64) // CHUNK_BYTES
+    ends = [*np.flatnonzero(np.diff(chunk)) + 1, batch.num_rows]
+    begin = 0
+    for end in map(int, ends):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def _tokens(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts, and of each the number of its text; Arrow splits at the same six characters."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(batch.column("text")))
+    words = lists.flatten()
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    some = pc.greater(pc.binary_length(words), 0)
+    return words.filter(some), owner[some.to_numpy(zero_copy_only=False)]
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """``token`` and its ``times``; every text ends in END_TOKEN."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[pa.Table] = []
+        size = 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(find_words(lower_ascii(text)))
-                held[END_TOKEN] += 1
-                if len(held) > HELD // 2:
-                    yield packed(held)
-                    held = Counter()
+            for part in _few_texts(batch):
+                counted = pc.value_counts(_tokens(part)[0])
+                held.append(table(counted.field(0), counted.field(1)))
+                held.append(table(pa.array([END_TOKEN]), pa.array([part.num_rows])))
+                size += len(counted)
+                if size > HELD:
+                    held = [summed(held)]
+                    size = held[0].num_rows
+                    if size > HELD // 2:
+                        yield from held[0].to_batches()
+                        held, size = [], 0
         if held:
-            yield packed(held)
+            yield from summed(held).to_batches()
+
+    def table(tokens: pa.Array, times: pa.Array) -> pa.Table:
+        return pa.table({"token": tokens.cast(pa.string()), "times": times.cast(pa.int64())})
 
-    def packed(counts: Counter) -> pa.RecordBatch:
-        arrays = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, ["token", "times"])
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(tables).group_by("token").aggregate([("times", "sum")])
+        return table(sums["token"], sums["times_sum"])
 
     return texts.select("text").mapInArrow(count, "token string, times long").groupBy("token").agg(F.sum("times").alias("times"))
 
@@ -378,43 +506,123 @@ def string_costs(strings: np.ndarray, code: Code, predictors: Predictors, weight
     return costs
 
 
-def _block_costs(parts: list[Part], code: Code, predictors: Predictors, weights: np.ndarray) -> np.ndarray:
-    """Natural-log probability of every block under every mixer."""
-    packed, sizes = symbol_strings(parts)
-    codes, strings = pd.factorize(packed)
-    costs = string_costs(strings, code, predictors, weights)
-    blocks = -(-sizes // BLOCK)
-    within = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    begin = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * within
-    return np.stack([np.add.reduceat(row[codes], begin) for row in costs])
-
-
-def text_log_probabilities(
-    texts: list[bytes], code: Code, predictors: Predictors, weights: np.ndarray
-) -> np.ndarray:
-    """Natural-log probability of each text, the mixers' shares adapting along it."""
-    if not texts:
+@dataclass(frozen=True)
+class Blocks:
+    """Blocks of texts in order: hash, natural-log probability under every mixer, and how many each text has."""
+
+    key: np.ndarray
+    cost: np.ndarray
+    per_text: np.ndarray
+
+    def own(self) -> np.ndarray:
+        """At a block's first place in its text how often the text has it, elsewhere 0."""
+        owner = np.repeat(np.arange(len(self.per_text)), self.per_text)
+        order = np.lexsort((self.key, owner))
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(owner[order]) != 0) | (np.diff(self.key[order]) != 0)
+        at = np.flatnonzero(first)
+        times = np.zeros(len(order), np.int64)
+        times[order[at]] = np.diff(np.append(at, len(order)))
+        return times
+
+
+def block_costs(texts: list[bytes], code: Code, predictors: Predictors, weights: np.ndarray) -> Blocks:
+    """What the mixers say about every block of the texts."""
+    keys, costs, per_part, last = [], [], [], []
+    for parts in _chunks(texts):
+        made = [_symbols(group, True) for group in _groups(parts)]
+        codes, strings = pd.factorize(np.concatenate([m.strings for m in made]))
+        shift = np.cumsum([0, *(len(m.strings) for m in made)])
+        begins = np.concatenate([m.block_begin + by for m, by in zip(made, shift)])
+        by_string = string_costs(strings, code, predictors, weights)
+        costs.append(np.stack([np.add.reduceat(row[codes], begins) for row in by_string]))
+        keys += [m.block_key for m in made]
+        ends = np.cumsum(np.concatenate([m.sizes for m in made]))
+        per_part.append(np.diff(np.searchsorted(begins, ends), prepend=0))
+        last += [part.last for part in parts]
+    closed = np.flatnonzero(last)
+    per_text = np.diff(np.cumsum(np.concatenate(per_part))[closed], prepend=0)
+    return Blocks(np.concatenate(keys), np.concatenate(costs, axis=1), per_text)
+
+
+def mix_blocks(cost: np.ndarray, per_text: np.ndarray, known: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Natural-log probability of each text, the shares of mixers and block predictor adapting along it.
+
+    ``known`` says how often other training text has each block, ``total`` of each text how many
+    blocks of other training text there are.
+    """
+    if not len(per_text):
         return np.empty(0)
-    by_block = np.concatenate([_block_costs(parts, code, predictors, weights) for parts in _chunks(texts)], axis=1)
-    blocks = np.array([len(text) // BLOCK + 1 for text in texts])
-    first_block = np.cumsum(blocks) - blocks
+    mixers = np.logaddexp.reduce(cost, axis=0) - math.log(len(cost))
+    with np.errstate(divide="ignore"):
+        copied = np.logaddexp(np.log(known), mixers) - np.log(np.repeat(total, per_text) + 1.0)
+    by_block = np.concatenate([cost, copied[None]])
+    experts = len(by_block)
+    first_block = np.cumsum(per_text) - per_text
     # Texts side by side, the longest first, one block at a time.
-    order = np.argsort(-blocks, kind="stable")
-    first_block, blocks = first_block[order], blocks[order]
-    total = np.zeros(len(texts))
-    shares = np.full((len(MIXERS), len(texts)), -math.log(len(MIXERS)))
+    order = np.argsort(-per_text, kind="stable")
+    first_block, blocks = first_block[order], per_text[order]
+    sums = np.zeros(len(order))
+    shares = np.full((experts, len(order)), -math.log(experts))
     for step in range(int(blocks[0])):
         active = int(np.searchsorted(-blocks, -step, side="left"))
         joint = shares[:, :active] + by_block[:, first_block[:active] + step]
         top = joint.max(axis=0)
         gained = top + np.log(np.exp(joint - top).sum(axis=0))
-        total[:active] += gained
-        shares[:, :active] = np.log((1 - EVEN_PART) * np.exp(joint - gained) + EVEN_PART / len(MIXERS))
-    result = np.empty(len(texts))
-    result[order] = total
+        sums[:active] += gained
+        shares[:, :active] = np.log((1 - EVEN_PART) * np.exp(joint - gained) + EVEN_PART / experts)
+    result = np.empty(len(order))
+    result[order] = sums
     return result
 
 
+def text_log_probabilities(
+    texts: list[bytes], code: Code, predictors: Predictors, weights: np.ndarray
+) -> np.ndarray:
+    """Natural-log probability of each text by a model that has counted no blocks."""
+    if not texts:
+        return np.empty(0)
+    blocks = block_costs(texts, code, predictors, weights)
+    return mix_blocks(blocks.cost, blocks.per_text, np.zeros(len(blocks.key)), np.zeros(len(texts)))
+
+
+def known_blocks(scored: DataFrame) -> DataFrame:
+    """Per row, if any, the blocks that other training texts have (``known_key``) and how often (``known``)."""
+    pieces = scored.select(ROW, "held_out", F.explode(F.arrays_zip("block", "own")).alias("b"))
+    pieces = pieces.select(ROW, "held_out", F.col("b.block").alias("block"), F.col("b.own").alias("own")).filter("own > 0")
+    learned = F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("own"))).alias("times")
+    counts = pieces.groupBy("block").agg(learned, F.count(F.lit(1)).alias("texts"))
+    repeated = materialize(counts.filter("texts > 1 AND times > 0"))
+    head = repeated.orderBy(F.desc("texts"), "block").limit(HEAD_BLOCKS)
+    found = pieces.join(F.broadcast(head), "block")
+    if repeated.count() > HEAD_BLOCKS:
+        head = materialize(head).select("block")
+        tail = pieces.join(F.broadcast(head), "block", "left_anti")
+        rest = repeated.join(F.broadcast(head), "block", "left_anti")
+        found = found.unionByName(tail.join(rest, "block").select(found.columns))
+    others = F.col("times") - F.when(F.col("held_out"), 0).otherwise(F.col("own"))
+    found = found.select(ROW, "block", others.alias("known")).filter("known > 0")
+    listed = found.groupBy(ROW).agg(F.collect_list(F.struct("block", "known")).alias("f"))
+    return listed.select(ROW, F.col("f.block").alias("known_key"), F.col("f.known").alias("known"))
+
+
+def _final_scores(batch: pa.RecordBatch, train_blocks: int) -> np.ndarray:
+    """log10 probabilities of rows that hold their blocks, the mixers' costs and the known blocks."""
+    keys, costs = batch.column("block"), batch.column("cost")
+    per_text = pc.list_value_length(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = keys.flatten().to_numpy(zero_copy_only=False)
+    cost = costs.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(MIXERS)).T.astype(float)
+    known = np.zeros(len(flat))
+    ends = np.cumsum(per_text)
+    for row, (names, times) in enumerate(zip(batch.column("known_key").to_pylist(), batch.column("known").to_pylist())):
+        if names:
+            at = slice(ends[row] - per_text[row], ends[row])
+            known[at] = pd.Series(times, index=names).reindex(flat[at], fill_value=0).to_numpy()
+    held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
+    total = train_blocks - np.where(held_out, 0, per_text)
+    return mix_blocks(cost, per_text, known, total) / math.log(10)
+
+
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its id, token counts, base score, model score and bits per byte."""
     spark = docs.sparkSession
@@ -424,69 +632,91 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     words = materialize(count_words(learned))
     vocabulary, train_tokens = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("times"), F.lit(0))).first()
-    head = {row["token"]: row["times"] for row in words.orderBy(F.desc("times"), "token").limit(HEAD_WORDS).collect()}
+    head = words.orderBy(F.desc("times"), "token").limit(HEAD_WORDS).collect()
     strings = materialize(count_strings(learned))
     symbols = strings.groupBy(F.col("string").bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol"))
     code = huffman({row["symbol"]: row["times"] for row in symbols.agg(F.sum("times").alias("times")).collect()})
     table = fold_tables(strings, code)
     weights = train_weights(strings, code, spark.sparkContext.broadcast(table))
     shared = spark.sparkContext.broadcast(Predictors.of(table))
-    shared_head = spark.sparkContext.broadcast({token: math.log10(times + 0.5) for token, times in head.items()})
+    # The last entry stands for words outside the head.
+    logs = np.array([*(math.log10(row["times"] + 0.5) for row in head), 0.0])
+    shared_head = spark.sparkContext.broadcast(([row["token"] for row in head], logs))
     scale = math.log10(train_tokens + 0.5 * (vocabulary + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = shared_head.value
-        for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for value in batch.column("text").to_pylist():
-                tokens = Counter(find_words(lower_ascii(value)))
-                tokens[END_TOKEN] += 1
-                count = tokens.total()
-                others = [token for token in tokens if token not in logs]
-                times = [tokens.pop(token) for token in others]
-                base = sum(n * logs[token] for token, n in tokens.items()) - count * scale
-                for column, result in zip(out, (count, tokens.total(), base, others, times)):
-                    column.append(result)
+        names = pa.array(shared_head.value[0], pa.string())
+        logs = shared_head.value[1]
+        end = pc.index_in(pa.array([END_TOKEN]), value_set=names)[0].as_py()
+        for batch in (part for whole in batches for part in _few_texts(whole)):
+            n = batch.num_rows
+            tokens, owner = _tokens(batch)
+            at = pc.fill_null(pc.index_in(tokens, value_set=names), len(names)).to_numpy(zero_copy_only=False)
+            other = at == len(names)
+            n_tokens = np.bincount(owner, minlength=n) + 1
+            n_other = np.bincount(owner[other], minlength=n)
+            base = np.bincount(owner, logs[at], n) - n_tokens * scale
+            ends = pa.array([[END_TOKEN] if end is None else []] * n, pa.list_(pa.string()))
+            base += 0 if end is None else logs[end]
+            others = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_other)), pa.int32()), tokens.filter(pa.array(other)))
             values = _bytes(batch)
-            logp = text_log_probabilities(values, code, shared.value, weights)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
-            arrays = [pa.array(column, kind) for column, kind in zip(out, kinds)]
-            arrays += [pa.array(logp / math.log(10)), pa.array([len(v) for v in values], pa.int64())]
-            names = ["id", "held_out", ROW, "n_tokens", "head_known", "head_score", "token", "n", "score", "n_bytes"]
-            passed = [batch.column(name) for name in ("id", "held_out", ROW)]
-            yield pa.RecordBatch.from_arrays([*passed, *arrays], names)
+            blocks = block_costs(values, code, shared.value, weights)
+            begin = np.append(0, np.cumsum(blocks.per_text))
+            lists = [
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+                for offsets, flat in (
+                    (begin, blocks.key),
+                    (begin, blocks.own()),
+                    (begin * len(MIXERS), np.ascontiguousarray(blocks.cost.T).reshape(-1).astype(np.float32)),
+                )
+            ]
+            head_known = n_tokens - n_other - (end is None)
+            narrow = [pa.array(column) for column in (n_tokens, head_known, base)]
+            sizes = pa.array([len(v) for v in values], pa.int64())
+            columns = [batch.column(name) for name in ("id", "held_out", ROW)] + narrow + [others, ends, *lists, sizes]
+            yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in fields])
 
     kind = docs.schema[key].dataType.simpleString()
-    scored = materialize(
-        rows.withColumn(ROW, F.monotonically_increasing_id()).mapInArrow(
-            score,
-            f"id {kind}, held_out boolean, {ROW} long, n_tokens long, head_known long, head_score double, "
-            "token array<string>, n array<long>, score double, n_bytes long",
-        )
-    )
+    fields = [
+        f"id {kind}", "held_out boolean", f"{ROW} long", "n_tokens long", "head_known long", "head_score double",
+        "token array<string>", "end array<string>", "block array<long>", "own array<long>", "cost array<float>", "n_bytes long",
+    ]
+    scored = materialize(rows.withColumn(ROW, F.monotonically_increasing_id()).mapInArrow(score, ", ".join(fields)))
     # Words outside the head: their counts come by a shuffle.
     seen = F.coalesce("times", F.lit(0))
     others = (
-        scored.select(ROW, F.explode(F.arrays_zip("token", "n")).alias("other"))
-        .select(ROW, "other.token", "other.n")
+        scored.select(ROW, F.explode(F.concat("token", "end")).alias("token"))
         .join(words, "token", "left")
         .groupBy(ROW)
         .agg(
-            F.sum(F.col("n") * F.log10(seen + 0.5)).alias("rest_score"),
-            F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("rest_known"),
+            F.sum(F.log10(seen + 0.5)).alias("rest_score"),
+            F.sum(F.when(seen > 0, 1).otherwise(0)).alias("rest_known"),
         )
     )
-    joined = scored.drop("token", "n").join(others, ROW, "left")
-    bits = -F.col("score") * math.log2(10)
-    return joined.select(
+    train_blocks = scored.agg(F.sum(F.when(~F.col("held_out"), F.size("block")))).first()[0] or 0
+    base = [
         "id",
         "held_out",
         "n_tokens",
         (F.col("head_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("head_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"),
-        "score",
-        (bits / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+    ]
+    joined = scored.drop("token", "end", "own").join(others, ROW, "left").join(known_blocks(scored), ROW, "left")
+    joined = joined.select(*base, "n_bytes", "block", "cost", "known_key", "known")
+    passed = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            final = _final_scores(batch, train_blocks)
+            bits = -final * math.log2(10) / np.maximum(batch.column("n_bytes").to_numpy(), 1)
+            columns = [batch.column(name) for name in passed] + [pa.array(final), pa.array(bits)]
+            yield pa.RecordBatch.from_arrays(columns, [*passed, "score", "bits_per_byte"])
+
+    return joined.mapInArrow(
+        finish,
+        f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, bits_per_byte double",
     )
 
 

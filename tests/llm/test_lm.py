@@ -73,9 +73,12 @@ def test_probabilities_of_the_next_symbol_sum_to_one():
 
 def test_scores_do_not_depend_on_how_texts_are_cut(monkeypatch):
     texts, code, table = small_model()
-    whole = lm.text_log_probabilities([*texts, b"", b"x" * 128], code, table, lm.first_weights())
-    monkeypatch.setattr(lm, "CHUNK_BYTES", 2 * lm.BLOCK)
-    cut = lm.text_log_probabilities([*texts, b"", b"x" * 128], code, table, lm.first_weights())
+    texts = [*texts, b" ".join(texts), b"", b"x" * 128, b"x" * 3000]
+    whole = lm.text_log_probabilities(texts, code, table, lm.first_weights())
+    monkeypatch.setattr(lm, "CHUNK_BYTES", lm.BLOCK_BYTES + 64)
+    monkeypatch.setattr(lm, "LOOK_BACK", 4096)
+    assert sum(map(len, lm._chunks(texts))) > len(texts) + 10
+    cut = lm.text_log_probabilities(texts, code, table, lm.first_weights())
     assert cut == pytest.approx(whole)
 
 
