@@ -73,7 +73,7 @@ LOOK_BACK = 64
 HEAD_BLOCKS = 1 << 18
 DELTA = 0.4
 #: Bytes handled at once, and distinct strings held before they are passed on.
-CHUNK_BYTES, HELD = 4 << 20, 1 << 20
+CHUNK_BYTES, HELD, HELD_STRINGS = 4 << 20, 1 << 20, 1 << 21
 #: Bytes whose strings are made at once, few enough for the processor's caches.
 CACHED_BYTES = 1 << 17
 #: Strings whose decisions are worked out at once, and strings that one task folds into tables.
@@ -200,12 +200,10 @@ def _last_block(text: bytes, begin: int) -> int:
 def _word_so_far(sums: np.ndarray, down: np.ndarray, begin: np.ndarray, spaces: np.ndarray) -> np.ndarray:
     """Per position a hash of the bytes after the last space before it, back to the part's begin."""
     n = len(sums) - 1
-    start = np.zeros(n, np.int64)
-    after = spaces + 1
-    start[after[after < n]] = after[after < n]
-    start[begin] = begin
-    np.maximum.accumulate(start, out=start)
-    hashes = (sums[:n] - sums[start]) * down[start]
+    start = np.sort(np.concatenate([begin, spaces + 1]))
+    start = start[start < n]
+    sizes = np.diff(np.append(start, n))
+    hashes = (sums[:n] - np.repeat(sums[start], sizes)) * np.repeat(down[start], sizes)
     return ((hashes * np.uint64(ODD)) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
@@ -219,14 +217,14 @@ class Symbols:
     block_key: np.ndarray
 
 
-def _symbols(parts: list[Part], with_blocks: bool) -> Symbols:
+def _symbols(parts: list[Part], with_blocks: bool, ready: tuple[np.ndarray, np.ndarray]) -> Symbols:
     spans = np.array([len(part.before) + len(part.data) + 1 for part in parts])
     begin = np.cumsum(spans) - spans
     data = np.frombuffer(b"".join(part.before + part.data + b"\0" for part in parts), np.uint8)
     spaces = _spaces(data)
-    up, down = powers(len(data) + 1)
+    up, down = ready if len(data) < len(ready[0]) else powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODES[data] * up[:-1], out=sums[1:])
+    np.cumsum(_CODES[data] * up[: len(data)], out=sums[1:])
     symbols = data.astype(np.int64)
     symbols[begin + spans - 1] = END
     packed = _word_so_far(sums, down, begin, spaces) << (SYMBOL_BITS * CONTEXTS)
@@ -262,7 +260,8 @@ def _symbols(parts: list[Part], with_blocks: bool) -> Symbols:
 
 def symbol_strings(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
     """Every symbol with its contexts, packed in one integer, and the parts' sizes."""
-    made = [_symbols(group, False) for group in _groups(parts)]
+    ready = powers(2 * CACHED_BYTES)
+    made = [_symbols(group, False, ready) for group in _groups(parts)]
     return np.concatenate([m.strings for m in made]), np.concatenate([m.sizes for m in made])
 
 
@@ -281,10 +280,10 @@ def count_strings(texts: DataFrame) -> DataFrame:
                 codes, strings = pd.factorize(symbol_strings(parts)[0])
                 held.append(pd.Series(np.bincount(codes), index=strings))
                 size += len(strings)
-                if size > HELD:
+                if size > HELD_STRINGS:
                     held = [pd.concat(held).groupby(level=0, sort=False).sum()]
                     size = len(held[0])
-                    if size > HELD // 2:
+                    if size > HELD_STRINGS // 2:
                         yield packed(held[0])
                         held, size = [], 0
         if held:
@@ -529,8 +528,9 @@ class Blocks:
 def block_costs(texts: list[bytes], code: Code, predictors: Predictors, weights: np.ndarray) -> Blocks:
     """What the mixers say about every block of the texts."""
     keys, costs, per_part, last = [], [], [], []
+    ready = powers(2 * CACHED_BYTES)
     for parts in _chunks(texts):
-        made = [_symbols(group, True) for group in _groups(parts)]
+        made = [_symbols(group, True, ready) for group in _groups(parts)]
         codes, strings = pd.factorize(np.concatenate([m.strings for m in made]))
         shift = np.cumsum([0, *(len(m.strings) for m in made)])
         begins = np.concatenate([m.block_begin + by for m, by in zip(made, shift)])
@@ -606,6 +606,11 @@ def known_blocks(scored: DataFrame) -> DataFrame:
     return listed.select(ROW, F.col("f.block").alias("known_key"), F.col("f.known").alias("known"))
 
 
+def _in_row(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One hash for a block and the row that it is in."""
+    return scramble(keys.view(np.uint64) ^ scramble(rows.astype(np.uint64)))
+
+
 def _final_scores(batch: pa.RecordBatch, train_blocks: int) -> np.ndarray:
     """log10 probabilities of rows that hold their blocks, the mixers' costs and the known blocks."""
     keys, costs = batch.column("block"), batch.column("cost")
@@ -613,11 +618,16 @@ def _final_scores(batch: pa.RecordBatch, train_blocks: int) -> np.ndarray:
     flat = keys.flatten().to_numpy(zero_copy_only=False)
     cost = costs.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(MIXERS)).T.astype(float)
     known = np.zeros(len(flat))
-    ends = np.cumsum(per_text)
-    for row, (names, times) in enumerate(zip(batch.column("known_key").to_pylist(), batch.column("known").to_pylist())):
-        if names:
-            at = slice(ends[row] - per_text[row], ends[row])
-            known[at] = pd.Series(times, index=names).reindex(flat[at], fill_value=0).to_numpy()
+    listed = batch.column("known_key")
+    names = listed.flatten().to_numpy(zero_copy_only=False)
+    if len(names):
+        rows = np.repeat(np.arange(len(listed)), pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False))
+        names = _in_row(names, rows)
+        order = np.argsort(names)
+        names, times = names[order], batch.column("known").flatten().to_numpy(zero_copy_only=False)[order]
+        wanted = _in_row(flat, np.repeat(np.arange(len(per_text)), per_text))
+        at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+        known = np.where(names[at] == wanted, times[at], 0).astype(float)
     held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
     total = train_blocks - np.where(held_out, 0, per_text)
     return mix_blocks(cost, per_text, known, total) / math.log(10)
