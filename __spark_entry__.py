@@ -107,7 +107,7 @@ def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_grain(spark: SparkSession, sf_dir: str) -> tuple[RetailMarts, ColocatedTables]:
     marts, root = _marts(spark, sf_dir), scratch_dir(spark)
-    tables = ColocatedTables(spark, root.rpartition("-")[2], "order_id", 8, root)
+    tables = ColocatedTables(spark, root.rpartition("-")[2], "order_id", marts.order_grain_buckets(), root)
     marts.publish_order_grain(tables)
     return marts, tables
 

@@ -17,11 +17,11 @@ from tallyforge.operators.followed import FollowedChecks
 from tallyforge.operators.history import history_partition, insert_snapshot, take_snapshot
 from tallyforge.operators.pivots import discover_values
 from tallyforge.operators.rollups import MaintainedRollup
-from tallyforge.operators.skew import HotKeys, hot_keys, spread_join
+from tallyforge.operators.skew import ROW_BYTES, HotKeys, hot_keys, spread_join
 from tallyforge.plans import aggregates, dimensions, facts, staging
 from tallyforge.plans.quality import CHECKS
 from tallyforge.settings import Settings
-from tallyforge.sources.colocated import ColocatedTables
+from tallyforge.sources.colocated import ColocatedTables, buckets_for
 from tallyforge.sources.published import PublishedTable, audited_publish, month_partition
 from tallyforge.sources.storage import materialize, tree_bytes
 from tallyforge.streaming.drops import load_drops
@@ -100,6 +100,11 @@ class RetailMarts:
             self._sizes[table] = sum(sizes) if sizes and all(sizes) else math.inf
         return self._sizes[table]
 
+    def _known_bytes(self, table: str) -> float:
+        """The same; rows count as ``ROW_BYTES`` each when it cannot be told."""
+        size = self._bytes(table)
+        return self.raw.table(table).count() * ROW_BYTES if math.isinf(size) else size
+
     # Staging
 
     @_once
@@ -198,6 +203,10 @@ class RetailMarts:
             lines, self.orders_with_shops(), potions, self.settings, hot_orders, hot_potions, spread
         )
 
+    def order_grain_buckets(self) -> int:
+        """Buckets for what joins on the order, so that one holds no more of a larger table."""
+        return buckets_for(max(map(self._known_bytes, ("raw_orders", "raw_order_items", "raw_payments"))))
+
     def publish_order_grain(self, tables: ColocatedTables) -> None:
         """Store what joins on the order bucketed by it: enriched orders, both rollups, and the lines."""
         tables.publish("orders", self.orders_enriched())

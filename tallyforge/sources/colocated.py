@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of a bucket that ``buckets_for`` aims at.
-BUCKET_BYTES = 256 << 20
+#: File bytes of a bucket that ``buckets_for`` aims at. One task sorts a bucket, decoded some ten times as large.
+BUCKET_BYTES = 32 << 20
 
 
 def buckets_for(total_bytes: float, least: int = 8) -> int:

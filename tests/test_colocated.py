@@ -52,3 +52,21 @@ def test_one_file_per_bucket_and_former_versions(spark, tmp_path, rows):
 
 def test_bucket_numbers():
     assert buckets_for(0) == 8 and buckets_for(9 * BUCKET_BYTES) == 16 and buckets_for(1000 * BUCKET_BYTES) == 1024
+
+
+def test_buckets_grow_with_the_tables(spark, marts, monkeypatch):
+    """Lines of 645 MB and six times that: a bucket, which one task sorts, stays as it is."""
+    assert marts.order_grain_buckets() == 8
+    per_bucket = []
+    for size in (645 << 20, 6 * 645 << 20):
+        monkeypatch.setattr(marts, "_bytes", lambda table: size if table == "raw_order_items" else 0)
+        per_bucket.append(size / marts.order_grain_buckets())
+    assert max(per_bucket) <= 32 << 20
+
+
+def test_buckets_where_sizes_are_unknown(marts, monkeypatch):
+    from tallyforge.plans import marts as assembly
+
+    monkeypatch.setattr(marts, "_bytes", lambda table: float("inf"))
+    monkeypatch.setattr(assembly, "ROW_BYTES", 9 * BUCKET_BYTES // marts.raw.table("raw_order_items").count() + 1)
+    assert marts.order_grain_buckets() == 16
