@@ -121,11 +121,16 @@ def duplicate_audit(df: DataFrame, key: str) -> DataFrame:
     return counted.withColumn("duplicates", F.col("total_rows") - F.col("distinct_ids"))
 
 
-def run_checks(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -> DataFrame:
+def run_checks(
+    tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]], tasks: dict[str, int] | None = None
+) -> DataFrame:
     """Run every check: (table_name, check_name, column_name, failures).
 
     One pass per table serves its row-wise checks and its first uniqueness check; a further
     uniqueness check, and each relationship, is a pass of its own.
+
+    ``tasks`` names tables that are themselves grouped by their key, and how many tasks count them.
+    Otherwise the tasks that make the groups count them too, and hold every key several times over.
     """
     results = []
     for table, wanted in checks.items():
@@ -134,7 +139,9 @@ def run_checks(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]])
         unique = [c for c in wanted if isinstance(c, Unique)]
         related = [c for c in wanted if isinstance(c, Relationship)]
         if rowwise or unique:
-            results.append(_one_pass(table, df, rowwise, unique[0] if unique else None))
+            parts = (tasks or {}).get(table, 1) if unique else 1
+            dealt = df.repartition(parts, *unique[0].columns) if parts > 1 else df
+            results.append(_one_pass(table, dealt, rowwise, unique[0] if unique else None))
         results += [_one_pass(table, df, [], check) for check in unique[1:]]
         results += [_lines(table, [c], c.failures(df, tables[c.parent]), ["failures"]) for c in related]
     while len(results) > 1:  # in pairs, as every union analyses all of its inputs again

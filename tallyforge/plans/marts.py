@@ -47,6 +47,9 @@ FOREIGN_KEYS: dict[str, tuple[str, ...]] = {
     "raw_guild_memberships": ("customer_id", "guild_id"),
 }
 
+#: File bytes of a raw table whose keys one task counts in a check.
+CHECK_BYTES = 16 << 20
+
 
 def _once(build: Callable[[RetailMarts], DataFrame]) -> Callable[[RetailMarts], DataFrame]:
     """Build a staging plan once per assembly; models that share it share the plan, not its rows."""
@@ -379,6 +382,11 @@ class RetailMarts:
 
     # Checks
 
+    def check_tasks(self) -> dict[str, int]:
+        """Tasks for the checks of the recipes, which may come out of a grouping of all lines."""
+        size = self._known_bytes("raw_potion_ingredients")
+        return {"stg_potion_ingredients": math.ceil(size / CHECK_BYTES)}
+
     def check_all(self) -> DataFrame:
         """All declared checks, one row each; the two facts are worked out and written once."""
         orders, lines = materialize(self.fct_orders()), materialize(self.fct_order_items())
@@ -392,4 +400,4 @@ class RetailMarts:
             ),
         }
         staged = {name: getattr(self, name)() for name in CHECKS if name.startswith("stg_")}
-        return run_checks({**tables, **staged}, CHECKS)
+        return run_checks({**tables, **staged}, CHECKS, self.check_tasks())

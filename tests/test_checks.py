@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.operators.checks import (
     AcceptedValues,
@@ -94,3 +95,29 @@ def test_declared_checks_by_kind():
     kinds = [check.name for checks in CHECKS.values() for check in checks]
     counted = {kind: kinds.count(kind) for kind in set(kinds)}
     assert counted == {"unique": 15, "not_null": 33, "accepted_values": 8, "relationships": 2, "unique_combination": 1}
+
+
+def test_keys_of_a_grouped_table_are_counted_by_tasks_of_their_own(spark, rows, capsys):
+    lines = spark.createDataFrame([(k % 7, k % 3, k % 5 or None) for k in range(60)], "a bigint, b bigint, c bigint")
+    pairs = lines.groupBy("a", "b").agg({"c": "max"}).withColumnRenamed("max(c)", "c")
+    repeated = pairs.unionByName(pairs.filter("a < 3")).unionByName(pairs.filter("a = 1").selectExpr("CAST(NULL AS bigint) a", "b", "c"))
+    checks = {"pairs": [Unique(("a", "b")), NotNull("a")]}
+    for df, failing in ((pairs, [0, 0]), (repeated, [9, 3])):
+        dealt = run_checks({"pairs": df}, checks, {"pairs": 5})
+        assert rows(dealt) == rows(run_checks({"pairs": df}, checks))
+        assert [row.failures for row in dealt.orderBy(F.desc("check_name")).collect()] == failing
+    capsys.readouterr()
+    run_checks({"pairs": pairs}, checks, {"pairs": 5}).explain()
+    plan = capsys.readouterr().out
+    # One exchange makes the pairs, another deals them to the tasks that count.
+    assert plan.count("hashpartitioning(a") == 2 and "REPARTITION_BY_NUM" in plan
+
+
+def test_tasks_of_the_recipe_check_grow_with_the_lines(spark, monkeypatch):
+    from tallyforge.plans.marts import CHECK_BYTES, RetailMarts
+    from tallyforge.sources.driver_tables import DriverTables
+
+    marts = RetailMarts(DriverTables(spark, "/root/testdata/sf0.001"))
+    assert marts.check_tasks() == {"stg_potion_ingredients": 1}
+    monkeypatch.setattr(marts, "_bytes", lambda table: 10 * CHECK_BYTES)
+    assert marts.check_tasks() == {"stg_potion_ingredients": 10}
