@@ -67,6 +67,5 @@ def build(marts: RetailMarts, root: str, at: datetime, shelved: bool = False) ->
 
 def check_build(marts: RetailMarts, tables: dict[str, PublishedTable]) -> DataFrame:
     """All declared checks, the marts' on their published tables."""
-    return run_checks(
-        {name: tables[name].read() if name in tables else getattr(marts, name)() for name in CHECKS}, CHECKS
-    )
+    checked = {name: tables[name].read() if name in tables else getattr(marts, name)() for name in CHECKS}
+    return run_checks(checked, CHECKS, marts.check_tasks())

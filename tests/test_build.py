@@ -73,3 +73,13 @@ def test_backfill_mode_leaves_no_slim_fact(built, tmp_path, rows):
     columns = [c for c in tables["agg_revenue_by_region"].read().columns if c not in ("loaded_at", "run_id")]
     revenue = "agg_revenue_by_region"
     assert rows(planned[revenue].read(), *columns) == rows(tables[revenue].read(), *columns)
+
+
+def test_recipes_are_checked_by_tasks_of_their_own(built, rows, monkeypatch, capsys):
+    marts, _, tables = built
+    before = rows(check_build(marts, tables))
+    monkeypatch.setattr(marts, "check_tasks", lambda: {"stg_potion_ingredients": 3})
+    checks = check_build(marts, tables)
+    capsys.readouterr()
+    checks.explain()
+    assert "REPARTITION_BY_NUM" in capsys.readouterr().out and rows(checks) == before
