@@ -83,3 +83,31 @@ def test_recipes_are_checked_by_tasks_of_their_own(built, rows, monkeypatch, cap
     capsys.readouterr()
     checks.explain()
     assert "REPARTITION_BY_NUM" in capsys.readouterr().out and rows(checks) == before
+
+
+def test_marts_are_published_side_by_side(spark):
+    """Each chain waits for the others to begin; one's error is raised when all have ended."""
+    from threading import Barrier
+
+    from tallyforge.plans.build import _side_by_side
+    from tallyforge.sources import storage
+
+    begun, ended = Barrier(3, timeout=60), []
+
+    def chain(name, error=None):
+        def run():
+            begun.wait()
+            if error:
+                raise error
+            assert storage.scratch_dir(spark).startswith("/owned/")
+            ended.append((name, spark.range(5).count()))
+
+        return run
+
+    owner = storage._OWNER.set("/owned")
+    try:
+        with pytest.raises(ValueError, match="second"):
+            _side_by_side(spark, chain("first"), chain("second", ValueError("second")), chain("third"))
+    finally:
+        storage._OWNER.reset(owner)
+    assert sorted(ended) == [("first", 5), ("third", 5)]
